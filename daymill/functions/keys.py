@@ -54,7 +54,7 @@ def row_key(
 
 def _hex_digits(c: str | Column) -> Column:
     """Significant digits of a ``0x`` number."""
-    return F.regexp_replace(F.lower(col(c)), "^0x0*", "")
+    return F.ltrim(F.substring(F.lower(col(c)), 3, 1 << 20), F.lit("0"))
 
 
 def hex_overflow(c: str | Column, bits: int = 112) -> Column:
@@ -68,22 +68,40 @@ def hex_amount(c: str | Column, in_units: bool = False) -> Column:
 
     ``in_units`` divides by 10**18.  A decimal holds 38 digits, so hex numbers
     are exact up to 112 bits; wider ones give null and :func:`hex_overflow`
-    marks them, they never wrap.
+    marks them, they never wrap.  Numbers that fit a long, as most do, take a
+    short way.
     """
-    text = F.lower(col(c))
-    digits = F.lpad(_hex_digits(c), 28, "0")
-    high, low = (F.conv(F.substring(digits, at, 14), 16, 10).cast("decimal(17,0)") for at in (1, 15))
-    from_hex = F.when(~hex_overflow(c), high * F.lit(16**14).cast("decimal(17,0)") + low)
+    text, digits = F.lower(col(c)), _hex_digits(c)
+    is_hex = text.startswith("0x")
+    padded = F.lpad(digits, 28, "0")
+    high, low = (F.conv(F.substring(padded, at, 14), 16, 10).cast("decimal(17,0)") for at in (1, 15))
+    short = F.conv(digits, 16, 10).cast("bigint")
+    is_short = is_hex & (F.length(digits) <= 15) & (F.length(digits) > 0)
+    wide_hex = F.when(~hex_overflow(c), high * F.lit(16**14).cast("decimal(17,0)") + low)
     if not in_units:
-        value = F.when(text.startswith("0x"), from_hex.cast("decimal(38,4)")).otherwise(text.try_cast("decimal(38,4)"))
-        return F.when(text.isNull(), F.lit(0).cast("decimal(38,4)")).otherwise(value)
-    whole = F.when(text.startswith("0x"), from_hex.cast("decimal(36,0)")).otherwise(text.try_cast("decimal(36,0)"))
-    # Split at 10**18 first: a direct decimal division would drop digits.
-    unit = F.lit(10**18).cast("decimal(19,0)")
-    rest = (whole % unit).cast("decimal(18,0)")
-    units = ((whole - rest) / unit).cast("decimal(20,0)")
-    value = (units + rest * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)")
-    return F.when(text.isNull(), F.lit(0).cast("decimal(38,18)")).otherwise(value)
+        kind = "decimal(38,4)"
+        return (
+            F.when(text.isNull(), F.lit(0).cast(kind))
+            .when(is_short, short.cast(kind))
+            .when(is_hex, wide_hex.cast(kind))
+            .otherwise(text.try_cast(kind))
+        )
+    kind, unit = "decimal(38,18)", 10**18
+    step = F.lit("0.000000000000000001").cast("decimal(18,18)")
+
+    def shifted(units: Column, rest: Column) -> Column:
+        # Split at 10**18 first: a direct decimal division would drop digits.
+        return (units.cast("decimal(20,0)") + rest.cast("decimal(18,0)") * step).cast(kind)
+
+    per_unit = F.lit(unit).cast("decimal(19,0)")
+    wide = F.when(is_hex, wide_hex.cast("decimal(36,0)")).otherwise(text.try_cast("decimal(36,0)"))
+    rest = wide % per_unit
+    short_rest = short % F.lit(unit)
+    return (
+        F.when(text.isNull(), F.lit(0).cast(kind))
+        .when(is_short & (short < unit), shifted(F.lit(0), short_rest))
+        .otherwise(shifted((wide - rest) / per_unit, rest))
+    )
 
 
 def split_words(c: str | Column, width: int = 64) -> Column:

@@ -20,8 +20,13 @@ def money(c: str | Column) -> Column:
     return col(c).cast(MONEY)
 
 
+def decimal_ratio(numerator: str | Column, denominator: str | Column, digits: int = 2) -> Column:
+    """Rounded quotient of amounts, divided as decimals so that halves round up."""
+    return F.round(col(numerator) / F.nullif(col(denominator), F.lit(0)), digits)
+
+
 def ratio(numerator: str | Column, denominator: str | Column, digits: int) -> Column:
-    """Rounded quotient as double; null when the denominator is zero or null."""
+    """Rounded quotient of whole numbers as double; null when the denominator is zero or null."""
     top, bottom = col(numerator).cast("double"), col(denominator).cast("double")
     return F.round(top / F.nullif(bottom, F.lit(0.0)), digits)
 

@@ -98,38 +98,55 @@ def order_process_snapshot(cargo: DataFrame, orders: DataFrame, codes: DataFrame
     )
 
 
-def order_milestone_fact(
-    cargo: DataFrame,
-    orders: DataFrame,
-    open_orders: DataFrame,
-    codes: DataFrame,
-    milestone: Milestone,
+def order_milestones(
+    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kinds: Sequence[str] = tuple(MILESTONES)
 ) -> DataFrame:
-    """Order lines whose order reached a state today.
+    """Order lines whose order reached one of several states today, with ``kind`` and ``milestone_time``.
 
-    Today's rows of ``orders`` in that state give the time.  The line itself
-    comes from the still open rows of earlier days, if their state allows
-    the step, or from today's new orders.
+    Today's rows of ``orders`` give state and time.  The line itself comes
+    from the still open rows of earlier days, if their state allows the step,
+    or from today's new cargo.  An order is in one state at a time, so all
+    kinds come out of one pass.
     """
+    chosen = {kind: MILESTONES[kind] for kind in kinds}
+
+    def by_status(value: dict[str, Column], default: Column) -> Column:
+        out = default
+        for kind, m in chosen.items():
+            out = F.when(F.col("status") == m.status, value[kind]).otherwise(out)
+        return out
+
     reached = (
         _live(orders)
-        .where(F.col("status") == milestone.status)
+        .where(F.col("status").isin(*[m.status for m in chosen.values()]))
         .select(
             F.col("id").alias("__r"),
-            F.col("status").alias("reached_status"),
-            _local("update_time").alias(milestone.time_name),
+            F.col("status").alias("__status"),
+            by_status({k: F.lit(k) for k in chosen}, F.lit(None).cast("string")).alias("kind"),
+            by_status(
+                {k: F.array(*[F.lit(p) for p in m.prior]) for k, m in chosen.items()}, F.array().cast("array<string>")
+            ).alias("__prior"),
+            _local("update_time").alias("milestone_time"),
         )
     )
-    columns = [*CARGO_COLUMNS, *ORDER_COLUMNS, "receiver_name", "sender_name"]
-    earlier = open_orders.where(
-        (F.col("end_date") == F.lit(OPEN_END)) & F.col("status").isin(*milestone.prior)
-    ).select(columns)
-    new = _cargo_with_order(cargo.select(CARGO_COLUMNS), orders).select(columns)
-    lines = earlier.unionByName(new).drop("status")
-    out = lines.join(reached, F.col("order_id") == F.col("__r"), "inner").drop("__r")
-    return _decoded(out.withColumnRenamed("reached_status", "status"), codes).withColumn(
-        "dt", F.to_date(milestone.time_name)
+    columns = [*CARGO_COLUMNS, *[c for c in ORDER_COLUMNS if c != "status"], "receiver_name", "sender_name"]
+    allowed = sorted({p for m in chosen.values() for p in m.prior})
+    earlier = open_orders.where((F.col("end_date") == F.lit(OPEN_END)) & F.col("status").isin(*allowed))
+    new = _cargo_with_order(cargo.select(CARGO_COLUMNS), orders)
+    lines = earlier.select(*columns, F.col("status").alias("__was")).unionByName(
+        new.select(*columns, F.lit(None).cast("string").alias("__was"))
     )
+    fits = F.col("__was").isNull() | F.array_contains("__prior", F.col("__was"))
+    out = lines.join(reached, (F.col("order_id") == F.col("__r")) & fits, "inner").drop("__r", "__prior", "__was")
+    return _decoded(out.withColumnRenamed("__status", "status"), codes).withColumn("dt", F.to_date("milestone_time"))
+
+
+def order_milestone_fact(
+    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kind: str
+) -> DataFrame:
+    """Order lines whose order reached one state today, the time under the name of the milestone."""
+    rows = order_milestones(cargo, orders, open_orders, codes, [kind])
+    return rows.drop("kind").withColumnRenamed("milestone_time", MILESTONES[kind].time_name)
 
 
 def order_milestone_by_exclusion(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions.days import as_date
-from daymill.functions.values import ratio
+from daymill.functions.values import decimal_ratio, ratio
 
 DayText = str | dt.date
 
@@ -38,7 +38,7 @@ def _sums(measures: Mapping[str, str]) -> list[Column]:
 def _trip_averages(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            "avg_trans_finish_distance": ratio("trans_finish_distance", "trans_finish_count", 2),
+            "avg_trans_finish_distance": decimal_ratio("trans_finish_distance", "trans_finish_count"),
             "avg_trans_finish_dur_sec": ratio("trans_finish_dur_sec", "trans_finish_count", 2),
         }
     )
@@ -102,8 +102,9 @@ def truck_report(trips: DataFrame) -> DataFrame:
     summed = trips.groupBy("recent_days", *keys).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TRIPS]
     )
-    averages = _trip_averages(summed).na.fill(0.0, ["avg_trans_finish_distance", "avg_trans_finish_dur_sec"])
-    return averages.na.fill("", keys)
+    averages = _trip_averages(summed)
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("avg_trans_finish_distance", "avg_trans_finish_dur_sec")}
+    return averages.withColumns(zero).na.fill("", keys)
 
 
 def driver_report(trips: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions.days import REPORT_WINDOWS, as_date, hours_between, in_windows, iso_week
-from daymill.functions.values import MONEY, money, ratio
+from daymill.functions.values import MONEY, decimal_ratio, money, ratio
 from daymill.operators.dimensions import with_names
 from daymill.operators.ranking import rank_in_group
 
@@ -63,7 +63,7 @@ def offer_redemption_fact(redemptions: DataFrame) -> DataFrame:
         {
             "redemption_date": F.to_date("redemption_time"),
             "redemption_hour": F.date_format("redemption_time", "HH"),
-            "offer_rate": ratio("actual_offer_amount", "payment_amount", 4),
+            "offer_rate": decimal_ratio("actual_offer_amount", "payment_amount", 4),
             "original_amount": money(F.col("payment_amount") + F.col("actual_offer_amount")),
         }
     )
@@ -87,8 +87,8 @@ def agent_daily_fact(sends: DataFrame, redemptions: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
     return both.withColumns(
         {
-            "avg_offer_amount": F.coalesce(ratio("total_offer_amount", "send_count", 2), zero),
-            "avg_order_amount": F.coalesce(ratio("total_sales", "redemption_count", 2), zero),
+            "avg_offer_amount": F.coalesce(money(decimal_ratio("total_offer_amount", "send_count")), money(zero)),
+            "avg_order_amount": F.coalesce(money(decimal_ratio("total_sales", "redemption_count")), money(zero)),
             "redemption_rate": F.coalesce(ratio("redemption_count", "send_count", 4), zero),
         }
     )
@@ -119,7 +119,7 @@ def _send_measures() -> list[Column]:
         F.coalesce(F.sum("redemptions"), F.lit(0)).alias("redemption_count"),
         ratio(F.sum("redemptions"), F.count("record_id"), 4).alias("__rate"),
         F.sum("sales").alias("total_sales"),
-        ratio(F.sum("offer_amount"), F.count("offer_amount"), 2).alias("avg_offer_amount"),
+        decimal_ratio(F.sum("offer_amount"), F.count("offer_amount")).alias("avg_offer_amount"),
         F.max("offer_amount").alias("max_offer_amount"),
         F.min("offer_amount").alias("min_offer_amount"),
         ratio(F.sum("wait_seconds"), F.sum("redemptions") * 3600, 2).alias("avg_redemption_time"),
@@ -214,7 +214,7 @@ def agent_wide(sends: DataFrame, redemptions: DataFrame, agents: DataFrame) -> D
         F.sum("is_used").alias("redemption_count"),
         ratio(F.sum("is_used"), F.count("record_id"), 4).alias("redemption_rate"),
         F.coalesce(F.sum("sales"), F.lit(0)).cast(MONEY).alias("total_sales"),
-        ratio(F.sum("offer_amount"), F.count("offer_amount"), 2).alias("avg_offer_amount"),
+        decimal_ratio(F.sum("offer_amount"), F.count("offer_amount")).alias("avg_offer_amount"),
         ratio(F.sum("wait_seconds"), F.sum("redemptions") * 3600, 2).alias("avg_redemption_time"),
     )
     named = with_names(per, agents, "cs_id", "cs_id", {"cs_name": "cs_name", "department": "dept_name"}, "inner")
@@ -231,7 +231,7 @@ def offer_overview(sends: DataFrame, as_of: str | dt.date, days: Sequence[int] =
         F.count("record_id").alias("total_send_count"),
         F.sum("is_used").alias("total_redemption_count"),
         ratio(F.sum("is_used"), F.count("record_id"), 4).alias("overall_redemption_rate"),
-        ratio(F.sum("offer_amount"), F.count("offer_amount"), 2).alias("avg_offer_amount"),
+        decimal_ratio(F.sum("offer_amount"), F.count("offer_amount")).alias("avg_offer_amount"),
         F.count_distinct("cs_id").alias("active_cs_count"),
         F.count_distinct("customer_id").alias("active_customer_count"),
     )

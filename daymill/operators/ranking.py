@@ -62,9 +62,10 @@ def steps_in_session(
         F.lead(F.lit(1)).over(local).isNull().alias("__last"),
     )
     across = Window.partitionBy(session).orderBy("__chunk")
+    # Taken from the numbered rows, so both sides use one scan and one shuffle.
     stretches = (
-        cut.groupBy(session, "__chunk")
-        .agg(F.count(F.lit(1)).alias("__n"), F.min_by("__page", F.struct("__t", "__tie")).alias("__first"))
+        numbered.groupBy(session, "__chunk")
+        .agg(F.max("__rn").alias("__n"), F.max(F.when(F.col("__rn") == 1, F.col("__page"))).alias("__first"))
         .select(
             session,
             "__chunk",

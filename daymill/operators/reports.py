@@ -31,12 +31,11 @@ def new_order_users(td: DataFrame, as_of: DayText, days: Sequence[int] = REPORT_
     )
 
 
-def geo_order_report(d1: DataFrame, nd: DataFrame, as_of: DayText) -> DataFrame:
-    """Orders and amount per province for 1, 7 and 30 days: the daily table and the unfolded wide one."""
-    keys = ["province_id", "province_name"]
-    today = d1.where(F.col("dt") == F.lit(as_date(as_of))).select(
-        F.lit(1).alias("recent_days"), *keys, "order_count", F.col("total_amount").alias("order_total_amount")
-    )
+def geo_order_report(wide: DataFrame, days: Sequence[int] = REPORT_WINDOWS) -> DataFrame:
+    """Orders and amount per province and window, unfolded from the wide table of all windows.
+
+    A province without orders in a window has no row for it.
+    """
     windows = F.array(
         *[
             F.struct(
@@ -44,11 +43,11 @@ def geo_order_report(d1: DataFrame, nd: DataFrame, as_of: DayText) -> DataFrame:
                 F.col(f"order_count_{n}d").alias("order_count"),
                 F.col(f"total_amount_{n}d").alias("order_total_amount"),
             )
-            for n in (7, 30)
+            for n in days
         ]
     )
-    longer = nd.select(*keys, F.inline(windows)).where(F.col("order_count").isNotNull())
-    return today.unionByName(longer)
+    rows = wide.select("province_id", "province_name", F.inline(windows))
+    return rows.where(F.col("order_count").isNotNull())
 
 
 def consecutive_order_users(daily: DataFrame, as_of: DayText, n: int = 3, span: int = 7) -> DataFrame:

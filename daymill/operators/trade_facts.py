@@ -173,8 +173,14 @@ def filtered_event_fact(df: DataFrame, time_col: str, columns: list[str], condit
 
 
 def _parsed(log: DataFrame) -> DataFrame:
-    """Parse the log text once; only rows about a page are kept."""
-    return log.withColumn("__j", F.from_json("log", LOG_SCHEMA)).where(F.col("__j.page").isNotNull())
+    """Parse the log text; only rows about a page are kept.
+
+    The parsed record passes through a generator, because a filter on a plain
+    column would be pushed below it and parse every text a second time.
+    """
+    kept = [c for c in log.columns if c != "log"]
+    record = F.explode_outer(F.array(F.from_json("log", LOG_SCHEMA))).alias("__j")
+    return log.select(*kept, record).where(F.col("__j.page").isNotNull())
 
 
 def page_view_fact(log: DataFrame) -> DataFrame:

@@ -43,11 +43,7 @@ def order_process_snapshot(t: Tables):
 @query("order_milestone_fact", "SELECT * FROM milestones", "milestones", "dt", "weight amount", "milestone_time")
 def order_milestone_fact(t: Tables):
     """All five milestones under one time name."""
-    parts = [
-        roles.milestone(t, kind).withColumnRenamed(m.time_name, "milestone_time").withColumn("kind", F.lit(kind))
-        for kind, m in ff.MILESTONES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return ff.order_milestones(roles.todays_cargo(t), roles.freight_orders(t), roles.open_orders(t), roles.codes(t))
 
 
 @query("order_milestone_by_exclusion", "SELECT * FROM delivered", "delivered", "dt", "weight amount", "deliver_suc_time")
@@ -115,7 +111,8 @@ def _nd(daily: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
 
 
 def _all_windows(daily: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    return fr.windows(daily, _nd(daily, keys, measures), lit.ORDERS_AS_OF)
+    """Report day and longer windows from one pass over the daily table."""
+    return rolling_window_rollup(daily, keys, measures, lit.ORDERS_AS_OF, (1, 7, 30), "long")
 
 
 @query("org_cargo_order_1d", "SELECT * FROM org_cargo_day", "org_cargo_day", "dt", "order_amount")

@@ -134,7 +134,7 @@ def _cart_adds(t: Tables):
 
 @query("geo_order_1d", "SELECT * FROM geo_day", "geo_day", "dt", AMOUNTS)
 def geo_order_1d(t: Tables):
-    return sm.geo_order_1d(roles.order_facts(t), roles.geo(t))
+    return sm.geo_order_1d(roles.order_facts(t, True), roles.geo(t))
 
 
 @query("user_sku_order_1d", "SELECT * FROM usku_day", "usku_day", "dt", AMOUNTS)
@@ -191,7 +191,7 @@ def _windows_sql(table: str, keys: str, measures: list[str], label: str = "") ->
        "geo_day", money="order_count_7d order_count_30d total_amount_7d total_amount_30d n7 n30")
 def rolling_window_rollup(t: Tables):
     """Both shapes of the rollup, next to each other."""
-    daily = sm.geo_order_1d(roles.order_facts(t), roles.geo(t))
+    daily = sm.geo_order_1d(roles.order_facts(t, True), roles.geo(t))
     keys, measures = ["province_id", "province_name"], ["order_count", "total_amount"]
     wide = sm.rolling_window_rollup(daily, keys, measures, lit.ORDERS_AS_OF)
     long = sm.rolling_window_rollup(daily, ["province_id"], ["order_count"], lit.ORDERS_AS_OF, shape="long")
@@ -259,11 +259,11 @@ def new_order_users(t: Tables):
        SUM(total_amount) AS order_total_amount FROM geo_day, (VALUES (1), (7), (30)) w(recent_days)
        WHERE dt > {ASOF} - recent_days AND dt <= {ASOF} GROUP BY ALL""", "geo_day", money="order_total_amount")
 def geo_order_report(t: Tables):
-    daily = sm.geo_order_1d(roles.order_facts(t), roles.geo(t))
-    nd = sm.rolling_window_rollup(
-        daily, ["province_id", "province_name"], ["order_count", "total_amount"], lit.ORDERS_AS_OF
+    daily = sm.geo_order_1d(roles.order_facts(t, True), roles.geo(t))
+    wide = sm.rolling_window_rollup(
+        daily, ["province_id", "province_name"], ["order_count", "total_amount"], lit.ORDERS_AS_OF, (1, 7, 30)
     )
-    return rp.geo_order_report(daily, nd, lit.ORDERS_AS_OF)
+    return rp.geo_order_report(wide)
 
 
 @query("consecutive_order_users",

@@ -25,10 +25,15 @@ def codes(t: Tables) -> DataFrame:
 # ---- retail -------------------------------------------------------------------
 
 
-def order_headers(t: Tables) -> DataFrame:
+def order_headers(t: Tables, with_province: bool = True) -> DataFrame:
+    """Order headers; the province comes from the customer and is left null where no query reads it."""
+    if with_province:
+        places = t.customer.select("c_custkey", "c_nationkey")
+        rows = t.orders.join(places, F.col("o_custkey") == F.col("c_custkey"), "left")
+    else:
+        rows = t.orders.withColumn("c_nationkey", F.lit(None).cast("int"))
     return (
-        t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select(
+        rows.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
             F.col("c_nationkey").alias("province_id"),
@@ -41,16 +46,18 @@ def order_headers(t: Tables) -> DataFrame:
 
 
 def order_lines(t: Tables) -> DataFrame:
-    price, items = money("l_extendedprice"), F.col("l_quantity").cast("bigint")
-    gross = money(items * price)
-    reduction = money(gross * F.col("l_discount").cast("decimal(4,2)"))
-    return t.lineitem.select(
+    priced = t.lineitem.withColumns(
+        {"price": money("l_extendedprice"), "items": F.col("l_quantity").cast("bigint")}
+    ).withColumn("gross", money(F.col("items") * F.col("price")))
+    reduced = priced.withColumn("reduction", money(F.col("gross") * F.col("l_discount").cast("decimal(4,2)")))
+    gross, reduction = F.col("gross"), F.col("reduction")
+    return reduced.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_suppkey").alias("supplier_id"),
-        items.alias("sku_num"),
-        price.alias("order_price"),
+        F.col("items").alias("sku_num"),
+        F.col("price").alias("order_price"),
         F.col("l_discount").cast("decimal(4,2)").alias("discount"),
         F.when(F.col("l_linestatus") == "O", reduction).alias("split_activity_amount"),
         F.when(F.col("l_linestatus") == "F", reduction).alias("split_coupon_amount"),
@@ -75,9 +82,9 @@ def line_coupons(t: Tables) -> DataFrame:
     )
 
 
-def order_facts(t: Tables) -> DataFrame:
+def order_facts(t: Tables, with_province: bool = False) -> DataFrame:
     """Order line fact without promotion and voucher ids, which no summary reads."""
-    return tf.order_detail_fact(order_lines(t), order_headers(t))
+    return tf.order_detail_fact(order_lines(t), order_headers(t, with_province))
 
 
 def payments(t: Tables) -> DataFrame:
@@ -92,7 +99,7 @@ def payments(t: Tables) -> DataFrame:
 
 
 def payment_facts(t: Tables) -> DataFrame:
-    return tf.payment_fact(order_lines(t), order_headers(t), payments(t), codes(t))
+    return tf.payment_fact(order_lines(t), order_headers(t, False), payments(t), codes(t))
 
 
 def products(t: Tables) -> DataFrame:
@@ -131,7 +138,7 @@ def coupon_rules(t: Tables) -> DataFrame:
 def coupon_uses(t: Tables) -> DataFrame:
     """Voucher use events: reduced lines, used when the line ships."""
     lines = order_lines(t).where(F.col("discount") > 0)
-    header = order_headers(t).select(F.col("order_id").alias("__o"), "user_id")
+    header = order_headers(t, False).select(F.col("order_id").alias("__o"), "user_id")
     return lines.join(header, F.col("order_id") == F.col("__o")).select(
         "id",
         (F.col("discount") * 100).cast("int").alias("coupon_id"),
@@ -282,7 +289,7 @@ def todays_cargo(t: Tables) -> DataFrame:
 
 
 def milestone(t: Tables, kind: str) -> DataFrame:
-    return ff.order_milestone_fact(todays_cargo(t), freight_orders(t), open_orders(t), codes(t), ff.MILESTONES[kind])
+    return ff.order_milestone_fact(todays_cargo(t), freight_orders(t), open_orders(t), codes(t), kind)
 
 
 def delivered(t: Tables) -> DataFrame:
