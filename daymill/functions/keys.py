@@ -91,7 +91,7 @@ def hex_amount(c: str | Column, in_units: bool = False) -> Column:
 
     def shifted(units: Column, rest: Column) -> Column:
         # Split at 10**18 first: a direct decimal division would drop digits.
-        return (units.cast("decimal(20,0)") + rest.cast("decimal(18,0)") * step).cast(kind)
+        return (units.cast("decimal(18,0)") + rest.cast("decimal(18,0)") * step).cast(kind)
 
     per_unit = F.lit(unit).cast("decimal(19,0)")
     wide = F.when(is_hex, wide_hex.cast("decimal(36,0)")).otherwise(text.try_cast("decimal(36,0)"))

@@ -74,10 +74,13 @@ def agent_daily_fact(sends: DataFrame, redemptions: DataFrame) -> DataFrame:
     sent = sends.groupBy("cs_id", F.to_date("send_time").alias("stat_date")).agg(
         F.count(F.lit(1)).alias("send_count"), F.sum("offer_amount").alias("total_offer_amount")
     )
+    per_record = redemptions.groupBy("record_id", F.to_date("redemption_time").alias("stat_date")).agg(
+        F.count("redemption_id").alias("n"), F.sum("payment_amount").alias("sales")
+    )
     redeemed = (
-        redemptions.join(sends.select("record_id", "cs_id"), "record_id")
-        .groupBy("cs_id", F.to_date("redemption_time").alias("stat_date"))
-        .agg(F.count("redemption_id").alias("redemption_count"), F.sum("payment_amount").alias("total_sales"))
+        per_record.join(sends.select("record_id", "cs_id"), "record_id")
+        .groupBy("cs_id", "stat_date")
+        .agg(F.sum("n").alias("redemption_count"), F.sum("sales").alias("total_sales"))
     )
     counts, sums = ["send_count", "redemption_count"], ["total_offer_amount", "total_sales"]
     both = sent.join(redeemed, ["cs_id", "stat_date"], "full_outer").withColumns(
@@ -275,21 +278,19 @@ def offer_activity_effect(activities: DataFrame, sends: DataFrame, redemptions:
 def agent_rank_change(wide: DataFrame, day: str | dt.date) -> DataFrame:
     """Rank of each agent in the department on ``day`` and the change since the day before.
 
-    The change is null for an agent without a rank the day before.
+    The wide table holds the rank inside department and day.  The change is
+    null for an agent without a rank in the same department the day before.
     """
     today = as_date(day)
     before = today - dt.timedelta(days=1)
-    current = rank_in_group(wide.where(F.col("stat_date") == F.lit(today)), ["dept_name"], "redemption_count", "rank")
-    previous = rank_in_group(
-        wide.where(F.col("stat_date") == F.lit(before)).select("cs_id", "dept_name", "redemption_count"),
-        ["dept_name"],
-        "redemption_count",
-        "previous_rank",
-    ).drop("redemption_count")
+    current = wide.where(F.col("stat_date") == F.lit(today)).withColumnRenamed("rank_in_dept", "rank")
+    previous = wide.where(F.col("stat_date") == F.lit(before)).select(
+        "cs_id", "dept_name", F.col("rank_in_dept").alias("previous_rank")
+    )
     return (
         current.join(previous, ["cs_id", "dept_name"], "left")
         .withColumn("rank_change", F.col("rank") - F.col("previous_rank"))
-        .drop("previous_rank", "rank_in_dept", "stat_week", "stat_month")
+        .drop("previous_rank", "stat_week", "stat_month")
     )
 
 

@@ -49,33 +49,44 @@ def steps_in_session(
     table with one row per session and stretch carries the number of views
     before it and the first page after it.
     """
-    stretch = F.floor(F.unix_seconds(F.col(time)) / F.lit(chunk_seconds)).cast("bigint")
-    cut = views.select(session, F.col(time).alias("__t"), F.col(tie).alias("__tie"), F.col(page).alias("__page"),
-                       stretch.alias("__chunk"))
-    local = Window.partitionBy(session, "__chunk").orderBy("__t", "__tie")
+    # Keys without nulls: views without a session or time stay together, and no
+    # null filter is inferred that would make the two uses below differ.
+    stretch = F.coalesce(F.floor(F.unix_seconds(F.col(time)) / F.lit(chunk_seconds)).cast("bigint"), F.lit(-(1 << 62)))
+    key = ["__session", "__none"]
+    cut = views.select(
+        F.coalesce(F.col(session).cast("string"), F.lit("")).alias("__session"),
+        F.col(session).isNull().alias("__none"),
+        F.col(session),
+        F.col(time).alias("__t"),
+        F.col(tie).alias("__tie"),
+        F.col(page).alias("page_id"),
+        stretch.alias("__chunk"),
+    )
+    local = Window.partitionBy(*key, "__chunk").orderBy("__t", "__tie")
     numbered = cut.select(
-        session,
+        *key,
         "__chunk",
-        "__page",
+        session,
+        "page_id",
         F.row_number().over(local).alias("__rn"),
-        F.lead("__page").over(local).alias("__next"),
+        F.lead("page_id").over(local).alias("__next"),
         F.lead(F.lit(1)).over(local).isNull().alias("__last"),
     )
-    across = Window.partitionBy(session).orderBy("__chunk")
     # Taken from the numbered rows, so both sides use one scan and one shuffle.
+    across = Window.partitionBy(*key).orderBy("__chunk")
     stretches = (
-        numbered.groupBy(session, "__chunk")
-        .agg(F.max("__rn").alias("__n"), F.max(F.when(F.col("__rn") == 1, F.col("__page"))).alias("__first"))
+        numbered.groupBy(*key, "__chunk")
+        .agg(F.max("__rn").alias("__n"), F.max(F.when(F.col("__rn") == 1, F.col("page_id"))).alias("__first"))
         .select(
-            session,
+            *key,
             "__chunk",
             F.coalesce(F.sum("__n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
             F.lead("__first").over(across).alias("__following"),
         )
     )
-    return numbered.join(stretches, [session, "__chunk"]).select(
+    return numbered.join(stretches, [*key, "__chunk"]).select(
         session,
-        F.col("__page").alias("page_id"),
+        "page_id",
         (F.col("__before") + F.col("__rn")).alias("step"),
         F.when(F.col("__last"), F.col("__following")).otherwise(F.col("__next")).alias("next_page_id"),
     )
@@ -86,24 +97,32 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000)
 
     A sketch brackets the wanted position within a known rank error.  Only
     the values between the two bounds are ordered, the rows below are just
-    counted, so the exact value needs a sort of a small fixed share.
+    counted, so the exact value needs a sort of a small fixed share.  Up to
+    ``accuracy`` rows the bracket could be narrower than one row, and all
+    are ordered.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    number = F.col(column).cast("double")
+    values = df.select(number.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     margin = 4.0 / accuracy
-    bounds = values.agg(
-        F.percentile_approx("v", [max(0.0, q - margin), min(1.0, q + margin)], accuracy).alias("b"),
-    )
-    low, high = bounds.select(F.element_at("b", 1)).scalar(), bounds.select(F.element_at("b", 2)).scalar()
-    marked = values.withColumn("below", F.col("v") < low)
+    marks = [max(0.0, q - margin), min(1.0, q + margin)]
+    summary = values.agg(
+        F.struct(
+            F.percentile_approx("v", marks, accuracy).alias("bounds"),
+            F.count(F.lit(1)).alias("n"),
+        ).alias("s")
+    ).scalar()
+    few = summary["n"] <= accuracy
+    low = F.when(few, F.lit(float("-inf"))).otherwise(summary["bounds"][0])
+    high = F.when(few, F.lit(float("inf"))).otherwise(summary["bounds"][1])
+    position = (summary["n"] - 1) * F.lit(q)
     counts = (
-        marked.where(F.col("v") <= high)
-        .groupBy(F.when(~F.col("below"), F.col("v")).alias("v"))
+        values.where(F.col("v") <= high)
+        .groupBy(F.when(F.col("v") >= low, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    position = values.agg(((F.count(F.lit(1)) - 1) * F.lit(q)).alias("p")).scalar()
     upto = Window.orderBy(F.col("v").asc_nulls_first())
-    cumulated = counts.withColumn("upto", F.sum("n").over(upto))
-    at_floor = F.min(F.when(F.col("upto") > F.floor("p"), F.col("v")))
-    at_ceiling = F.min(F.when(F.col("upto") > F.ceil("p"), F.col("v")))
-    picked = cumulated.withColumn("p", position).agg(at_floor.alias("a"), at_ceiling.alias("b"), F.max("p").alias("p"))
+    cumulated = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("p", position)
+    at_floor = F.min(F.when(F.col("upto") > F.floor("p"), F.col("v"))).alias("a")
+    at_ceiling = F.min(F.when(F.col("upto") > F.ceil("p"), F.col("v"))).alias("b")
+    picked = cumulated.agg(at_floor, at_ceiling, F.max("p").alias("p"))
     return picked.select(F.col("a") + (F.col("b") - F.col("a")) * (F.col("p") - F.floor("p"))).scalar()

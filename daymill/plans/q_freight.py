@@ -267,39 +267,45 @@ def express_report_total(t: Tables):
     return fr.express_report(None, deliver, sort)
 
 
-@query("order_report",
-       f"""SELECT recent_days, cargo_type, cargo_type_name, CAST(SUM(order_count) AS BIGINT) AS order_count, SUM(order_amount) AS order_amount FROM org_cargo_day,
-       {WINDOWS} WHERE {IN_WINDOW} GROUP BY ALL UNION ALL SELECT recent_days, NULL, NULL, CAST(SUM(order_count) AS BIGINT), SUM(order_amount)
-       FROM org_cargo_day, {WINDOWS} WHERE {IN_WINDOW} GROUP BY recent_days""", "org_cargo_day", money="order_amount")
+def _order_report_sql(keys: str) -> str:
+    return f"""SELECT recent_days, {keys} CAST(SUM(order_count) AS BIGINT) AS order_count, SUM(order_amount) AS order_amount
+        FROM org_cargo_day, {WINDOWS} WHERE {IN_WINDOW} GROUP BY ALL"""
+
+
+@query("order_report", _order_report_sql(""), "org_cargo_day", money="order_amount")
 def order_report(t: Tables):
-    """By cargo type, and in total under a null type."""
-    rows = _all_windows(_org_cargo(t), ["cargo_type", "cargo_type_name"], ["order_count", "order_amount"])
-    by_type = fr.order_report(rows, ["cargo_type", "cargo_type_name"])
-    return by_type.unionByName(fr.order_report(rows), allowMissingColumns=True)
+    return fr.order_report(_all_windows(_org_cargo(t), [], ["order_count", "order_amount"]))
+
+
+@query("order_report_cargo_type", _order_report_sql("cargo_type, cargo_type_name,"), "org_cargo_day", money="order_amount")
+def order_report_cargo_type(t: Tables):
+    keys = ["cargo_type", "cargo_type_name"]
+    return fr.order_report(_all_windows(_org_cargo(t), keys, ["order_count", "order_amount"]), keys)
+
+
+def _transport_sql(keys: str) -> str:
+    return f"""SELECT recent_days, {keys} CAST(SUM(trans_finish_count) AS BIGINT) AS trans_finish_count, SUM(trans_finish_distance) AS trans_finish_distance,
+        SUM(trans_finish_dur_sec) AS trans_finish_dur_sec, CAST(SUM(trans_finish_order_count) AS BIGINT) AS trans_finish_order_count
+        FROM shift_nd GROUP BY ALL"""
 
 
 @query("transport_report",
-       """SELECT 'line' AS kind, recent_days, line_id AS key, CAST(SUM(trans_finish_count) AS BIGINT) AS trans_finish_count,
-       SUM(trans_finish_distance) AS trans_finish_distance, SUM(trans_finish_dur_sec) AS trans_finish_dur_sec,
-       CAST(SUM(trans_finish_order_count) AS BIGINT) AS trans_finish_order_count FROM shift_nd GROUP BY ALL
-       UNION ALL SELECT 'shift' AS kind, recent_days, shift_id, CAST(SUM(trans_finish_count) AS BIGINT), SUM(trans_finish_distance),
-       SUM(trans_finish_dur_sec), CAST(SUM(trans_finish_order_count) AS BIGINT) FROM shift_nd GROUP BY ALL
-       UNION ALL SELECT 'total' AS kind, recent_days, NULL, CAST(SUM(trans_finish_count) AS BIGINT), SUM(trans_finish_distance),
-       SUM(trans_finish_dur_sec), CAST(SUM(trans_finish_order_count) AS BIGINT) FROM shift_nd GROUP BY ALL""",
-       "shift_nd", money="trans_finish_distance")
+       f"""SELECT recent_days, CAST(SUM(n) AS BIGINT) AS trans_finish_count, SUM(dist) AS trans_finish_distance, SUM(secs) AS trans_finish_dur_sec
+       FROM ({_TRIPS_SQL}) GROUP BY recent_days""", "fin hubs_by_level", money="trans_finish_distance")
 def transport_report(t: Tables):
-    """By line, by shift and in total over the longer windows."""
-    nd = _shift_nd(t)
-    parts = []
-    for kind, keys in (("line", ["line_id"]), ("shift", ["shift_id"]), ("total", [])):
-        rows = fr.transport_report(nd, keys, with_orders=True)
-        key = F.col(keys[0]) if keys else F.lit(None).cast("bigint")
-        parts.append(
-            rows.select(
-                F.lit(kind).alias("kind"), "recent_days", key.alias("key"), *fr.TRIPS, "trans_finish_order_count"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """In total: the report day and the longer windows."""
+    rows = fr.transport_report(_trip_windows(t))
+    return rows.withColumn("trans_finish_dur_sec", F.col("trans_finish_dur_sec").cast("double"))
+
+
+@query("transport_report_line", _transport_sql("line_id, line_name,"), "shift_nd", money="trans_finish_distance")
+def transport_report_line(t: Tables):
+    return fr.transport_report(_shift_nd(t), ["line_id", "line_name"], with_orders=True)
+
+
+@query("transport_report_shift", _transport_sql("shift_id,"), "shift_nd", money="trans_finish_distance")
+def transport_report_shift(t: Tables):
+    return fr.transport_report(_shift_nd(t), ["shift_id"], with_orders=True)
 
 
 @query("truck_report",

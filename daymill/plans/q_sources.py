@@ -219,5 +219,5 @@ def union_with_history(t: Tables):
     today = fr.one_day(daily, lit.ORDERS_AS_OF).select(
         F.lit(lit.ORDERS_AS_OF).cast("date").alias("dt"), (F.col("order_count") * 10).alias("order_count")
     )
-    return partitions.union_with_history(daily, today)
+    return partitions.union_with_history(daily, today, [lit.ORDERS_AS_OF])
 

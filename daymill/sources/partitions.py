@@ -89,10 +89,12 @@ def publish_report(df: DataFrame, path: str, day: str | dt.date, day_column: str
     overwrite_partitions(stamped, path, [day_column], fmt)
 
 
-def union_with_history(history: DataFrame, today: DataFrame, day_column: str = "dt") -> DataFrame:
-    """Report history with the days of ``today`` replaced, as a frame."""
-    days = today.select(day_column).distinct()
-    return history.join(days, day_column, "left_anti").unionByName(today)
+def union_with_history(
+    history: DataFrame, today: DataFrame, days: Sequence[str | dt.date], day_column: str = "dt"
+) -> DataFrame:
+    """Report history with some days replaced, as a frame; the replaced folders are not read."""
+    kept = ~F.col(day_column).isin([as_date(d) for d in days])
+    return history.where(kept).unionByName(today)
 
 
 def verify_load(source: DataFrame, loaded: DataFrame, day_column: str = "dt") -> DataFrame:
