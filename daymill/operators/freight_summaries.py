@@ -117,6 +117,24 @@ def truck_finish_1d(finish: DataFrame, trucks: DataFrame, day: Day = None) -> Da
     )
 
 
+def hub_trips(
+    finish: DataFrame, orgs: DataFrame, regions: DataFrame, as_of: str | dt.date, days: Sequence[int] = (1, 7, 30)
+) -> DataFrame:
+    """Trips, distance and seconds per starting hub, with its city, for windows of days in one pass."""
+    trips = (
+        in_windows(finish, as_of, days)
+        .groupBy("recent_days", F.col("start_org_id").alias("org_id"), F.col("start_org_name").alias("org_name"))
+        .agg(
+            F.count("id").alias("trans_finish_count"),
+            F.sum("actual_distance").alias("trans_finish_distance"),
+            F.sum("finish_dur_sec").alias("trans_finish_dur_sec"),
+        )
+    )
+    hub = {"org_level": "__level", "region_id": "__region"}
+    placed = with_names(trips, orgs, "org_id", "id", hub)
+    return climb_regions(placed, regions, "__region", F.col("__level")).drop("__level", "__region")
+
+
 def shift_finish_nd(
     finish: DataFrame,
     orgs: DataFrame,

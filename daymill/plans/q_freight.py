@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from daymill.operators import freight_facts as ff
 from daymill.operators import freight_reports as fr
 from daymill.operators import freight_summaries as fs
-from daymill.operators.dimensions import climb_regions, with_names
 from daymill.operators.summaries import rolling_window_rollup
 from daymill.plans import literals as lit
 from daymill.plans import roles
@@ -189,13 +188,7 @@ def shift_finish_nd(t: Tables):
 
 
 def _trip_windows(t: Tables) -> DataFrame:
-    """Trips per hub and city for the report day and the longer windows."""
-    columns = ["org_id", "org_name", "city_id", "city_name", "recent_days", *fr.TRIPS]
-    nd = _shift_nd(t).select(columns)
-    daily = fr.one_day(_truck_days(t), lit.ORDERS_AS_OF)
-    placed = with_names(daily, roles.orgs(t), "org_id", "id", {"org_level": "__level", "region_id": "__region"})
-    placed = climb_regions(placed, roles.regions(t), "__region", F.col("__level"))
-    return placed.select(columns).unionByName(nd)
+    return fs.hub_trips(roles.transport_facts(t), roles.orgs(t), roles.regions(t), lit.ORDERS_AS_OF)
 
 
 _TRIPS_SQL = f"""SELECT recent_days, fin.start_org_id AS org_id, start_org_name AS org_name, city_id, city_name, COUNT(*) AS n,
@@ -216,8 +209,7 @@ def _area(t: Tables, keys: list[str]) -> DataFrame:
     orders = _all_windows(
         _org_cargo(t), ["org_id", "org_name", "city_id", "city_name"], ["order_count", "order_amount"]
     )
-    out = fr.area_trade_transport(orders, _trip_windows(t), keys)
-    return out.withColumn("trans_finish_dur_sec", F.col("trans_finish_dur_sec").cast("double"))
+    return fr.area_trade_transport(orders, _trip_windows(t), keys)
 
 
 @query("area_trade_transport", _area_sql("city_id, city_name"), "org_cargo_day fin hubs_by_level", money="order_amount trans_finish_distance")
@@ -294,8 +286,7 @@ def _transport_sql(keys: str) -> str:
        FROM ({_TRIPS_SQL}) GROUP BY recent_days""", "fin hubs_by_level", money="trans_finish_distance")
 def transport_report(t: Tables):
     """In total: the report day and the longer windows."""
-    rows = fr.transport_report(_trip_windows(t))
-    return rows.withColumn("trans_finish_dur_sec", F.col("trans_finish_dur_sec").cast("double"))
+    return fr.transport_report(_trip_windows(t))
 
 
 @query("transport_report_line", _transport_sql("line_id, line_name,"), "shift_nd", money="trans_finish_distance")

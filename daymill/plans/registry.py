@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,36 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """The test tables of one folder, read on demand."""
+    """The test tables of one folder, read on demand.
+
+    Frames are kept, so a query that uses a table or a role several times
+    opens its files and analyses it once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.once(f"table {name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+
+    def once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self.frames:
+            self.frames[key] = build()
+        return self.frames[key]
+
+
+def shared(role: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A role frame built once per :class:`Tables` and arguments."""
+
+    @wraps(role)
+    def cached(t: Tables, *args, **kwargs) -> DataFrame:
+        return t.once(f"{role.__name__}{args}{sorted(kwargs.items())}", lambda: role(t, *args, **kwargs))
+
+    return cached
 
 
 def comparable(df: DataFrame) -> DataFrame:

@@ -11,13 +11,14 @@ from daymill.operators import freight_facts as ff
 from daymill.operators import offers as of
 from daymill.operators import trade_facts as tf
 from daymill.plans import literals as lit
-from daymill.plans.registry import Tables
+from daymill.plans.registry import Tables, shared
 
 
 def instant(c: str) -> Column:
     return F.col(c).cast("timestamp")
 
 
+@shared
 def codes(t: Tables) -> DataFrame:
     return t.spark.sql(f"SELECT * FROM VALUES {lit.CODE_ROWS} AS t(dic_code, dic_name, parent_code)")
 
@@ -25,6 +26,7 @@ def codes(t: Tables) -> DataFrame:
 # ---- retail -------------------------------------------------------------------
 
 
+@shared
 def order_headers(t: Tables, with_province: bool = True) -> DataFrame:
     """Order headers; the province comes from the customer and is left null where no query reads it."""
     if with_province:
@@ -45,6 +47,7 @@ def order_headers(t: Tables, with_province: bool = True) -> DataFrame:
     )
 
 
+@shared
 def order_lines(t: Tables) -> DataFrame:
     priced = t.lineitem.withColumns(
         {"price": money("l_extendedprice"), "items": F.col("l_quantity").cast("bigint")}
@@ -68,6 +71,7 @@ def order_lines(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def line_activities(t: Tables) -> DataFrame:
     rows = order_lines(t).where(F.col("l_linestatus") == "O")
     return rows.groupBy(F.col("id").alias("order_detail_id")).agg(
@@ -75,6 +79,7 @@ def line_activities(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def line_coupons(t: Tables) -> DataFrame:
     rows = order_lines(t).where((F.col("l_linestatus") == "F") & (F.col("discount") > 0))
     return rows.groupBy(F.col("id").alias("order_detail_id")).agg(
@@ -82,11 +87,13 @@ def line_coupons(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def order_facts(t: Tables, with_province: bool = False) -> DataFrame:
     """Order line fact without promotion and voucher ids, which no summary reads."""
     return tf.order_detail_fact(order_lines(t), order_headers(t, with_province))
 
 
+@shared
 def payments(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_orderkey").alias("order_id"),
@@ -98,10 +105,12 @@ def payments(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def payment_facts(t: Tables) -> DataFrame:
     return tf.payment_fact(order_lines(t), order_headers(t, False), payments(t), codes(t))
 
 
+@shared
 def products(t: Tables) -> DataFrame:
     return t.part.select(
         F.col("p_partkey").alias("sku_id"),
@@ -113,6 +122,7 @@ def products(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def geo(t: Tables) -> DataFrame:
     provinces = t.nation.select(
         F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region_id")
@@ -121,6 +131,7 @@ def geo(t: Tables) -> DataFrame:
     return dims.geo_dim(provinces, regions)
 
 
+@shared
 def coupon_rules(t: Tables) -> DataFrame:
     """One voucher per discount level."""
     level = (F.col("l_discount").cast("decimal(4,2)") * 100).cast("int")
@@ -135,6 +146,7 @@ def coupon_rules(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def coupon_uses(t: Tables) -> DataFrame:
     """Voucher use events: reduced lines, used when the line ships."""
     lines = order_lines(t).where(F.col("discount") > 0)
@@ -152,6 +164,7 @@ def coupon_uses(t: Tables) -> DataFrame:
 # ---- traffic ------------------------------------------------------------------
 
 
+@shared
 def page_log(t: Tables) -> DataFrame:
     """Events as JSON log text; error events have no page, every tenth user is not signed in."""
     user = F.col("user_id")
@@ -185,10 +198,12 @@ def page_log(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.to_json(record).alias("log"))
 
 
+@shared
 def page_views(t: Tables) -> DataFrame:
     return tf.page_view_fact(page_log(t))
 
 
+@shared
 def users(t: Tables) -> DataFrame:
     """Customers who sign up in the month of the events."""
     made = F.lit("2024-01-01 06:00:00").cast("timestamp") + F.make_dt_interval(
@@ -197,6 +212,7 @@ def users(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("id"), made.alias("create_time"))
 
 
+@shared
 def logins(t: Tables) -> DataFrame:
     return tf.login_fact(page_views(t), "event_id")
 
@@ -204,6 +220,7 @@ def logins(t: Tables) -> DataFrame:
 # ---- freight ------------------------------------------------------------------
 
 
+@shared
 def regions(t: Tables) -> DataFrame:
     """Tree of provinces (regions), cities (nations) and districts (one per supplier)."""
     provinces = t.region.select(
@@ -223,6 +240,7 @@ def regions(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def orgs(t: Tables) -> DataFrame:
     """Hubs: even suppliers sit on a city (level 1), odd ones on their district (level 2)."""
     level = (F.col("s_suppkey") % 2 + 1).cast("int")
@@ -241,6 +259,7 @@ def _state(position: Column) -> Column:
     return F.element_at(F.expr(f"array({lit.STATE_LIST})"), (position % 9 + 1).cast("int"))
 
 
+@shared
 def freight_orders(t: Tables, earlier: bool = False) -> DataFrame:
     """Freight order headers; ``earlier`` gives the state each had in the open snapshot."""
     key = F.col("o_orderkey")
@@ -263,6 +282,7 @@ def freight_orders(t: Tables, earlier: bool = False) -> DataFrame:
     )
 
 
+@shared
 def cargo(t: Tables) -> DataFrame:
     kind = F.when(F.col("l_returnflag") == "A", "70001").when(F.col("l_returnflag") == "N", "70002").otherwise("70003")
     return t.lineitem.select(
@@ -275,29 +295,35 @@ def cargo(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def freight_details(t: Tables) -> DataFrame:
     return ff.order_cargo_fact(cargo(t), freight_orders(t), codes(t))
 
 
+@shared
 def open_orders(t: Tables) -> DataFrame:
     earlier = cargo(t).where(F.col("create_time") < F.lit(lit.OPEN_SNAPSHOT_CUT).cast("timestamp"))
     return ff.order_process_snapshot(earlier, freight_orders(t, earlier=True), codes(t))
 
 
+@shared
 def todays_cargo(t: Tables) -> DataFrame:
     return cargo(t).where(F.col("create_time") >= F.lit(lit.OPEN_SNAPSHOT_CUT).cast("timestamp"))
 
 
+@shared
 def milestone(t: Tables, kind: str) -> DataFrame:
     return ff.order_milestone_fact(todays_cargo(t), freight_orders(t), open_orders(t), codes(t), kind)
 
 
+@shared
 def delivered(t: Tables) -> DataFrame:
     return ff.order_milestone_by_exclusion(
         cargo(t), freight_orders(t), codes(t), ff.NOT_YET_DELIVERED, "deliver_suc_time"
     )
 
 
+@shared
 def hub_scans(t: Tables) -> DataFrame:
     shipped = F.unix_timestamp(instant("l_shipdate"))
     return t.lineitem.select(
@@ -313,6 +339,7 @@ def hub_scans(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def lines(t: Tables) -> DataFrame:
     n = F.col("n_nationkey")
     return t.nation.select(
@@ -327,11 +354,13 @@ def lines(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def shifts(t: Tables) -> DataFrame:
     raw = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("line_id"))
     return dims.shift_dim(raw, lines(t), codes(t))
 
 
+@shared
 def truck_models(t: Tables) -> DataFrame:
     return t.part.select("p_brand", "p_type").distinct().select(
         F.concat_ws("/", "p_brand", "p_type").alias("id"),
@@ -342,6 +371,7 @@ def truck_models(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def trucks(t: Tables) -> DataFrame:
     raw = t.part.select(
         F.col("p_partkey").alias("id"),
@@ -358,6 +388,7 @@ def trucks(t: Tables) -> DataFrame:
     return dims.truck_dim(raw, teams, truck_models(t), bases, codes(t))
 
 
+@shared
 def transport_tasks(t: Tables) -> DataFrame:
     """Order lines as trips from order day to ship day; a line that ships earlier never ends."""
     start, end = instant("o_orderdate"), instant("l_shipdate")
@@ -384,6 +415,7 @@ def transport_tasks(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def transport_facts(t: Tables) -> DataFrame:
     return ff.transport_finish_fact(transport_tasks(t), shifts(t))
 
@@ -391,6 +423,7 @@ def transport_facts(t: Tables) -> DataFrame:
 # ---- offers -------------------------------------------------------------------
 
 
+@shared
 def activities(t: Tables) -> DataFrame:
     size = F.col("p_size").cast("int")
     start = F.lit("1995-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days=size)
@@ -406,6 +439,7 @@ def activities(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def sends(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     sent = instant("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"), mins=(key % 60).cast("int"))
@@ -422,6 +456,7 @@ def sends(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def send_facts(t: Tables) -> DataFrame:
     return of.offer_send_fact(sends(t), activities(t), offers_now())
 
@@ -432,6 +467,7 @@ def offers_now():
     return dt.datetime.fromisoformat(lit.OFFERS_NOW)
 
 
+@shared
 def redemptions(t: Tables) -> DataFrame:
     """Returned lines, one redemption per order and line number; the seventh line is free."""
     price = money("l_extendedprice")
@@ -453,6 +489,7 @@ def redemptions(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def agents(t: Tables) -> DataFrame:
     return t.supplier.select(
         F.col("s_suppkey").alias("cs_id"),
@@ -461,6 +498,7 @@ def agents(t: Tables) -> DataFrame:
     )
 
 
+@shared
 def offer_products(t: Tables) -> DataFrame:
     """Products of campaigns; one product is in several campaigns."""
     return t.part.where(F.col("p_partkey") % 2 == 0).select((F.col("p_partkey") % 200).alias("product_id"))
@@ -469,6 +507,7 @@ def offer_products(t: Tables) -> DataFrame:
 # ---- labels -------------------------------------------------------------------
 
 
+@shared
 def entry_stats(t: Tables) -> DataFrame:
     """One entry per user and event type."""
     n = F.count(F.lit(1))
