@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import functions as F
 
 from daymill.functions import days, keys, text
@@ -298,7 +300,7 @@ def append_hash_list(t: Tables):
        """SELECT c_custkey, c_name, c_mktsegment, CAST(length(c_name) + 28 AS INTEGER) AS name_bytes FROM customer""")
 def encrypt_columns(t: Tables):
     """Round trip; the stored form is 28 bytes longer than the text."""
-    secret = F.unhex(F.sha2(F.lit("key of this query only"), 256))
+    secret = F.lit(secrets.token_bytes(32))  # a new key per run; the round trip does not depend on it
     rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
     stored = keys.encrypt_columns(rows, ["c_name", "c_mktsegment"], secret).withColumn(
         "name_bytes", F.length(F.unbase64("c_name"))

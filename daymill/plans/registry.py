@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymill.plans.ctes import with_ctes
-from daymill.session import apply_runtime_options
+from daymill.session import apply_runtime_options, size_for_input, stored_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,12 +26,19 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.frames: dict[str, DataFrame] = {}
+        self.bytes_read = 0
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.once(f"table {name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        return self.once(f"table {name}", lambda: self._open(name))
+
+    def _open(self, name: str) -> DataFrame:
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.bytes_read += stored_bytes(table)
+        size_for_input(self.spark, self.bytes_read)  # writers inside a query run at once
+        return table
 
     def once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
         if key not in self.frames:
@@ -76,7 +83,9 @@ def query(name: str, sql: str | None = None, ctes: str = "", days: str = "", mon
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             apply_runtime_options(spark)
-            return comparable(build(Tables(spark, folder)))
+            tables = Tables(spark, folder)
+            size_for_input(spark, 0)  # the session's own sizes; reading a table adjusts them
+            return comparable(build(tables))
 
         QUERIES[name] = run
         if sql is not None:

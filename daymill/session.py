@@ -28,6 +28,35 @@ def apply_runtime_options(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MB = 1 << 20
+SHUFFLE_INPUT_BYTES = 256 * MB
+MOST_SHUFFLE_PARTITIONS = 40_000
+SCAN_BYTES, LARGEST_SCAN_BYTES, SCAN_TASKS = 128 * MB, 512 * MB, 200_000
+OWN_PARTITIONS = "spark.daymill.ownShufflePartitions"
+
+
+def size_for_input(spark: SparkSession, input_bytes: int) -> None:
+    """Set shuffle partitions and scan splits for a job that reads ``input_bytes``.
+
+    Adaptive execution merges partitions that turn out small but never makes
+    more than it started with, so the start has to fit the input.  The
+    session's own number is the lower bound.
+    """
+    own = spark.conf.get(OWN_PARTITIONS, None)
+    if own is None:
+        own = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set(OWN_PARTITIONS, own)
+    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_INPUT_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(int(own), wanted)))
+    split = min(LARGEST_SCAN_BYTES, max(SCAN_BYTES, input_bytes // SCAN_TASKS))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+
+
+def stored_bytes(df) -> int:
+    """Size of the files behind a frame that was just read, from their listing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "daymill") -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own."""
     spark = (
@@ -44,19 +73,22 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "day
     return apply_runtime_options(spark)
 
 
+LOCAL_SHARED_DIR = "spark.daymill.localSharedDir"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can see: ``spark.checkpoint.dir`` of the session.
 
     Only a local session without that setting falls back to a temporary
     folder; on a cluster a missing setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SHARED_DIR, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="daymill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(LOCAL_SHARED_DIR, folder)
     return folder
 
 

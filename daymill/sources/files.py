@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daymill.functions.values import col
-
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 RAW_OPTIONS = {"sep": "\t", "nullValue": "NULL", "header": "true", "encoding": "UTF-8"}
 
@@ -50,8 +48,3 @@ def rows_from_json_lines(spark: SparkSession, path: str, schema: T.StructType) -
 
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-
-
-def concat_lines(df: DataFrame, column: str, path: str) -> None:
-    """Write one text column as lines."""
-    df.select(col(column).alias("value")).write.mode("overwrite").text(path)

@@ -148,9 +148,12 @@ def export_column_types(schema: T.StructType, long_text: tuple[str, ...] = ()) -
     return ", ".join(f"{f.name} {export_type(f.dataType, f.name in long_text)}" for f in schema.fields)
 
 
-def export_key(schema: T.StructType) -> str | None:
-    """A column called ``id`` becomes the primary key of the exported table."""
-    return next((f.name for f in schema.fields if f.name.lower() == "id"), None)
+def export_ddl(table: str, schema: T.StructType, long_text: tuple[str, ...] = (), key: str | None = "id") -> str:
+    """Statement that rebuilds the target table; a column called ``id`` becomes its key."""
+    columns = [f"{f.name} {export_type(f.dataType, f.name in long_text)}" for f in schema.fields]
+    if key and key in [f.name.lower() for f in schema.fields]:
+        columns.append(f"PRIMARY KEY ({key})")
+    return f"CREATE TABLE {table} (\n  " + ",\n  ".join(columns) + "\n)"
 
 
 def text_widths(df: DataFrame) -> DataFrame:
@@ -167,8 +170,13 @@ def export_jdbc(
     table: str,
     partitions: int = 8,
     long_text: tuple[str, ...] = (),
+    keep_table: bool = False,
 ) -> None:
-    """Rebuild a relational table from ``df``; each task inserts batches of 10,000."""
+    """Replace the rows of a relational table; each task inserts batches of 10,000.
+
+    ``keep_table`` empties a table made by :func:`export_ddl` instead of
+    creating one, so its key stays.  Rows never pass through the driver.
+    """
     (
         df.write.format("jdbc")
         .options(**connection)
@@ -176,6 +184,7 @@ def export_jdbc(
         .option("batchsize", BATCH_ROWS)
         .option("numPartitions", partitions)
         .option("createTableColumnTypes", export_column_types(df.schema, long_text))
+        .option("truncate", str(keep_table).lower())
         .mode("overwrite")
         .save()
     )

@@ -78,24 +78,8 @@ def catalogue_of(frames: Mapping[str, DataFrame]) -> list[tuple[str, str, int, s
     ]
 
 
-def create_day_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str, day_column: str = "dt", fmt: str = "orc"
-) -> None:
-    """Partitioned table over an external folder, snappy-compressed, comments kept."""
-    columns = T.StructType([*schema.fields, T.StructField(day_column, T.DateType())])
-    empty = spark.createDataFrame([], columns)
-    (
-        empty.writeTo(table)
-        .using(fmt)
-        .partitionedBy(F.col(day_column))
-        .option("path", location)
-        .tableProperty("compression", "snappy")
-        .createOrReplace()
-    )
-
-
 def table_ddl(table: str, schema: T.StructType, location: str, day_column: str = "dt", fmt: str = "orc") -> str:
-    """The same table as a CREATE TABLE statement."""
+    """Partitioned table over an external folder, snappy-compressed, column comments kept."""
     lines = []
     for field in schema.fields:
         comment = field.metadata.get("comment", "").replace("'", "\\'")
@@ -105,3 +89,9 @@ def table_ddl(table: str, schema: T.StructType, location: str, day_column: str =
         f"CREATE TABLE IF NOT EXISTS {table} (\n" + ",\n".join(lines) + f"\n) USING {fmt}\n"
         f"PARTITIONED BY (`{day_column}`)\nLOCATION '{location}'\nTBLPROPERTIES ('{fmt}.compress'='SNAPPY')"
     )
+
+
+def create_day_table(
+    spark: SparkSession, table: str, schema: T.StructType, location: str, day_column: str = "dt", fmt: str = "orc"
+) -> None:
+    spark.sql(table_ddl(table, schema, location, day_column, fmt))

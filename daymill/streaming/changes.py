@@ -82,7 +82,11 @@ def current_state(spark: SparkSession, path: str, row: T.StructType, key: str, p
 
 
 def compact(spark: SparkSession, path: str, target: str, row: T.StructType, key: str, position: str = "pos") -> None:
-    """Write the folded batches as the single base batch of a new table."""
+    """Write the folded batches as the single base batch of a new table.
+
+    Stop the stream first and start it on ``target`` with the same
+    checkpoint: later batches are added beside the base.
+    """
     folded_state(spark, path, row, key, position).withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy(
         "batch"
     ).parquet(target)

@@ -145,7 +145,9 @@ def test_export_types():
          T.StructField("path", T.StringType())]
     )
     assert jdbc.export_column_types(schema, ("path",)) == "id BIGINT, m DECIMAL(16,2), t VARCHAR(512), path LONGTEXT"
-    assert jdbc.export_key(schema) == "id"
+    ddl = jdbc.export_ddl("r", schema, ("path",))
+    assert "PRIMARY KEY (id)" in ddl and "m DECIMAL(16,2)" in ddl
+    assert "PRIMARY KEY" not in jdbc.export_ddl("r", schema, key=None)
 
 
 def test_csv_keeps_quotes_commas_and_lines(spark, tmp_path, rows):
@@ -194,7 +196,7 @@ def test_schema_from_catalogue(spark):
 
 def test_ddl_runs(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "it's"})])
-    spark.sql(schemas.table_ddl("ddl_check", schema, str(tmp_path / "ddl")))
+    schemas.create_day_table(spark, "ddl_check", schema, str(tmp_path / "ddl"))
     try:
         assert spark.table("ddl_check").columns == ["a", "dt"]
         assert spark.table("ddl_check").schema["a"].metadata["comment"] == "it's"

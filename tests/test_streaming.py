@@ -96,7 +96,11 @@ def test_change_feed_over_batches(spark, tmp_path, rows):
     want = [(1, "a2"), (3, "c"), (4, "d")]
     assert rows(ch.current_state(spark, path, ROW, "id")) == want
     ch.compact(spark, path, str(tmp_path / "base"), ROW, "id")
-    assert rows(ch.current_state(spark, str(tmp_path / "base"), ROW, "id")) == want
+    base = str(tmp_path / "base")
+    assert rows(ch.current_state(spark, base, ROW, "id")) == want
+    lines(source, "f9", [change("u", 7, (2, "b"), (2, "late again")), change("d", 11, before=(4, "d"))])
+    drain(ch.apply_changes(text_stream(spark, source), "value", ROW, "id", base, check, drain=True))
+    assert rows(ch.current_state(spark, base, ROW, "id")) == [(1, "a2"), (3, "c")]
 
 
 def test_a_batch_run_again_leaves_one_copy(spark, tmp_path, rows):
