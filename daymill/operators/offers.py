@@ -228,13 +228,22 @@ def agent_wide(sends: DataFrame, redemptions: DataFrame, agents: DataFrame) -> D
 
 
 def offer_overview(sends: DataFrame, as_of: str | dt.date, days: Sequence[int] = REPORT_WINDOWS) -> DataFrame:
-    """Sends, uses, mean offer, active agents and customers for 1, 7 and 30 days, from one scan."""
-    rows = in_windows(sends, as_of, days)
-    totals = rows.groupBy("recent_days").agg(
-        F.count("record_id").alias("total_send_count"),
-        F.sum("is_used").alias("total_redemption_count"),
-        ratio(F.sum("is_used"), F.count("record_id"), 4).alias("overall_redemption_rate"),
-        decimal_ratio(F.sum("offer_amount"), F.count("offer_amount")).alias("avg_offer_amount"),
+    """Sends, uses, mean offer, active agents and customers for 1, 7 and 30 days, from one scan.
+
+    Folded per agent and customer first, so the two distinct counts expand
+    the pairs and not the sends.
+    """
+    pairs = in_windows(sends, as_of, days).groupBy("recent_days", "cs_id", "customer_id").agg(
+        F.count("record_id").alias("sends"),
+        F.sum("is_used").alias("used"),
+        F.sum("offer_amount").alias("amount"),
+        F.count("offer_amount").alias("offers"),
+    )
+    totals = pairs.groupBy("recent_days").agg(
+        F.sum("sends").alias("total_send_count"),
+        F.sum("used").alias("total_redemption_count"),
+        ratio(F.sum("used"), F.sum("sends"), 4).alias("overall_redemption_rate"),
+        decimal_ratio(F.sum("amount"), F.sum("offers")).alias("avg_offer_amount"),
         F.count_distinct("cs_id").alias("active_cs_count"),
         F.count_distinct("customer_id").alias("active_customer_count"),
     )

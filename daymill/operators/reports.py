@@ -84,7 +84,7 @@ def order_to_pay_avg(flow: DataFrame, day: DayText | None = None) -> DataFrame:
         paid = paid.where(F.col("payment_date_id") == F.lit(as_date(day)))
     seconds = seconds_between("order_time", "payment_time")
     return paid.groupBy(F.col("payment_date_id").alias("dt")).agg(
-        F.floor(F.sum(seconds) / F.count(seconds)).cast("bigint").alias("order_to_pay_interval_avg")
+        F.call_function("div", F.sum(seconds), F.count(seconds)).alias("order_to_pay_interval_avg")
     )
 
 
@@ -153,7 +153,7 @@ def channel_traffic(sessions: DataFrame, as_of: DayText, days: Sequence[int] = R
 def action_funnel(
     pages: DataFrame, cart: DataFrame, orders: DataFrame, payments: DataFrame, home: str, detail: str
 ) -> DataFrame:
-    """Per day: home and detail visitors, cart users, order users, paying users."""
+    """Per day: home and detail visitors, cart users, order users, paying users; 0 for a step nobody took."""
     steps = [
         pages.where(F.col("page_id").isin(home, detail)).groupBy("dt").agg(
             F.count_if(F.col("page_id") == home).alias("home_count"),
@@ -164,8 +164,8 @@ def action_funnel(
         steps.append(df.groupBy("dt").agg(F.count(F.lit(1)).alias(name)))
     out = steps[0]
     for step in steps[1:]:
-        out = out.join(step, "dt", "inner")
-    return out
+        out = out.join(step, "dt", "full_outer")
+    return out.na.fill(0)
 
 
 def churn_and_return(today: DataFrame, yesterday: DataFrame, as_of: DayText) -> DataFrame:

@@ -360,14 +360,19 @@ def channel_traffic(t: Tables):
     return rp.channel_traffic(sm.session_page_1d(roles.page_views(t)), lit.EVENTS_AS_OF)
 
 
+_FUNNEL_STEPS = {"cart_count": "click", "order_count": "signup", "payment_count": "purchase"}
+
+
 @query("action_funnel",
-       """SELECT CAST(dt AS VARCHAR) AS dt, home_count, good_detail_count, cart_count, order_count, payment_count FROM
+       """SELECT CAST(dt AS VARCHAR) AS dt, COALESCE(home_count, 0) AS home_count, COALESCE(good_detail_count, 0) AS good_detail_count,
+       COALESCE(cart_count, 0) AS cart_count, COALESCE(order_count, 0) AS order_count, COALESCE(payment_count, 0) AS payment_count FROM
        (SELECT dt, COUNT(DISTINCT CASE WHEN page_id = 'view' THEN mid_id END) AS home_count,
-        COUNT(DISTINCT CASE WHEN page_id = 'click' THEN mid_id END) AS good_detail_count FROM views WHERE page_id IN ('view', 'click') GROUP BY dt)
-       JOIN (SELECT CAST(ts AS DATE) AS dt, COUNT(DISTINCT user_id) AS cart_count FROM events WHERE event_type = 'click' GROUP BY 1) USING (dt)
-       JOIN (SELECT CAST(ts AS DATE) AS dt, COUNT(DISTINCT user_id) AS order_count FROM events WHERE event_type = 'signup' GROUP BY 1) USING (dt)
-       JOIN (SELECT CAST(ts AS DATE) AS dt, COUNT(DISTINCT user_id) AS payment_count FROM events WHERE event_type = 'purchase' GROUP BY 1) USING (dt)""",
-       "views")
+        COUNT(DISTINCT CASE WHEN page_id = 'click' THEN mid_id END) AS good_detail_count FROM views WHERE page_id IN ('view', 'click') GROUP BY dt)"""
+       + "".join(
+           f""" FULL OUTER JOIN (SELECT CAST(ts AS DATE) AS dt, COUNT(DISTINCT user_id) AS {name} FROM events
+           WHERE event_type = '{event}' GROUP BY 1) USING (dt)"""
+           for name, event in _FUNNEL_STEPS.items()
+       ), "views")
 def action_funnel(t: Tables):
     day = F.to_date("ts").alias("dt")
 

@@ -33,6 +33,7 @@ SHUFFLE_INPUT_BYTES = 256 * MB
 MOST_SHUFFLE_PARTITIONS = 40_000
 SCAN_BYTES, LARGEST_SCAN_BYTES, SCAN_TASKS = 128 * MB, 512 * MB, 200_000
 OWN_PARTITIONS = "spark.daymill.ownShufflePartitions"
+SET_PARTITIONS = "spark.daymill.setShufflePartitions"
 
 
 def size_for_input(spark: SparkSession, input_bytes: int) -> None:
@@ -42,12 +43,13 @@ def size_for_input(spark: SparkSession, input_bytes: int) -> None:
     more than it started with, so the start has to fit the input.  The
     session's own number is the lower bound.
     """
-    own = spark.conf.get(OWN_PARTITIONS, None)
-    if own is None:
-        own = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set(OWN_PARTITIONS, own)
-    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_INPUT_BYTES))
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(int(own), wanted)))
+    now = spark.conf.get("spark.sql.shuffle.partitions")
+    if now != spark.conf.get(SET_PARTITIONS, None):  # first call, or set by the user since
+        spark.conf.set(OWN_PARTITIONS, now)
+    own = int(spark.conf.get(OWN_PARTITIONS))
+    wanted = str(max(own, min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_INPUT_BYTES))))
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    spark.conf.set(SET_PARTITIONS, wanted)
     split = min(LARGEST_SCAN_BYTES, max(SCAN_BYTES, input_bytes // SCAN_TASKS))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 

@@ -64,8 +64,8 @@ def target_schema(catalogue: DataFrame, table: str, day_column: str = "dt") -> T
     rows = sync_schema(catalogue, day_column).where(F.col("table_name") == table).orderBy("ordinal")
     schema = T.StructType()
     for row in rows.toLocalIterator():  # columns of one table, never data
-        schema.add(T.StructField(row["column_name"], T._parse_datatype_string(row["warehouse_type"]), True,
-                                 {"comment": row["comment"] or ""}))
+        kind = T.StructType.fromDDL(f"c {row['warehouse_type']}")["c"].dataType
+        schema.add(T.StructField(row["column_name"], kind, True, {"comment": row["comment"] or ""}))
     return schema
 
 

@@ -407,3 +407,33 @@ def test_channel_traffic_and_funnel(spark, rows):
         (1, "c", 1, 2, 2, 2, Dec("0.50")), (30, "c", 2, 1, 1, 3, Dec("0.67")), (7, "c", 2, 1, 1, 3, Dec("0.67")),
     ]
     assert out.where("channel is null").count() == 3
+
+
+def test_funnel_keeps_days_without_a_step(spark, rows):
+    pages = spark.createDataFrame([("home", DAY), ("home", DAY), ("other", ago(1))], "page_id string, dt date")
+    users = spark.createDataFrame([(1, DAY), (2, ago(1))], "user_id long, dt date")
+    out = rp.action_funnel(pages, users, users.limit(0), users.where("user_id = 1"), "home", "detail")
+    assert rows(out) == [(ago(1), 0, 0, 1, 0, 0), (DAY, 2, 0, 1, 0, 1)]
+
+
+def test_mean_payment_time_is_cut_to_whole_seconds(spark):
+    flow = spark.createDataFrame(
+        [(T(2024, 1, 30), T(2024, 1, 30, 0, 0, 2), DAY), (T(2024, 1, 30), T(2024, 1, 30, 0, 0, 3), DAY), (T(2024, 1, 30), None, None)],
+        "order_time timestamp, payment_time timestamp, payment_date_id date",
+    )
+    assert rg(rp.order_to_pay_avg(flow, DAY)) == (DAY, 2)
+    back = flow.where("payment_date_id is not null").selectExpr(
+        "payment_time AS order_time", "order_time AS payment_time", "payment_date_id"
+    )
+    assert rg(rp.order_to_pay_avg(back, DAY)) == (DAY, -2)
+
+
+def test_overview_counts_each_agent_and_customer_once(spark, rows):
+    sends = spark.createDataFrame(
+        [(1, 1, 5, DAY, 1, Dec("2.00")), (2, 1, 6, DAY, 0, Dec("4.00")), (3, 2, 5, ago(6), 1, None), (4, 3, 7, ago(30), 1, Dec("1.00"))],
+        f"record_id long, cs_id long, customer_id long, dt date, is_used int, offer_amount {MONEY}",
+    )
+    out = of.offer_overview(sends, DAY)
+    assert rows(out, "recent_days", "total_send_count", "total_redemption_count", "avg_offer_amount", "active_cs_count", "active_customer_count") == [
+        (1, 2, 1, Dec("3.00"), 1, 2), (30, 3, 2, Dec("3.00"), 2, 2), (7, 3, 2, Dec("3.00"), 2, 2),
+    ]

@@ -5,7 +5,7 @@ from daymill import session
 
 @pytest.fixture
 def sizes(spark):
-    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", session.OWN_PARTITIONS]
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", session.OWN_PARTITIONS, session.SET_PARTITIONS]
     old = {n: spark.conf.get(n, None) for n in names}
     yield lambda: tuple(int(spark.conf.get(n)) for n in names[:2])
     for n, v in old.items():
@@ -21,6 +21,10 @@ def test_partitions_grow_with_the_input_and_return(spark, sizes):
     assert sizes() == (40_000, 512 << 20)
     session.size_for_input(spark, 1 << 20)
     assert sizes() == (own, split)
+    spark.conf.set("spark.sql.shuffle.partitions", "33")  # the user changes their mind
+    session.size_for_input(spark, 1 << 40)
+    session.size_for_input(spark, 0)
+    assert sizes()[0] == 33
 
 
 class Conf(dict):
