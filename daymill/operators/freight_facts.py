@@ -116,29 +116,28 @@ def order_milestones(
             out = F.when(F.col("status") == m.status, value[kind]).otherwise(out)
         return out
 
-    reached = (
-        _live(orders)
-        .where(F.col("status").isin(*[m.status for m in chosen.values()]))
-        .select(
-            F.col("id").alias("__r"),
-            F.col("status").alias("__status"),
-            by_status({k: F.lit(k) for k in chosen}, F.lit(None).cast("string")).alias("kind"),
-            by_status(
-                {k: F.array(*[F.lit(p) for p in m.prior]) for k, m in chosen.items()}, F.array().cast("array<string>")
-            ).alias("__prior"),
-            _local("update_time").alias("milestone_time"),
-        )
-    )
     columns = [*CARGO_COLUMNS, *[c for c in ORDER_COLUMNS if c != "status"], "receiver_name", "sender_name"]
+    reached = _live(orders).where(F.col("status").isin(*[m.status for m in chosen.values()]))
+    new = _cargo_with_order(cargo.select(CARGO_COLUMNS), reached, ["update_time"])
+
     allowed = sorted({p for m in chosen.values() for p in m.prior})
     earlier = open_orders.where((F.col("end_date") == F.lit(OPEN_END)) & F.col("status").isin(*allowed))
-    new = _cargo_with_order(cargo.select(CARGO_COLUMNS), orders)
-    lines = earlier.select(*columns, F.col("status").alias("__was")).unionByName(
-        new.select(*columns, F.lit(None).cast("string").alias("__was"))
+    prior = by_status(
+        {k: F.array(*[F.lit(p) for p in m.prior]) for k, m in chosen.items()}, F.array().cast("array<string>")
+    )
+    step = reached.select(F.col("id").alias("__r"), "status", "update_time", prior.alias("__prior"))
+    moved = earlier.withColumnRenamed("status", "__was").join(
+        step, (F.col("order_id") == F.col("__r")) & F.array_contains("__prior", F.col("__was")), "inner"
+    )
+    lines = new.select(*columns, "status", "update_time").unionByName(moved.select(*columns, "status", "update_time"))
+    named = lines.withColumns(
+        {
+            "kind": by_status({k: F.lit(k) for k in chosen}, F.lit(None).cast("string")),
+            "milestone_time": _local("update_time"),
+            "dt": F.to_date(_local("update_time")),
+        }
     )
-    fits = F.col("__was").isNull() | F.array_contains("__prior", F.col("__was"))
-    out = lines.join(reached, (F.col("order_id") == F.col("__r")) & fits, "inner").drop("__r", "__prior", "__was")
-    return _decoded(out.withColumnRenamed("__status", "status"), codes).withColumn("dt", F.to_date("milestone_time"))
+    return _decoded(named.drop("update_time"), codes)
 
 
 def order_milestone_fact(
