@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from daymill.plans.registry import QUERIES
 from tools.check import compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,7 +27,7 @@ def no_cross_join_and_no_python(df):
         assert bad not in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     status, note, _ = compare(spark, db, name, FOLDER, no_cross_join_and_no_python)
     # The smallest tables hold too few orders for some short windows.
