@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+import types
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -73,3 +76,12 @@ def with_range(df: DataFrame, key: str, cuts: list[int], out: str) -> DataFrame:
     given = df.withColumn(number, F.coalesce(col(key).cast("double"), F.lit(float("-inf"))))
     search = Bucketizer(splits=[float("-inf"), *map(float, cuts), float("inf")], inputCol=number, outputCol=out)
     return search.transform(given).withColumn(out, F.col(out).cast("int")).drop(number)
+
+
+def per_process(key: Any, make: Callable[[], Any]) -> Any:
+    """A value made once in a Python worker and found again by its later tasks (vocabularies, compiled tables)."""
+    shelf = sys.modules.setdefault("daymill_worker_shelf", types.ModuleType("daymill_worker_shelf"))
+    values = shelf.__dict__.setdefault("values", {})
+    if key not in values:
+        values[key] = make()
+    return values[key]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import simhash
-from daymill.session import apply_runtime_options
+from daymill.llm import bpe, orc_ids, simhash
+from daymill.session import apply_runtime_options, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +28,24 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
+
+
+@query
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.decode(tokens, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.text_of_ids(), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op9_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    table = scratch_table(spark, "ids")
+    orc_ids.write_ids(docs, table, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return orc_ids.checksums(orc_ids.read_ids(spark, table))
