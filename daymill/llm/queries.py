@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import bpe, orc_ids, simhash
+from daymill.llm import bpe, mixing, orc_ids, simhash, sketch
 from daymill.session import apply_runtime_options, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,25 @@ def op9_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     table = scratch_table(spark, "ids")
     orc_ids.write_ids(docs, table, public_tokenizers.path("word_bpe_49k.json"), end=2)
     return orc_ids.checksums(orc_ids.read_ids(spark, table))
+
+
+@query
+def op2_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    return sketch.compare_with_edits(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+        "kept_in_edited",
+        "kept_in_next",
+    )
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source")
+    return mixing.taken(mixing.mix(docs)).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
