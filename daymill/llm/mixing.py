@@ -220,5 +220,5 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     picked = F.array_join(F.flatten(F.transform(F.col(cuts), lambda c: F.slice(every, (c["from_word"] + 1).cast("int"), (c["to_word"] - c["from_word"]).cast("int")))), "")
     whole = F.col(words) == F.col(size)
     new = F.when(whole, col(text)).otherwise(picked)
-    out = [new.alias(c) if c == text else F.length(new).cast("long").alias(c) if c == "n_chars" else col(c) for c in docs.columns]
-    return joined.select(*out)
+    made = joined.select(*[new.alias(c) if c == text else col(c) for c in docs.columns])
+    return made.withColumn("n_chars", F.length(col(text)).cast("long")) if "n_chars" in docs.columns else made
