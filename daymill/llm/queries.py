@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import bpe, disclosure, mixing, orc_ids, simhash, sketch
+from daymill.llm import bpe, disclosure, mixing, orc_ids, severity, simhash, sketch
 from daymill.session import apply_runtime_options, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ def op4_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*disclosure.KINDS))
     counts = [F.size(disclosure.of_kind(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in disclosure.KINDS]
     return found.select("doc_id", *counts, F.sha2(disclosure.written(base), 256).alias("base_sha256"), disclosure.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_severity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = severity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return severity.grade(docs, model).select("doc_id", "expected_severity", "p_toxic", "severity", "toxic")
