@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daymill.llm.common import WORD, col, fresh, stored
+from daymill.llm.common import WORD, col, fresh, partitions, stored
 
 #: Weights of the sources in code point order, repeating; null is the last source.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -137,7 +137,7 @@ def mix(
     numbered = up_to.where("wanted > 0").select(
         "source", "blocks", "first_slot", "all_slots", "wanted", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("wanted") - 1) / SHARD_SLOTS))).alias("run")
     )
-    dealt = numbered.repartition("source", "run").select(
+    dealt = numbered.repartition(partitions(docs), "source", "run").select(
         "source",
         "blocks",
         "first_slot",
@@ -168,7 +168,8 @@ def stretches(mixed: Mix) -> DataFrame:
         "first_word",
         F.explode(F.sequence(F.floor(F.col("first_word") / b), F.floor((F.col("first_word") + F.col("size") - 1) / b))).alias("block"),
     )
-    drawn = mixed.slots.select(F.col("source").alias("of"), F.col("block").alias("number"), "pass", "shard", "place")
+    # The slots unfold from few rows and grow with the data: never a broadcast.
+    drawn = mixed.slots.select(F.col("source").alias("of"), F.col("block").alias("number"), "pass", "shard", "place").hint("merge")
     joined = lying.join(drawn, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("number")))
     return joined.select(
         "key",
