@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymill.llm import bpe, disclosure, mixing, orc_ids, severity, simhash, sketch
+from daymill.llm import bpe, disclosure, mixing, orc_ids, preference, severity, simhash, sketch, style_tree, topk
 from daymill.session import apply_runtime_options, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,8 +35,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(tokens, path).select(
+    return bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.text_of_ids(), 256).alias("ids_sha256"),
@@ -87,3 +87,74 @@ def op8_severity(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     model = severity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     return severity.grade(docs, model).select("doc_id", "expected_severity", "p_toxic", "severity", "toxic")
+
+
+@query
+def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding"))
+    return topk.top_k(vectors.where(F.col("id") % 20 == 0), vectors)
+
+
+ORACLES["op5_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.e, x.e) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query
+def op6_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html")
+    return style_tree.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op3_preference(spark: SparkSession, folder: str) -> DataFrame:
+    turns = preference.numbered(spark.read.parquet(f"{folder}/conversations.parquet"), "conv_id")
+    pairs = preference.preference_pairs(*preference.with_other_reply(turns))
+
+    def spans(mask: str):
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(mask)
+
+    return pairs.select(F.col("pair").alias("conv_id"), "prompt_turns", "prompt", "chosen", "rejected", spans("chosen_mask"), spans("rejected_mask"))
+
+
+ORACLES["op3_preference"] = """
+WITH t AS (
+  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 WHEN 'assistant' THEN 3 ELSE 99 END, coalesce(role, ''), coalesce(text, '')) - 1 AS INTEGER) AS place,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, max(place) AS place, arg_max(text, place) AS reply FROM t WHERE role = 'assistant' GROUP BY conv_id
+), n AS (
+  SELECT *, coalesce(lead(reply) OVER (ORDER BY conv_id), first_value(reply) OVER (ORDER BY conv_id)) AS other FROM l
+), r AS (
+  SELECT t.conv_id, t.place, n.place AS last, t.role, t.text, n.reply, n.other,
+    '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS shown
+  FROM t JOIN n USING (conv_id) WHERE t.place <= n.place
+)
+SELECT conv_id, CAST(count(*) FILTER (place < last OR reply = other) AS INTEGER) AS prompt_turns,
+  coalesce(string_agg(shown, '' ORDER BY place) FILTER (place < last OR reply = other), '') AS prompt,
+  CASE WHEN any_value(reply) = any_value(other) THEN '' ELSE '<|assistant|>' || chr(10) || any_value(reply) || '<|end|>' || chr(10) END AS chosen,
+  CASE WHEN any_value(reply) = any_value(other) THEN '' ELSE '<|assistant|>' || chr(10) || any_value(other) || '<|end|>' || chr(10) END AS rejected,
+  CASE WHEN any_value(reply) = any_value(other) THEN '' ELSE '14:' || CAST(14 + length(any_value(reply)) AS VARCHAR) END AS chosen_mask,
+  CASE WHEN any_value(reply) = any_value(other) THEN '' ELSE '14:' || CAST(14 + length(any_value(other)) AS VARCHAR) END AS rejected_mask
+FROM r GROUP BY conv_id
+"""
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder).withColumn("ids", bpe.text_of_ids())
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
