@@ -14,6 +14,8 @@ from __future__ import annotations
 import base64
 import codecs
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,16 +23,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daymill.llm.common import col, fresh, per_process
+from daymill.llm.common import Remembered, col, fresh, map_arrow, packed_lists, per_process
 
 #: White space as Unicode defines it; fixed values.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Stretches that no match of a pattern of :func:`splits_at_spaces` crosses.
 STRETCH = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Split texts remembered by a task, deterministic states kept by a transducer; beyond that they are made anew.
-REMEMBERED, STATES = 600_000, 400_000
-#: Bytes after which a long piece's settled tokens are passed on.
+REMEMBERED, STATES = 600_000, 250_000
+#: Bytes of a long piece after which tokens are emitted as soon as they are settled.
 LOOKAHEAD = 512
 
 
@@ -46,26 +49,30 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]  # the trie of tokens
-        self.token_at: list[int] = [-1]
+        self.child: dict[int, int] = {}  # the trie of tokens: node << 8 | byte to node; the root is 0
+        self.token_at, self.inner = [-1], [True]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                after = self.children[node].get(byte)
+                self.inner[node] = True
+                after = self.child.get(node << 8 | byte)
                 if after is None:
-                    after = self.children[node][byte] = len(self.children)
-                    self.children.append({})
+                    after = self.child[node << 8 | byte] = len(self.token_at)
                     self.token_at.append(-1)
+                    self.inner.append(False)
                 node = after
             self.token_at[node] = rank
         self.length = {rank: len(token) for token, rank in ranks.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.made_of: dict[int, tuple[int, int]] = {}
         self._forget()
 
     def _forget(self) -> None:
-        """Only the start state: the trie's root, with no token before."""
-        start = ((0, -1),)
+        """Only the start state: the trie's root, with no token before.
+
+        A pair is a number, node << 20 | token before + 1; a state is the bytes of its pairs.
+        """
+        start = array("q", [0]).tobytes()
         self.state_of, self.pairs, self.last, self.alone, self.arcs = {start: 0}, [start], [-1], [True], {}
 
     def parts(self, text: bytes, below: int) -> list[bytes]:
@@ -91,13 +98,7 @@ class Transducer:
 
     def can_follow(self, token: int, before: int) -> bool:
         """Whether merging the bytes of ``before`` and ``token`` leaves these two; -1 is the start of a piece."""
-        known = self.fits.get((before, token))
-        if known is None:
-            known = self.halves(token)[0] != -2 and (before < 0 or self._apart(before, token))
-            if len(self.fits) >= STATES:
-                self.fits.clear()
-            self.fits[before, token] = known
-        return known
+        return self.halves(token)[0] != -2 and (before < 0 or self._apart(before, token))
 
     def _apart(self, left: int, right: int) -> bool:
         """Undoes the merges next to the seam, the latest first; false if the seam would have been merged before one.
@@ -119,25 +120,34 @@ class Transducer:
 
     def _arc(self, state: int, byte: int) -> int:
         """The deterministic state after ``byte``, made if it is new."""
-        alive, last = [], None
-        for node, before in self.pairs[state]:
-            after = self.children[node].get(byte)
+        child, token_at, inner, fits = self.child, self.token_at, self.inner, self.fits
+        alive, last = [], -1
+        for pair in memoryview(self.pairs[state]).cast("q"):
+            after = child.get((pair >> 20) << 8 | byte)
             if after is None:
                 continue
-            token = self.token_at[after]
-            if last is None and token >= 0 and self.can_follow(token, before):
-                last = token
-            if self.children[after]:
-                alive.append((after, before))
-        if last is None:
+            token, before = token_at[after], pair & 0xFFFFF
+            if last < 0 <= token:
+                fit = fits.get(before << 20 | token)
+                if fit is None:
+                    if len(fits) >= 2 * STATES:
+                        fits.clear()
+                    fit = fits[before << 20 | token] = self.can_follow(token, before - 1)
+                if fit:
+                    last = token
+            if inner[after]:
+                alive.append(after << 20 | before)
+        if last < 0:
             raise ValueError(f"no token for byte {byte}")
-        key = (*alive, (0, last))
+        alone = not alive
+        alive.append(last + 1)
+        key = array("q", alive).tobytes()
         known = self.state_of.get(key)
         if known is None:
             known = self.state_of[key] = len(self.pairs)
             self.pairs.append(key)
             self.last.append(last)
-            self.alone.append(not alive)
+            self.alone.append(alone)
         self.arcs[state << 8 | byte] = known
         return known
 
@@ -150,15 +160,16 @@ class Transducer:
             self._forget()
         out: list[int] = []
         arcs, path, state = self.arcs, [], 0
-        for at in range(0, len(piece), LOOKAHEAD):
-            for byte in piece[at : at + LOOKAHEAD]:
-                after = arcs.get(state << 8 | byte)
-                state = self._arc(state, byte) if after is None else after
-                path.append(state)
-            if at + LOOKAHEAD < len(piece):  # a long piece: pass on what is settled
-                settled = max((i + 1 for i, s in enumerate(path) if self.alone[s]), default=0)
-                self._emit(path[:settled], out)
-                path = path[settled:]
+        push = path.append
+        for byte in piece:
+            try:
+                state = arcs[state << 8 | byte]
+            except KeyError:
+                state = self._arc(state, byte)
+            push(state)
+            if len(path) >= LOOKAHEAD and self.alone[state]:  # no token crosses: all before is settled
+                self._emit(path, out)
+                path.clear()
         self._emit(path, out)
         return out
 
@@ -189,36 +200,25 @@ class Encoder:
         # \s in the pattern is Unicode's white space; the regex module would add four control characters.
         self.match = regex.compile(pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]"))
         self.plain = splits_at_spaces(pattern)
-        self.stretches = STRETCH.findall if self.plain else lambda text: [text]
-        self.known: dict[str, list[int]] = {}  # ids of stretches and of matches, which are cut alike
+        self.stretches = STRETCH.findall if self.plain else lambda text: [text] if text else []
+        self.known = Remembered(self._stretch, REMEMBERED)
+        self.pieces = Remembered(self._piece, REMEMBERED // 4)
 
-    def _split(self, stretch: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
+        ids = array("i", self.transducer.encode(piece.encode("utf-8", "replace")))
+        return ids.tobytes() if sys.byteorder == "little" else np.array(ids, "<i4").tobytes()
+
+    def _stretch(self, stretch: str) -> bytes:
         if self.plain and (stretch[1:] if stretch[0] == " " else stretch).isalpha():
-            return self.transducer.encode(stretch.encode())  # one match
-        out: list[int] = []
-        for piece in self.match.findall(stretch):
-            ids = self.known.get(piece)
-            if ids is None:
-                ids = self._keep(piece, self.transducer.encode(piece.encode("utf-8", "replace")))
-            out += ids
-        return out
+            return self._piece(stretch)  # one match
+        return b"".join(map(self.pieces.__getitem__, self.match.findall(stretch)))
 
-    def _keep(self, text: str, ids: list[int]) -> list[int]:
-        if len(text) < 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = ids
-        return ids
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian 32-bit numbers."""
+        return b"".join(map(self.known.__getitem__, self.stretches(text)))
 
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        for stretch in self.stretches(text or ""):
-            ids = known.get(stretch)
-            if ids is None:
-                ids = self._keep(stretch, self._split(stretch)) if stretch else []
-            out += ids
-        return out
+        return np.frombuffer(self.packed(text or ""), "<i4").tolist()
 
 
 class StreamDecoder:
@@ -235,26 +235,23 @@ class StreamDecoder:
         return self.machine.decode(b"".join(map(self.bytes_of.__getitem__, ids)), final)
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    flat = np.fromiter((i for part in ids for i in part), np.int32, int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-
-
 #: Ids in one Arrow batch that a task hands on.
-IDS_AT_ONCE = 1 << 22
+IDS_AT_ONCE = 1 << 19
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with ``out``, the token ids (array of int) of the whole ``text``.
 
-    ``path`` names a rank file that every executor has.  Null and empty texts have no ids.  All other columns and
-    rows are kept as they are, repeated ones too; an input column called ``out`` is replaced.
+    ``path`` names a rank file that every executor has.  ``decoded`` names a further column for the text that the ids
+    spell, decoded from them by the stream decoder in the same pass.  Null and empty texts have no ids.  All other
+    columns and rows are kept as they are, repeated ones too; input columns of the new names are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() != out.lower()]
+    new = [out] if decoded is None else [out, decoded]
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in new}]
     given = fresh(docs, "given_text")
     source = docs.select(*map(col, kept), col(text).cast("string").alias(given))
-    schema = source.select(*map(col, kept), F.array(F.lit(0)).alias(out)).schema
+    kinds = {out: T.ArrayType(T.IntegerType())} | ({decoded: T.StringType()} if decoded else {})
+    schema = T.StructType([*[source.schema[c] for c in kept], *[T.StructField(n, k) for n, k in kinds.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
@@ -263,14 +260,24 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
             at, ids, held = 0, [], 0
             texts = batch.column(len(kept))
             for i in range(len(texts)):
-                ids.append(encoder.encode(texts[i].as_py()))
-                held += len(ids[-1])
+                ids.append(encoder.packed(texts[i].as_py() or ""))
+                held += len(ids[-1]) // 4
                 if held >= IDS_AT_ONCE or i == len(texts) - 1:
                     columns = [batch.column(k).slice(at, len(ids)) for k in range(len(kept))]
-                    yield pa.RecordBatch.from_arrays([*columns, _lists(ids)], names=[*kept, out])
+                    made = [packed_lists(ids)]
+                    if decoded:
+                        made.append(pa.array([decode_packed(x, encoder.transducer.bytes_of) for x in ids], pa.string()))
+                    yield pa.RecordBatch.from_arrays([*columns, *made], names=[*kept, *new])
                     at, ids, held = i + 1, [], 0
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
+
+
+def decode_packed(ids: bytes, bytes_of: dict[int, bytes], chunk: int = 4096) -> str:
+    """The text of little-endian 32-bit ids, ``chunk`` of them at a time."""
+    numbers, decoder = np.frombuffer(ids, "<i4"), StreamDecoder(bytes_of)
+    parts = [decoder.feed(numbers[at : at + chunk].tolist()) for at in range(0, len(numbers), chunk)]
+    return "".join(parts) + decoder.feed((), final=True)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded", chunk: int = 4096) -> DataFrame:
@@ -288,7 +295,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
         bytes_of = None
         for batch in batches:
             bytes_of = bytes_of or per_process(("bpe bytes", path), lambda: {rank: token for token, rank in read_ranks(path).items()})
-            lists, texts = batch.column(len(kept)), []
+            lists, texts, held, done = batch.column(len(kept)), [], 0, 0
             flat, ends = lists.values, lists.offsets.to_numpy()
             for i in range(len(lists)):
                 decoder, parts = StreamDecoder(bytes_of), []
@@ -297,9 +304,13 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded",
                         some = flat.slice(at, min(chunk, ends[i + 1] - at)).to_pylist()
                         parts.append(decoder.feed(x for x in some if x is not None))
                 texts.append("".join(parts) + decoder.feed((), final=True))
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, out])
+                held += int(ends[i + 1] - ends[i])
+                if held >= IDS_AT_ONCE or i == len(lists) - 1:
+                    columns = [batch.column(k).slice(done, len(texts)) for k in range(len(kept))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*kept, out])
+                    texts, held, done = [], 0, i + 1
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def text_of_ids(ids: str = "ids"):

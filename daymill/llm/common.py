@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymill.session import scratch_table
 
@@ -85,3 +88,44 @@ def per_process(key: Any, make: Callable[[], Any]) -> Any:
     if key not in values:
         values[key] = make()
     return values[key]
+
+
+class Remembered(dict):
+    """Values of ``make`` by argument, in two generations of up to ``most`` / 2.
+
+    When the young one is full it becomes the old one; what is asked for again comes back from there.  Long arguments
+    are not kept.
+    """
+
+    def __init__(self, make: Callable[[str], Any], most: int, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most // 2, longest, {}
+
+    def __missing__(self, argument: str) -> Any:
+        value = self.old.get(argument)
+        if value is None:
+            value = self.make(argument)
+        if len(argument) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[argument] = value
+        return value
+
+
+def packed_lists(packed: list[bytes]) -> pa.ListArray:
+    """Little-endian 32-bit numbers as a list of ints for each row."""
+    ends = np.cumsum([0, *map(len, packed)], dtype=np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` by position, so that any column name will do, dots included."""
+    names = [f"c{i}" for i in range(len(schema.fields))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    plain = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema.fields)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)
