@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymill.llm.common import Remembered, col, fresh, stored
+from daymill.llm.common import Remembered, col, fresh, map_arrow, stored
 
 #: Labelled rows the model is fitted on at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 10_000
@@ -210,7 +210,7 @@ def grade(docs: DataFrame, model: Severity, text: str = "text", reject_from: flo
             made = [above.sum(axis=1), above[:, 0], chance.argmax(axis=1).astype(np.int32), above[:, 0] >= cut]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], *map(pa.array, made)], names=[*kept, *new])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def keep_clean(docs: DataFrame, model: Severity, text: str = "text", reject_from: float | None = None) -> DataFrame:

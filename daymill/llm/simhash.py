@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymill.llm.common import fresh, partitions, replace, stored
+from daymill.llm.common import fresh, map_arrow, partitions, replace, stored
 
 SEED = 42
 SHINGLE_WORDS = 4
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "simhash") -> D
             columns = [batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(prints)], names=[*kept, out])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 # ---- BK-trees, many at once ----------------------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymill.llm.common import col, fresh, partitions, ranges, with_range
+from daymill.llm.common import col, fresh, map_arrow, partitions, ranges, with_range
 
 SHINGLE_WORDS = 5
 SEED = 42
@@ -100,7 +100,7 @@ def sketches(docs: DataFrame, text: str = "text", out: str = "fingerprint", frac
             made = pa.array((packed(sketch(t.as_py(), fraction)) for t in batch.column(len(kept))), pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], made], names=[*kept, out])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None = None) -> DataFrame:

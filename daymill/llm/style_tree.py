@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymill.llm.common import col, fresh, stored
+from daymill.llm.common import col, fresh, map_arrow, stored
 
 #: Weight of the contents' entropy against the styles'; importance below which a branch goes; pages a node needs.
 CONTENT, LEAST, PAGES = 0.9, 0.2, 5
@@ -246,4 +246,4 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", text: str
             made = [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], *made], names=[*kept, text, "n_chars"])
 
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)

@@ -49,7 +49,7 @@ class CoverTree:
 def cover_tree(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF_ROWS) -> CoverTree:
     """Tree of whole-number vectors; repeated points share a leaf, however many they are."""
     points, ids = points.copy(), ids.copy()
-    first, last, centre, radius, kids = [0], [len(points)], [points[0]], [0.0], [np.zeros(0, int)]
+    first, last, centre, radius, kids = [0], [len(points)], [points[0].copy()], [0.0], [np.zeros(0, int)]
     todo = [0]
     while todo:
         node = todo.pop()
@@ -61,7 +61,7 @@ def cover_tree(points: np.ndarray, ids: np.ndarray, leaf: int = LEAF_ROWS) -> Co
         # Children: the centre, then always the point farthest from those chosen, until all are within half the radius.
         nearest, owner, chosen = apart.copy(), np.zeros(b - a, int), [centre[node]]
         while len(chosen) < CHILDREN and nearest.max() > radius[node] / 2:
-            point = points[a + int(nearest.argmax())]
+            point = points[a + int(nearest.argmax())].copy()
             d = np.sqrt(((points[a:b] - point) ** 2).sum(axis=1))
             owner[d < nearest] = len(chosen)
             nearest = np.minimum(nearest, d)
