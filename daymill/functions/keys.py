@@ -54,7 +54,8 @@ def row_key(
 
 def _hex_digits(c: str | Column) -> Column:
     """Significant digits of a ``0x`` number."""
-    return F.ltrim(F.substring(F.lower(col(c)), 3, 1 << 20), F.lit("0"))
+    text = F.lower(col(c))
+    return F.ltrim(F.substring(text, F.lit(3), F.length(text)), F.lit("0"))
 
 
 def hex_overflow(c: str | Column, bits: int = 112) -> Column:
@@ -67,8 +68,8 @@ def hex_amount(c: str | Column, in_units: bool = False) -> Column:
     """Number from decimal text or ``0x`` hex text; null gives 0.
 
     ``in_units`` divides by 10**18.  A decimal holds 38 digits, so hex numbers
-    are exact up to 112 bits; wider ones give null and :func:`hex_overflow`
-    marks them, they never wrap.  Numbers that fit a long, as most do, take a
+    are exact up to 112 bits; wider ones give null here, :func:`hex_overflow`
+    marks them and :func:`hex_text` has all their digits.  Numbers that fit a long, as most do, take a
     short way.
     """
     text, digits = F.lower(col(c)), _hex_digits(c)
@@ -104,6 +105,37 @@ def hex_amount(c: str | Column, in_units: bool = False) -> Column:
     )
 
 
+def hex_text(c: str | Column) -> Column:
+    """Exact decimal digits of a ``0x`` number of any width, as text; null for other text.
+
+    The number is built up in limbs of nine decimal digits, six hex digits at a time.
+    """
+    digits, limb, step = _hex_digits(c), 10**9, 16**6
+    count = F.ceil(F.length(digits) / 6).cast("int")
+    padded = F.lpad(digits, count * 6, F.lit("0"))
+    groups = F.transform(
+        F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.conv(F.substring(padded, i * 6 + 1, F.lit(6)), 16, 10).cast("bigint"),
+    )
+    empty = F.array().cast("array<bigint>")
+
+    def add(limbs: Column, group: Column) -> Column:  # limbs * 16**6 + group, lowest limb first
+        def carry(so_far: Column, value: Column) -> Column:
+            total = value * step + so_far["over"]
+            return F.struct(
+                F.floor(total / limb).cast("bigint").alias("over"), F.concat(so_far["out"], F.array(total % limb)).alias("out")
+            )
+
+        start = F.struct(group.alias("over"), empty.alias("out"))
+        return F.aggregate(
+            limbs, start, carry, lambda s: F.concat(s["out"], F.when(s["over"] > 0, F.array(s["over"])).otherwise(empty))
+        )
+
+    limbs = F.reverse(F.aggregate(groups, empty, add))
+    text = F.ltrim(F.array_join(F.transform(limbs, lambda x: F.lpad(x.cast("string"), 9, "0")), ""), F.lit("0"))
+    return F.when(F.lower(col(c)).rlike("^0x[0-9a-f]*$"), F.when(text == "", "0").otherwise(text))
+
+
 def split_words(c: str | Column, width: int = 64) -> Column:
     """Whole ``width``-digit words after the ``0x`` prefix, each prefixed again.
 
@@ -117,20 +149,14 @@ def split_words(c: str | Column, width: int = 64) -> Column:
     return F.when(F.coalesce(F.length(text), F.lit(0)) > 0, words).otherwise(F.array().cast("array<string>"))
 
 
-def append_hash_list(df: DataFrame, key: str, item: str, seq: str, page_size: int = 10_000) -> DataFrame:
-    """Grow a list of items per key, in ``seq`` order, stored in pages.
+def append_hash_list(df: DataFrame, key: str, item: str, seq: str) -> DataFrame:
+    """Items per key with their place in the list, one row for each.
 
-    A key may own any number of items, so its list is cut into pages of at
-    most ``page_size`` consecutive ``seq`` values.  Appending touches the last
-    page only, and no task ever holds the whole list of a hot key.
+    A key may own any number of items, so its list is rows, not an array;
+    read it ordered by ``seq``.  An item that arrives again at its place is
+    kept once, so appending is adding rows.
     """
-    page = F.floor(F.col(seq) / F.lit(page_size)).cast("bigint").alias("page")
-    entries = F.sort_array(F.collect_list(F.struct(F.col(seq).alias("seq"), F.col(item).alias("item"))))
-    return (
-        df.groupBy(F.col(key), page)
-        .agg(entries.alias("entries"))
-        .select(key, "page", F.transform("entries", lambda e: e["item"]).alias("items"))
-    )
+    return df.select(key, F.col(seq).alias("seq"), F.col(item).alias("item")).distinct()
 
 
 def encrypt_columns(df: DataFrame, columns: Sequence[str], secret: Column) -> DataFrame:

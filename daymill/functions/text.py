@@ -23,11 +23,11 @@ def is_allowed(c: str | Column) -> Column:
 
 
 def capitalise_first(c: str | Column) -> Column:
-    return F.concat(F.upper(F.substring(col(c), 1, 1)), F.substring(col(c), 2, 1 << 30))
+    return F.concat(F.upper(F.substring(col(c), 1, 1)), F.substring(col(c), F.lit(2), F.length(col(c))))
 
 
 def lowercase_first(c: str | Column) -> Column:
-    return F.concat(F.lower(F.substring(col(c), 1, 1)), F.substring(col(c), 2, 1 << 30))
+    return F.concat(F.lower(F.substring(col(c), 1, 1)), F.substring(col(c), F.lit(2), F.length(col(c))))
 
 
 def list_to_text(c: str | Column, separator: str = ", ") -> Column:

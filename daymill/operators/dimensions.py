@@ -128,25 +128,19 @@ def snapshot_projection(
     return rows.select(*columns, F.lit(as_date(day)).alias("ds"))
 
 
-def complex_dim(areas: DataFrame, regions: DataFrame, couriers: DataFrame, block_size: int = 4096) -> DataFrame:
-    """Delivery area with province and city names and the ids of its couriers.
+def complex_dim(areas: DataFrame, regions: DataFrame) -> DataFrame:
+    """Delivery area with province and city names, one row per area.
 
-    Areas without a known province or city are left out.  The courier list is
-    stored in blocks of consecutive ids, so no list holds more than
-    ``block_size`` entries however many couriers serve one area; an area
-    without couriers has one row with null block and list.
+    Areas without a known province or city are left out.  The couriers of an
+    area are rows of :func:`complex_couriers`, as there may be any number.
     """
-    block = F.floor(F.col("courier_emp_id") / F.lit(block_size)).cast("bigint").alias("courier_block")
-    lists = (
-        couriers.groupBy("complex_id", block)
-        .agg(F.sort_array(F.collect_set("courier_emp_id")).alias("ids"))
-        .select(
-            F.col("complex_id").alias("__c"), "courier_block", F.col("ids").cast("array<string>").alias("courier_emp_ids")
-        )
-    )
     out = with_names(areas, regions, "province_id", "id", {"name": "province_name"}, "inner")
-    out = with_names(out, regions, "city_id", "id", {"name": "city_name"}, "inner")
-    return out.join(lists, F.col("id") == F.col("__c"), "left").drop("__c")
+    return with_names(out, regions, "city_id", "id", {"name": "city_name"}, "inner")
+
+
+def complex_couriers(couriers: DataFrame) -> DataFrame:
+    """Bridge between areas and couriers: each pair once, ids as text."""
+    return couriers.select("complex_id", F.col("courier_emp_id").cast("string").alias("courier_emp_id")).distinct()
 
 
 def org_dim(orgs: DataFrame, regions: DataFrame) -> DataFrame:

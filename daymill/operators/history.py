@@ -62,12 +62,15 @@ def user_zip_merge(
     Several changes of one key are first reduced to the latest by ``order``.
     Closed history passes through unjoined.  A change equal to the open row
     leaves it alone, so a second run gives the same table; a change that
-    arrives again for a row opened on ``as_of`` replaces that row.
+    arrives again for a row opened on ``as_of`` replaces that row.  Rows of
+    the history without a key or an end date pass through as they are;
+    changes without a key name no row and are left out.
     """
     day = as_date(as_of)
+    changes = changes.where(F.col(key).isNotNull())
     latest = changes.select(key, *attributes) if order is None else latest_per_key(changes, key, attributes, order)
     new = latest.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in attributes])
-    is_open = F.col("end_date") == F.lit(OPEN_END)
+    is_open = F.col("end_date").eqNullSafe(F.lit(OPEN_END)) & F.col(key).isNotNull()
     joined = history.where(is_open).join(new, F.col(key) == F.col("__key"), "full_outer")
     known, arrived = F.col(key).isNotNull(), F.col("__key").isNotNull()
     changed = known & arrived & _differs(attributes, "", "__")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -27,8 +27,8 @@ HIGH_CONVERSION, HIGH_VISITORS, HIGH_STAY = 0.05, 0.75, 0.7
 TREES, BOOST_ROUNDS, BOOST_DEPTH, BOOST_STEP, SEED = 100, 100, 3, 0.1, 42
 GRID_TREES, GRID_DEPTHS, FOLDS = (50, 100, 200), (5, 10, 30), 3
 
-# The model only sees as many categories as a driver can index.
-MAX_CATEGORIES = 10_000
+# Categories share so many hashed slots of the feature vector, however many there are.
+CATEGORY_SLOTS = 256
 
 
 def entry_labels(df: DataFrame, high_value: bool = True) -> DataFrame:
@@ -88,28 +88,18 @@ def _categories(df: DataFrame) -> list[str]:
 
 
 def feature_stages(df: DataFrame) -> list:
-    """One-hot categories (an unknown one becomes the spare slot) and the feature vector."""
+    """Categories hashed into a fixed number of slots, and the feature vector.
+
+    No list of the categories is gathered, so a column may have any number of
+    values, and one not seen in training has a slot like any other.  A null
+    category sets no slot.
+    """
     names, categories = _feature_columns(df), _categories(df)
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categories]
-    hot = [
-        OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_hot", handleInvalid="keep", dropLast=False)
-        for c in categories
-    ]
+    hashed = [FeatureHasher(inputCols=categories, outputCol="hashed", numFeatures=CATEGORY_SLOTS)] if categories else []
     vector = VectorAssembler(
-        inputCols=[*names, *[f"{c}_hot" for c in categories]], outputCol="features", handleInvalid="keep"
+        inputCols=[*names, *["hashed" for _ in hashed]], outputCol="features", handleInvalid="keep"
     )
-    return [*indexers, *hot, vector]
-
-
-def check_categories(df: DataFrame, limit: int = MAX_CATEGORIES) -> None:
-    """Refuse category columns with more values than the indexer can hold on the driver."""
-    names = _categories(df)
-    if not names:
-        return
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
-    for c in names:
-        if found[c] > limit:
-            raise ValueError(f"column {c} has about {found[c]} categories, more than {limit}")
+    return [*hashed, vector]
 
 
 def split_rows(df: DataFrame, key: str, test_share: float = 0.3) -> tuple[DataFrame, DataFrame]:
@@ -136,23 +126,21 @@ def train_label_models(
     tune: bool = False,
     trees: int = TREES,
     depth: int = 10,
-    test_share: float | None = None,
+    test_share: float = 0.3,
 ) -> LabelModels:
-    """One random forest or boosted model per label, trained on 70 % of the rows.
+    """One random forest or boosted model per label, trained on the rows that ``test_share`` leaves.
 
-    Below 10 rows only 10 % are held back.  ``tune`` searches trees and depth
+    ``tune`` searches trees and depth
     with cross validation.  Training is Spark ML's distributed tree learner;
     it passes over its rows many times, so they are written once first.
     """
     path = scratch_table(df.sparkSession, "training")
     df.select(key, *labels, *_feature_columns(df), *_categories(df)).write.parquet(path)
     df = df.sparkSession.read.parquet(path)
-    check_categories(df)
     present = [F.count(F.lit(1)).alias("n")]
     present += [F.min(c).alias(f"{c}_low") for c in labels] + [F.max(c).alias(f"{c}_high") for c in labels]
     seen = df.agg(*present).first()  # one row
-    share = test_share if test_share is not None else (0.3 if seen["n"] >= 10 else 0.1)
-    train, _ = split_rows(df, key, share)
+    train, _ = split_rows(df, key, test_share)
     features = Pipeline(stages=feature_stages(df)).fit(df)
     prepared = scratch_table(df.sparkSession, "vectors")
     features.transform(train).select("features", *labels).write.parquet(prepared)

@@ -83,6 +83,12 @@ def order_detail_fact(
     )
 
 
+def first_of_order(rows: DataFrame, time_col: str, columns: list[str]) -> DataFrame:
+    """The earliest row per order, rows without a time last; folded before the shuffle."""
+    first = F.min(F.struct(F.col(time_col).isNull().alias("late"), time_col, *columns))
+    return rows.groupBy("order_id").agg(first.alias("__first")).select("order_id", *[f"__first.{c}" for c in [time_col, *columns]])
+
+
 def payment_fact(
     detail: DataFrame,
     orders: DataFrame,
@@ -93,12 +99,13 @@ def payment_fact(
 ) -> DataFrame:
     """Order lines with the successful payment of their order.
 
-    Payments are filtered before the join, so lines of unpaid orders stay,
-    with nulls.  The original amount is what was paid plus both reductions.
+    Payments are filtered and folded to the first of each order before the
+    join, so lines of unpaid orders stay, with nulls, and a line stays one
+    row however often its order was paid.  The original amount is what was
+    paid plus both reductions.
     """
-    paid = payments.where(F.col("payment_status") == PAID).select(
-        F.col("order_id").alias("__p"), F.col("user_id").alias("pay_user_id"), "payment_type", "callback_time"
-    )
+    paid = first_of_order(payments.where(F.col("payment_status") == PAID), "callback_time", ["user_id", "payment_type"])
+    paid = paid.select(F.col("order_id").alias("__p"), F.col("user_id").alias("pay_user_id"), "payment_type", "callback_time")
     names = codes.where(F.col("parent_code") == "11").select(
         F.col("dic_code").alias("__d"), F.col("dic_name").alias("payment_type_name")
     )
@@ -133,12 +140,22 @@ def payment_fact(
 
 
 def trade_flow_fact(orders: DataFrame, payments: DataFrame, status_log: DataFrame) -> DataFrame:
-    """One row per order with the days of order, payment and receipt; missing steps are null."""
-    paid = payments.where(F.col("payment_status") == PAID).select(
-        F.col("order_id").alias("__p"), F.col("callback_time").alias("payment_time"), "payment_amount"
+    """One row per order with the days of order, payment and receipt; missing steps are null.
+
+    Several payments count with their first time and the sum of what was
+    paid, several receipts with the first.
+    """
+    paid = (
+        payments.where(F.col("payment_status") == PAID)
+        .groupBy(F.col("order_id").alias("__p"))
+        .agg(F.min("callback_time").alias("payment_time"), F.sum("payment_amount").alias("__sum"))
+        .withColumn("payment_amount", F.col("__sum").cast(payments.schema["payment_amount"].dataType))
+        .drop("__sum")
     )
-    received = status_log.where(F.col("order_status") == RECEIVED).select(
-        F.col("order_id").alias("__s"), F.col("create_time").alias("finish_time")
+    received = (
+        status_log.where(F.col("order_status") == RECEIVED)
+        .groupBy(F.col("order_id").alias("__s"))
+        .agg(F.min("create_time").alias("finish_time"))
     )
     return (
         orders.join(paid, F.col("order_id") == F.col("__p"), "left")

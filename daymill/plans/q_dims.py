@@ -166,18 +166,21 @@ def user_zip_merge(t: Tables):
 
 @query("complex_dim",
        """SELECT n_nationkey AS id, n_name AS complex_name, p.name AS province_name, c.name AS city_name,
-       n_regionkey + 1 AS province_id, n_nationkey + 1000 AS city_id, block AS courier_block, ids AS courier_emp_ids
-       FROM nation JOIN regions p ON p.id = n_regionkey + 1 JOIN regions c ON c.id = n_nationkey + 1000
-       LEFT JOIN (SELECT s_nationkey, s_suppkey // 4096 AS block, string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_suppkey) AS ids
-         FROM supplier GROUP BY 1, 2) ON s_nationkey = n_nationkey""", "regions")
+       n_regionkey + 1 AS province_id, n_nationkey + 1000 AS city_id
+       FROM nation JOIN regions p ON p.id = n_regionkey + 1 JOIN regions c ON c.id = n_nationkey + 1000""", "regions")
 def complex_dim(t: Tables):
     n = F.col("n_nationkey")
     areas = t.nation.select(
         n.alias("id"), F.col("n_name").alias("complex_name"), (F.col("n_regionkey") + 1).alias("province_id"),
         (n + 1000).alias("city_id"),
     )
+    return dims.complex_dim(areas, roles.regions(t))
+
+
+@query("complex_couriers", "SELECT DISTINCT s_nationkey AS complex_id, CAST(s_suppkey AS VARCHAR) AS courier_emp_id FROM supplier")
+def complex_couriers(t: Tables):
     couriers = t.supplier.select(F.col("s_nationkey").alias("complex_id"), F.col("s_suppkey").alias("courier_emp_id"))
-    return dims.complex_dim(areas, roles.regions(t), couriers)
+    return dims.complex_couriers(couriers.unionAll(couriers))
 
 
 @query("org_dim",
@@ -252,7 +255,9 @@ def row_key(t: Tables):
 
 @query("hex_amount",
        """SELECT o_orderkey, CAST(o_orderkey AS DOUBLE) AS amount, CAST(o_custkey AS DOUBLE) AS units,
-       CAST(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_custkey END AS DOUBLE) AS decimal_amount, o_orderkey % 11 = 0 AS overflow FROM orders""")
+       CAST(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_custkey END AS DOUBLE) AS decimal_amount, o_orderkey % 11 = 0 AS overflow,
+       CASE WHEN o_orderkey % 11 = 0 THEN '115792089237316195423570985008687907853269984665640564039457584007913129639935'
+         ELSE CAST(o_orderkey AS VARCHAR) END AS digits FROM orders""")
 def hex_amount(t: Tables):
     hexed = F.concat(F.lit("0x"), F.hex("o_orderkey"))
     wei = F.concat(F.lit("0x"), F.conv((F.col("o_custkey").cast("decimal(20,0)") * F.lit(10**12).cast("decimal(13,0)")).cast("string"), 10, 16))
@@ -264,6 +269,7 @@ def hex_amount(t: Tables):
         (keys.hex_amount(wei, in_units=True) * 1000000).alias("units"),
         keys.hex_amount(text_amount).alias("decimal_amount"),
         keys.hex_overflow(wide).alias("overflow"),
+        keys.hex_text(wide).alias("digits"),
     )
 
 
@@ -289,8 +295,7 @@ def day_range(t: Tables):
 
 
 @query("append_hash_list",
-       """SELECT o_custkey, o_orderkey // 10000 AS page, string_agg(md5(CAST(o_orderkey AS VARCHAR)), ',' ORDER BY o_orderkey) AS items
-       FROM orders GROUP BY 1, 2""")
+       "SELECT DISTINCT o_custkey, o_orderkey AS seq, md5(CAST(o_orderkey AS VARCHAR)) AS item FROM orders")
 def append_hash_list(t: Tables):
     rows = t.orders.select("o_custkey", "o_orderkey", F.md5(F.col("o_orderkey").cast("string")).alias("hash"))
     return keys.append_hash_list(rows, "o_custkey", "hash", "o_orderkey")

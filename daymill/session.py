@@ -30,7 +30,6 @@ def apply_runtime_options(spark: SparkSession) -> SparkSession:
 
 MB = 1 << 20
 SHUFFLE_INPUT_BYTES = 256 * MB
-MOST_SHUFFLE_PARTITIONS = 40_000
 SCAN_BYTES, LARGEST_SCAN_BYTES, SCAN_TASKS = 128 * MB, 512 * MB, 200_000
 OWN_PARTITIONS = "spark.daymill.ownShufflePartitions"
 SET_PARTITIONS = "spark.daymill.setShufflePartitions"
@@ -47,7 +46,7 @@ def size_for_input(spark: SparkSession, input_bytes: int) -> None:
     if now != spark.conf.get(SET_PARTITIONS, None):  # first call, or set by the user since
         spark.conf.set(OWN_PARTITIONS, now)
     own = int(spark.conf.get(OWN_PARTITIONS))
-    wanted = str(max(own, min(MOST_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_INPUT_BYTES))))
+    wanted = str(max(own, -(-input_bytes // SHUFFLE_INPUT_BYTES)))
     spark.conf.set("spark.sql.shuffle.partitions", wanted)
     spark.conf.set(SET_PARTITIONS, wanted)
     split = min(LARGEST_SCAN_BYTES, max(SCAN_BYTES, input_bytes // SCAN_TASKS))

@@ -17,7 +17,8 @@ def read_raw_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def write_raw_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**RAW_OPTIONS).option("compression", "gzip").csv(path)
+    """Counterpart of :func:`read_raw_table`; compressed so that readers can split a file."""
+    df.write.mode("overwrite").options(**RAW_OPTIONS).option("compression", "bzip2").csv(path)
 
 
 def export_csv(df: DataFrame, path: str, partition_filter: str | None = None) -> None:
@@ -27,7 +28,8 @@ def export_csv(df: DataFrame, path: str, partition_filter: str | None = None) ->
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    """Reads what :func:`export_csv` writes, line breaks inside a quoted text included."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str, filters: Mapping[str, str] | None = None) -> dict:

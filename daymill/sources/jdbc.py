@@ -159,6 +159,8 @@ def export_ddl(table: str, schema: T.StructType, long_text: tuple[str, ...] = ()
 def text_widths(df: DataFrame) -> DataFrame:
     """Longest value of each text column against the exported size, from the data."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not texts:
+        return df.sparkSession.createDataFrame([], "column_name string, longest int, fits boolean")
     longest = df.agg(*[F.max(F.length(c)).alias(c) for c in texts])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("longest")) for c in texts])
     return longest.select(F.inline(pairs)).withColumn("fits", F.coalesce(F.col("longest") <= 512, F.lit(True)))
@@ -169,14 +171,19 @@ def export_jdbc(
     connection: Mapping[str, str],
     table: str,
     partitions: int = 8,
-    long_text: tuple[str, ...] = (),
+    long_text: tuple[str, ...] | None = None,
     keep_table: bool = False,
 ) -> None:
     """Replace the rows of a relational table; each task inserts batches of 10,000.
 
+    Text columns that hold values too long for the exported size become long
+    text; they are measured first unless ``long_text`` names them.
+
     ``keep_table`` empties a table made by :func:`export_ddl` instead of
     creating one, so its key stays.  Rows never pass through the driver.
     """
+    if long_text is None:  # one row per column
+        long_text = tuple(r["column_name"] for r in text_widths(df).where(~F.col("fits")).collect())
     (
         df.write.format("jdbc")
         .options(**connection)

@@ -92,20 +92,17 @@ def publish_report(df: DataFrame, path: str, day: str | dt.date, day_column: str
 def union_with_history(
     history: DataFrame, today: DataFrame, days: Sequence[str | dt.date], day_column: str = "dt"
 ) -> DataFrame:
-    """Report history with some days replaced, as a frame; the replaced folders are not read."""
+    """Report history with some days replaced, as a frame; the replaced folders are not read, rows without a day stay."""
     kept = ~F.col(day_column).isin([as_date(d) for d in days])
-    return history.where(kept).unionByName(today)
+    return history.where(kept | F.col(day_column).isNull()).unionByName(today)
 
 
 def verify_load(source: DataFrame, loaded: DataFrame, day_column: str = "dt") -> DataFrame:
-    """Row counts of each day on both sides and whether they agree."""
-    expected = source.groupBy(day_column).agg(F.count(F.lit(1)).alias("source_rows"))
-    found = loaded.groupBy(day_column).agg(F.count(F.lit(1)).alias("loaded_rows"))
-    return (
-        expected.join(found, day_column, "full_outer")
-        .na.fill(0, ["source_rows", "loaded_rows"])
-        .withColumn("matches", F.col("source_rows") == F.col("loaded_rows"))
-    )
+    """Row counts of each day, no day included, on both sides and whether they agree."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = source.select(day_column, one.alias("s"), none.alias("l")).union(loaded.select(day_column, none, one))
+    counts = sides.groupBy(day_column).agg(F.sum("s").alias("source_rows"), F.sum("l").alias("loaded_rows"))
+    return counts.withColumn("matches", F.col("source_rows") == F.col("loaded_rows"))
 
 
 def fill_numeric_nulls(df: DataFrame, value: int = 0) -> DataFrame:

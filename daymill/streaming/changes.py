@@ -37,6 +37,13 @@ def read_envelopes(df: DataFrame, text: str, row: T.StructType, position: str =
     )
 
 
+def broken_envelopes(df: DataFrame, text: str, row: T.StructType, key: str, position: str = "pos") -> DataFrame:
+    """Texts that give no change: not JSON of the envelope, without the row image of their operation, or without a key."""
+    parsed = df.withColumn("__e", F.from_json(text, envelope_schema(row, position)))
+    image = F.when(F.col("__e.op") == "d", F.col("__e.before")).otherwise(F.col("__e.after"))
+    return parsed.where(image.isNull() | image[key].isNull()).select(text)
+
+
 def apply_changes(
     envelopes: DataFrame, text: str, row: T.StructType, key: str, path: str, checkpoint: str, drain: bool = False,
     position: str = "pos",
@@ -46,12 +53,16 @@ def apply_changes(
     Every batch overwrites its own ``batch=<id>`` folder, so a batch that is
     run again after a failure leaves one copy.  The table itself is not
     rewritten; :func:`current_state` folds the batches on reading and
-    :func:`compact` folds them into a new base.
+    :func:`compact` folds them into a new base.  Envelopes that give no change
+    are kept as text below ``<path>_broken``, by batch in the same way.
     """
     columns = [f.name for f in row.fields if f.name != key]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        changes = read_envelopes(batch, text, row, position)
+        broken = broken_envelopes(batch, text, row, key, position).withColumn("batch", F.lit(batch_id))
+        dynamic = broken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dynamic.partitionBy("batch").parquet(f"{path}_broken")
+        changes = read_envelopes(batch, text, row, position).where(F.col(key).isNotNull())
         folded = latest_per_key(changes, key, [*columns, "op", position], position)
         (
             folded.withColumn("batch", F.lit(batch_id))

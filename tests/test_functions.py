@@ -49,6 +49,12 @@ def test_hex_amount(spark):
     assert amount("junk") is None
 
 
+def test_hex_text_has_all_digits(spark):
+    values = [0, 1, 10**9, 2**64 - 1, 2**112, 2**120 + 12345, 2**256 - 1, 10**70, 16**6, 16**12 * 999_999_999]
+    df = spark.createDataFrame([(hex(v),) for v in values] + [("0x",), ("0x" + "0" * 50 + "ff",), ("12",), (None,), ("0xzz",)], "v string")
+    assert [r[0] for r in df.select(keys.hex_text("v")).collect()] == [*map(str, values), "0", "255", None, None, None]
+
+
 def test_split_words(spark):
     word = "ab" * 32
     split = lambda v: one(spark, keys.split_words("v"), v=("string", v))
@@ -57,12 +63,10 @@ def test_split_words(spark):
     assert split("0x12") == [] and split("") == [] and split(None) == []
 
 
-def test_append_hash_list_is_paged(spark, rows):
-    df = spark.createDataFrame([("k", i, f"h{i}") for i in range(25)] + [("j", 3, "x")], "k string, seq long, h string")
-    out = keys.append_hash_list(df, "k", "h", "seq", page_size=10)
-    pages = {(r["k"], r["page"]): r["items"] for r in out.collect()}
-    assert [len(pages["k", p]) for p in (0, 1, 2)] == [10, 10, 5]
-    assert pages["k", 1] == [f"h{i}" for i in range(10, 20)] and pages["j", 0] == ["x"]
+def test_append_hash_list_is_one_row_per_item(spark, rows):
+    df = spark.createDataFrame([("k", i, f"h{i}") for i in range(25)] + [("j", 3, "x"), ("j", 3, "x")], "k string, seq long, h string")
+    out = rows(keys.append_hash_list(df, "k", "h", "seq"))
+    assert len(out) == 26 and ("j", 3, "x") in out and ("k", 24, "h24") in out
 
 
 def test_encryption_layout_and_round_trip(spark):

@@ -80,3 +80,14 @@ def test_state_ignores_late_updates_after_a_delete(spark, rows):
     state = history.merge_state(state, late, "id", ["v"], "pos")
     state = history.merge_state(state, late, "id", ["v"], "pos")
     assert rows(state.where(F.col("op") != "d"), "id", "v") == [(2, "y")]
+
+
+def test_rows_without_key_or_end_pass_through(spark, rows):
+    day = lambda s: None if s is None else dt.date.fromisoformat(s)
+    stored = spark.createDataFrame(
+        [(1, "a", day("2020-01-01"), day(None)), (None, "b", day("2020-01-01"), day("9999-12-31")), (2, "c", day("2020-01-01"), day("9999-12-31"))],
+        "id long, city string, start_date date, end_date date",
+    )
+    changes = spark.createDataFrame([(2, "d", 1), (None, "x", 1)], "id long, city string, seq long")
+    out = rows(history.user_zip_merge(stored, changes, "id", ["city"], "2024-01-31", "seq"), "id", "city")
+    assert sorted(out, key=repr) == sorted([(1, "a"), (None, "b"), (2, "c"), (2, "d")], key=repr)

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from daymill.operators import labels as lb
@@ -58,9 +59,10 @@ def test_split_is_stable_and_complete(entries):
     assert 0.2 < test.count() / 200 < 0.4
 
 
-def test_too_many_categories_are_refused(entries):
-    with pytest.raises(ValueError):
-        lb.check_categories(entries, limit=3)
+def test_any_number_of_categories(spark):
+    rows = spark.range(20_001).selectExpr("id AS entry_id", "string(id) AS time_period", "double(id % 7) AS visitor_count_scaled")
+    vectors = Pipeline(stages=lb.feature_stages(rows)).fit(rows).transform(rows)
+    assert vectors.first()["features"].size == 1 + lb.CATEGORY_SLOTS and vectors.count() == 20_001
 
 
 def test_class_report_without_hits(spark, rows):

@@ -114,6 +114,20 @@ def test_payments_filter_before_the_join(spark, rows):
     assert rows(sm.user_payment_1d(out), "user_id", "payment_count", "payment_amount") == [(7, 1, Dec("9.00"))]
 
 
+def test_orders_paid_and_received_twice_stay_one_row(spark, rows):
+    orders = spark.createDataFrame([(1, 7, 3, Dec("9"), Dec("0"), Dec("0"))], f"order_id long, user_id long, province_id int, amount {MONEY}, activity_reduce_amount {MONEY}, coupon_reduce_amount {MONEY}")
+    orders = orders.withColumn("create_time", F.lit(T(2024, 1, 1)))
+    pays = spark.createDataFrame(
+        [(1, 7, "1102", "1602", T(2024, 1, 3), Dec("4")), (1, 7, "1101", "1602", T(2024, 1, 2), Dec("5")), (1, 8, "1103", "1602", None, Dec("0"))],
+        f"order_id long, user_id long, payment_type string, payment_status string, callback_time timestamp, payment_amount {MONEY}",
+    )
+    log = spark.createDataFrame([(1, "1004", T(2024, 1, 5)), (1, "1004", T(2024, 1, 4))], "order_id long, order_status string, create_time timestamp")
+    flow = tf.trade_flow_fact(orders, pays, log)
+    assert rows(flow, "order_id", "payment_time", "payment_amount", "finish_time") == [(1, T(2024, 1, 2), Dec("9.00"), T(2024, 1, 4))]
+    first = tf.first_of_order(pays, "callback_time", ["user_id", "payment_type"])
+    assert rows(first) == [(1, T(2024, 1, 2), 7, "1101")]
+
+
 LOG = '{"common": {"uid": %s, "sid": "s%d", "ch": "c"}, "page": %s, "ts": %s}'
 
 
@@ -193,14 +207,12 @@ def test_attributes_do_not_multiply_products(spark):
     assert out[0]["category1_name"] == "c" and out[1]["category3_id"] is None
 
 
-def test_courier_lists_are_cut_into_blocks(spark):
+def test_areas_are_one_row_and_couriers_a_bridge(spark, rows):
     areas = spark.createDataFrame([(1, "a", 1, 2), (2, "b", 1, 2), (3, "c", 1, 99)], "id long, complex_name string, province_id long, city_id long")
     regions = spark.createDataFrame([(1, "P"), (2, "C")], "id long, name string")
     couriers = spark.createDataFrame([(1, i) for i in range(25)] + [(1, 3)], "complex_id long, courier_emp_id long")
-    out = dims.complex_dim(areas, regions, couriers, block_size=10).orderBy("id", "courier_block").collect()
-    assert [(r["id"], r["courier_block"], r["courier_emp_ids"] and len(r["courier_emp_ids"])) for r in out] == [
-        (1, 0, 10), (1, 1, 10), (1, 2, 5), (2, None, None),
-    ]
+    assert rows(dims.complex_dim(areas, regions), "id", "province_name", "city_name") == [(1, "P", "C"), (2, "P", "C")]
+    assert len(rows(dims.complex_couriers(couriers))) == 25
 
 
 def test_climb_by_level(spark, rows):

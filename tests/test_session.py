@@ -18,7 +18,7 @@ def test_partitions_grow_with_the_input_and_return(spark, sizes):
     session.size_for_input(spark, 1 << 40)
     assert sizes() == (4096, 128 << 20)
     session.size_for_input(spark, 100 << 40)
-    assert sizes() == (40_000, 512 << 20)
+    assert sizes() == (409_600, 512 << 20)
     session.size_for_input(spark, 1 << 20)
     assert sizes() == (own, split)
     spark.conf.set("spark.sql.shuffle.partitions", "33")  # the user changes their mind

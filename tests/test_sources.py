@@ -202,3 +202,16 @@ def test_ddl_runs(spark, tmp_path):
         assert spark.table("ddl_check").schema["a"].metadata["comment"] == "it's"
     finally:
         spark.sql("DROP TABLE ddl_check")
+
+
+def test_rows_without_a_day_are_counted_and_kept(spark, rows):
+    days = spark.createDataFrame([(1, None), (2, None), (3, "2024-01-01")], "id long, dt string").withColumn("dt", F.col("dt").cast("date"))
+    assert {r["matches"] for r in partitions.verify_load(days, days).collect()} == {True}
+    today = days.where("id = 3")
+    assert rows(partitions.union_with_history(days, today, ["2024-01-01"]), "id") == [(1,), (2,), (3,)]
+
+
+def test_csv_keeps_line_breaks(spark, tmp_path, rows):
+    df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, "plain")], "id long, t string")
+    files.export_csv(df, str(tmp_path / "c"))
+    assert rows(files.read_csv(spark, str(tmp_path / "c"), df.schema)) == rows(df)
