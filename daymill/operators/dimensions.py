@@ -38,9 +38,10 @@ def with_names(df: DataFrame, dim: DataFrame, key: str, dim_key: str, names: Map
 
 
 def geo_dim(provinces: DataFrame, regions: DataFrame) -> DataFrame:
-    """Province with the name of its region."""
+    """Province with its codes and the name of its region."""
+    codes = [c for c in ("area_code", "iso_code", "iso_3166_2") if c in provinces.columns]
     return with_names(provinces, regions, "region_id", "id", {"region_name": "region_name"}).select(
-        F.col("id").alias("province_id"), F.col("name").alias("province_name"), "region_id", "region_name"
+        F.col("id").alias("province_id"), F.col("name").alias("province_name"), *codes, "region_id", "region_name"
     )
 
 

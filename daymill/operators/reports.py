@@ -34,7 +34,8 @@ def new_order_users(td: DataFrame, as_of: DayText, days: Sequence[int] = REPORT_
 def geo_order_report(wide: DataFrame, days: Sequence[int] = REPORT_WINDOWS) -> DataFrame:
     """Orders and amount per province and window, unfolded from the wide table of all windows.
 
-    A province without orders in a window has no row for it.
+    A province without orders in a window has no row for it.  Codes of the
+    province are kept if the wide table is keyed by them too.
     """
     windows = F.array(
         *[
@@ -46,7 +47,8 @@ def geo_order_report(wide: DataFrame, days: Sequence[int] = REPORT_WINDOWS) -> D
             for n in days
         ]
     )
-    rows = wide.select("province_id", "province_name", F.inline(windows))
+    names = [c for c in ("province_name", "area_code", "iso_code", "iso_3166_2") if c in wide.columns]
+    rows = wide.select("province_id", *names, F.inline(windows))
     return rows.where(F.col("order_count").isNotNull())
 
 

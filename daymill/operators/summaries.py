@@ -18,7 +18,11 @@ from daymill.operators.dimensions import with_names
 from daymill.operators.trade_facts import day_rows
 
 AMOUNTS = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "total_amount"]
-SKU_NAMES = {"sku_name": "sku_name", "category_id": "category_id", "category_name": "category_name", "tm_id": "tm_id", "tm_name": "tm_name"}
+# Columns a summary takes from its dimension, as far as the dimension has them.
+SKU_NAMES = [
+    "sku_name", "category1_id", "category1_name", "category2_id", "category2_name", "category3_id", "category3_name", "tm_id", "tm_name",
+]
+GEO_NAMES = ["province_name", "area_code", "iso_code", "iso_3166_2"]
 
 Day = str | dt.date | None
 
@@ -27,6 +31,10 @@ def _amount_sums():
     return [F.sum(c).alias(c) for c in AMOUNTS]
 
 
+def _held(dim: DataFrame, names: Sequence[str]) -> dict[str, str]:
+    return {c: c for c in names if c in dim.columns}
+
+
 def per_order(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fold lines to one row per order inside each key, so that orders are counted once.
 
@@ -68,28 +76,28 @@ def user_cart_1d(facts: DataFrame, day: Day = None) -> DataFrame:
 
 
 def geo_order_1d(facts: DataFrame, geo: DataFrame, day: Day = None) -> DataFrame:
-    """Per province and day: distinct orders and amounts, then the province name."""
+    """Per province and day: distinct orders and amounts, then the province's name and codes."""
     daily = (
         per_order(day_rows(facts, day), ["province_id", "dt"])
         .groupBy("province_id", "dt")
         .agg(F.count("order_id").alias("order_count"), *_amount_sums())
     )
-    return with_names(daily, geo, "province_id", "province_id", {"province_name": "province_name"})
+    return with_names(daily, geo, "province_id", "province_id", _held(geo, GEO_NAMES))
 
 
 def user_sku_order_1d(facts: DataFrame, sku: DataFrame, day: Day = None) -> DataFrame:
-    """Per user, product and day: lines, items, amounts, with category and brand."""
+    """Per user, product and day: lines, items, amounts, with three levels of category and brand."""
     daily = (
         day_rows(facts, day)
         .groupBy("user_id", "sku_id", "dt")
         .agg(F.count("id").alias("order_count"), F.sum("sku_num").alias("order_num"), *_amount_sums())
     )
-    return with_names(daily, sku, "sku_id", "sku_id", SKU_NAMES)
+    return with_names(daily, sku, "sku_id", "sku_id", _held(sku, SKU_NAMES))
 
 
 def sku_favor_1d(facts: DataFrame, sku: DataFrame, day: Day = None) -> DataFrame:
     daily = day_rows(facts, day).groupBy("sku_id", "dt").agg(F.count(F.lit(1)).alias("favor_add_count"))
-    return with_names(daily, sku, "sku_id", "sku_id", SKU_NAMES)
+    return with_names(daily, sku, "sku_id", "sku_id", _held(sku, SKU_NAMES))
 
 
 def user_coupon_1d(facts: DataFrame, coupons: DataFrame, day: Day = None) -> DataFrame:

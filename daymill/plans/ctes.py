@@ -78,11 +78,14 @@ CTES: dict[str, tuple[str, str]] = {
     "sku": (
         "",
         """SELECT p_partkey AS sku_id, p_name AS sku_name, p_type AS category_id, lower(p_type) AS category_name,
+        p_size % 2 AS category1_id, 'root ' || (p_size % 2) AS category1_name, p_size % 10 AS category2_id,
+        'group ' || (p_size % 10) AS category2_name, p_size AS category3_id, 'size ' || p_size AS category3_name,
         p_brand AS tm_id, lower(p_brand) AS tm_name FROM part""",
     ),
     "geo": (
         "",
-        """SELECT n_nationkey AS province_id, n_name AS province_name, n_regionkey AS region_id, r_name AS region_name
+        """SELECT n_nationkey AS province_id, n_name AS province_name, n_regionkey AS region_id, r_name AS region_name,
+        CAST(n_nationkey + 100 AS VARCHAR) AS area_code, 'C-' || n_nationkey AS iso_code, 'C-' || left(n_name, 2) AS iso_3166_2
         FROM nation LEFT JOIN region ON r_regionkey = n_regionkey""",
     ),
     "coupons": (
@@ -112,14 +115,15 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "geo_day": (
         "fact geo",
-        """SELECT g.*, geo.province_name FROM (SELECT province_id, dt, COUNT(DISTINCT order_id) AS order_count,
+        """SELECT g.*, geo.province_name, area_code, iso_code, iso_3166_2 FROM (SELECT province_id, dt, COUNT(DISTINCT order_id) AS order_count,
         SUM(original_amount) AS original_amount, SUM(activity_reduce_amount) AS activity_reduce_amount,
         SUM(coupon_reduce_amount) AS coupon_reduce_amount, SUM(total_amount) AS total_amount
         FROM fact GROUP BY province_id, dt) g LEFT JOIN geo ON geo.province_id = g.province_id""",
     ),
     "usku_day": (
         "fact sku",
-        """SELECT d.*, sku_name, category_id, category_name, tm_id, tm_name FROM (SELECT user_id, sku_id, dt,
+        """SELECT d.*, sku_name, category1_id, category1_name, category2_id, category2_name, category3_id, category3_name,
+        tm_id, tm_name FROM (SELECT user_id, sku_id, dt,
         COUNT(id) AS order_count, CAST(SUM(sku_num) AS BIGINT) AS order_num, SUM(original_amount) AS original_amount,
         SUM(activity_reduce_amount) AS activity_reduce_amount, SUM(coupon_reduce_amount) AS coupon_reduce_amount,
         SUM(total_amount) AS total_amount FROM fact GROUP BY user_id, sku_id, dt) d

@@ -147,8 +147,8 @@ def _favors(t: Tables):
 
 
 @query("sku_favor_1d",
-       """SELECT l_partkey AS sku_id, CAST(l_shipdate AS DATE) AS dt, COUNT(*) AS favor_add_count, sku_name, category_id, category_name,
-       tm_id, tm_name FROM lineitem LEFT JOIN sku ON sku_id = l_partkey GROUP BY ALL""", "sku", "dt")
+       """SELECT l_partkey AS sku_id, CAST(l_shipdate AS DATE) AS dt, COUNT(*) AS favor_add_count, sku_name,
+       category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, tm_id, tm_name FROM lineitem LEFT JOIN sku ON sku_id = l_partkey GROUP BY ALL""", "sku", "dt")
 def sku_favor_1d(t: Tables):
     return sm.sku_favor_1d(_favors(t), roles.products(t))
 
@@ -255,14 +255,13 @@ def new_order_users(t: Tables):
 
 
 @query("geo_order_report",
-       f"""SELECT recent_days, province_id, province_name, CAST(SUM(order_count) AS BIGINT) AS order_count,
+       f"""SELECT recent_days, province_id, province_name, area_code, iso_code, iso_3166_2, CAST(SUM(order_count) AS BIGINT) AS order_count,
        SUM(total_amount) AS order_total_amount FROM geo_day, (VALUES (1), (7), (30)) w(recent_days)
        WHERE dt > {ASOF} - recent_days AND dt <= {ASOF} GROUP BY ALL""", "geo_day", money="order_total_amount")
 def geo_order_report(t: Tables):
     daily = sm.geo_order_1d(roles.order_facts(t, True), roles.geo(t))
-    wide = sm.rolling_window_rollup(
-        daily, ["province_id", "province_name"], ["order_count", "total_amount"], lit.ORDERS_AS_OF, (1, 7, 30)
-    )
+    keys = ["province_id", *sm.GEO_NAMES]
+    wide = sm.rolling_window_rollup(daily, keys, ["order_count", "total_amount"], lit.ORDERS_AS_OF, (1, 7, 30))
     return rp.geo_order_report(wide)
 
 
@@ -288,18 +287,29 @@ def _by_group_sql(kind: str, key: str, name: str) -> str:
 
 
 @query("order_report_by_group",
-       _by_group_sql("category", "category_id", "category_name") + " UNION ALL " + _by_group_sql("brand", "tm_id", "tm_name"), "usku_day")
+       _by_group_sql("category", "CAST(category3_id AS VARCHAR)", "category3_name") + " UNION ALL " + _by_group_sql("brand", "tm_id", "tm_name"), "usku_day")
 def order_report_by_group(t: Tables):
     daily = _usku(t)
 
     def one(kind: str, keys: list[str]):
         out = rp.order_report_by_group(daily, keys, lit.ORDERS_AS_OF)
         return out.select(
-            F.lit(kind).alias("kind"), "recent_days", F.col(keys[0]).alias("group_id"), F.col(keys[1]).alias("group_name"),
+            F.lit(kind).alias("kind"), "recent_days", F.col(keys[0]).cast("string").alias("group_id"), F.col(keys[1]).alias("group_name"),
             "order_count", "order_user_count",
         )
 
-    return one("category", ["category_id", "category_name"]).unionByName(one("brand", ["tm_id", "tm_name"]))
+    return one("category", ["category3_id", "category3_name"]).unionByName(one("brand", ["tm_id", "tm_name"]))
+
+
+_LEVELS = ["category1_id", "category1_name", "category2_id", "category2_name", "category3_id", "category3_name"]
+
+
+@query("order_report_by_category",
+       f"""SELECT recent_days, {', '.join(_LEVELS)}, CAST(SUM(order_count) AS BIGINT) AS order_count, COUNT(DISTINCT user_id) AS order_user_count
+       FROM usku_day, (VALUES (1), (7), (30)) w(recent_days) WHERE dt > {ASOF} - recent_days AND dt <= {ASOF} GROUP BY ALL""", "usku_day")
+def order_report_by_category(t: Tables):
+    """Three levels of category with their names."""
+    return rp.order_report_by_group(_usku(t), _LEVELS, lit.ORDERS_AS_OF)
 
 
 @query("order_to_pay_avg",

@@ -117,6 +117,12 @@ def products(t: Tables) -> DataFrame:
         F.col("p_name").alias("sku_name"),
         F.col("p_type").alias("category_id"),
         F.lower("p_type").alias("category_name"),
+        (F.col("p_size") % 2).alias("category1_id"),
+        F.concat(F.lit("root "), (F.col("p_size") % 2).cast("string")).alias("category1_name"),
+        (F.col("p_size") % 10).alias("category2_id"),
+        F.concat(F.lit("group "), (F.col("p_size") % 10).cast("string")).alias("category2_name"),
+        F.col("p_size").alias("category3_id"),
+        F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("category3_name"),
         F.col("p_brand").alias("tm_id"),
         F.lower("p_brand").alias("tm_name"),
     )
@@ -125,7 +131,12 @@ def products(t: Tables) -> DataFrame:
 @shared
 def geo(t: Tables) -> DataFrame:
     provinces = t.nation.select(
-        F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region_id")
+        F.col("n_nationkey").alias("id"),
+        F.col("n_name").alias("name"),
+        F.col("n_regionkey").alias("region_id"),
+        (F.col("n_nationkey") + 100).cast("string").alias("area_code"),
+        F.concat(F.lit("C-"), F.col("n_nationkey").cast("string")).alias("iso_code"),
+        F.concat(F.lit("C-"), F.substring("n_name", 1, 2)).alias("iso_3166_2"),
     )
     regions = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("region_name"))
     return dims.geo_dim(provinces, regions)

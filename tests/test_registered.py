@@ -40,5 +40,7 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["province_id", "province_name", "recent_days", "order_count", "order_total_amount"]
+    assert df.columns == [
+        "province_id", "province_name", "area_code", "iso_code", "iso_3166_2", "recent_days", "order_count", "order_total_amount",
+    ]
     assert df.count() > 0
