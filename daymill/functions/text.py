@@ -38,20 +38,25 @@ def list_to_text(c: str | Column, separator: str = ", ") -> Column:
 def sensitive_word_flag(texts: DataFrame, words: DataFrame, key: str, text: str, word: str = "word") -> DataFrame:
     """Which texts hold words of the deny list.
 
-    Whole texts are cut into distinct lower-case words inside the row, so one
-    scan feeds the lookup and the partial aggregate folds each text back to a
-    single row before anything is shuffled.  The list is joined as a table:
-    Spark broadcasts it while it is small and shuffles by word when it is not.
+    Whole texts are cut into distinct lower-case words inside the row.  The
+    list is joined as a table, and only words on it pass the join; their hits
+    are then attached to the texts.  Spark broadcasts the list while it is
+    small and shuffles by word when it is not.
     """
     tokens = F.array_distinct(F.split(F.lower(F.col(text)), "[^\\p{L}\\p{N}]+"))
-    listed = words.select(F.lower(F.col(word)).alias("token")).distinct().withColumn("listed", F.lit(1))
+    listed = words.select(F.lower(F.col(word)).alias("token")).distinct()
+    hits = (
+        texts.select(F.col(key).alias("__key"), F.explode(tokens).alias("token"))
+        .join(listed, "token")
+        .groupBy("__key", "token")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("__key")
+        .agg(F.sum("n").alias("hits"), F.array_join(F.sort_array(F.collect_list("token")), ",").alias("found"))
+    )
     return (
-        texts.select(key, F.explode_outer(tokens).alias("token"))
-        .join(listed, "token", "left")
-        .groupBy(key)
-        .agg(
-            F.count("listed").alias("hits"),
-            F.array_join(F.sort_array(F.collect_set(F.when(F.col("listed") == 1, F.col("token")))), ",").alias("found"),
-        )
+        texts.select(key)
+        .distinct()
+        .join(hits, F.col(key).eqNullSafe(F.col("__key")), "left")
+        .select(key, F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"), F.coalesce("found", F.lit("")).alias("found"))
         .withColumn("flagged", F.col("hits") > 0)
     )

@@ -169,30 +169,66 @@ def offer_product_stats(sends: DataFrame, redemptions: DataFrame, products: Data
     ).drop("avg_offer_amount")
 
 
+# Sums that add up over any split of the sends, and what is made of them.
+_SUMS = {
+    "__sends": lambda: F.count("record_id"),
+    "__uses": lambda: F.sum("redemptions"),
+    "__sales": lambda: F.sum("sales"),
+    "__offered": lambda: F.sum("offer_amount"),
+    "__offers": lambda: F.count("offer_amount"),
+    "__wait": lambda: F.sum("wait_seconds"),
+}
+
+
 def offer_time_stats(sends: DataFrame, redemptions: DataFrame) -> DataFrame:
-    """Per day, week and month in one table; every send is read once and counted at three grains."""
+    """Per day, week and month in one table.
+
+    Sends are folded to plain sums per day and hour first; only these few
+    rows are unfolded to the three grains, and the median and the most
+    frequent hour come from the counts of at most 24 hours.
+    """
     sent = F.col("send_time")
+    hourly = (
+        with_redemptions(sends, redemptions)
+        .groupBy(F.to_date(sent).alias("day"), F.hour(sent).alias("hour"))
+        .agg(*[made().alias(name) for name, made in _SUMS.items()])
+    )
     grains = F.array(
-        F.struct(F.lit("day").alias("time_type"), F.date_format(sent, "yyyy-MM-dd").alias("time_value")),
-        F.struct(F.lit("week").alias("time_type"), iso_week(sent).alias("time_value")),
-        F.struct(F.lit("month").alias("time_type"), F.date_format(sent, "yyyy-MM").alias("time_value")),
+        F.struct(F.lit("day").alias("time_type"), F.date_format("day", "yyyy-MM-dd").alias("time_value")),
+        F.struct(F.lit("week").alias("time_type"), iso_week("day").alias("time_value")),
+        F.struct(F.lit("month").alias("time_type"), F.date_format("day", "yyyy-MM").alias("time_value")),
     )
-    rows = with_redemptions(sends, redemptions).withColumn("hour", F.hour(sent)).select("*", F.inline(grains))
+    by_hour = (
+        hourly.select("*", F.inline(grains))
+        .groupBy("time_type", "time_value", "hour")
+        .agg(*[F.sum(name).alias(name) for name in _SUMS])
+    )
+    # Rows with an hour, in order: (hour, sends).
+    hours = F.sort_array(F.collect_list(F.when(F.col("hour").isNotNull(), F.struct("hour", F.col("__sends").alias("n")))))
+    total = by_hour.groupBy("time_type", "time_value").agg(*[F.sum(name).alias(name) for name in _SUMS], hours.alias("__hours"))
+
+    def upto(h: Column) -> Column:
+        return F.aggregate(F.filter("__hours", lambda x: x["hour"] <= h), F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+
+    all_sends = F.aggregate("__hours", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    median = F.array_min(F.transform(F.filter("__hours", lambda x: upto(x["hour"]) * 2 >= all_sends), lambda x: x["hour"]))
+    busiest = F.array_max(F.transform("__hours", lambda x: F.struct(x["n"].alias("n"), (-x["hour"]).alias("h"))))
 
     def hour_range(hour: Column) -> Column:
         text = F.lpad(hour.cast("int").cast("string"), 2, "0")
         return F.concat(text, F.lit(":00-"), text, F.lit(":59"))
 
-    return (
-        _summed(
-            rows,
-            ["time_type", "time_value"],
-            F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY hour)").alias("__median"),
-            F.mode("hour", True).alias("__busiest"),
-        )
-        .withColumns({"peak_hour": hour_range(F.col("__median")), "busiest_hour": hour_range(F.col("__busiest"))})
-        .drop("__median", "__busiest", "avg_offer_rate", "max_offer_amount", "min_offer_amount")
-        .withColumnRenamed("avg_redemption_time", "avg_process_time")
+    return total.select(
+        "time_type",
+        "time_value",
+        F.col("__sends").alias("send_count"),
+        F.coalesce("__uses", F.lit(0)).alias("redemption_count"),
+        F.col("__sales").alias("total_sales"),
+        decimal_ratio(F.col("__offered"), F.col("__offers")).alias("avg_offer_amount"),
+        ratio(F.col("__wait"), F.col("__uses") * 3600, 2).alias("avg_process_time"),
+        F.coalesce(ratio(F.col("__uses"), F.col("__sends"), 4), F.lit(0.0)).alias("redemption_rate"),
+        hour_range(median).alias("peak_hour"),
+        hour_range(-busiest["h"]).alias("busiest_hour"),
     )
 
 

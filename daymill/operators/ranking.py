@@ -92,14 +92,14 @@ def steps_in_session(
     )
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000):
+def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000, ranges: int = 1000):
     """Interpolated quantile of a column as a one-row subquery.
 
     A sketch brackets the wanted position within a known rank error.  Only
-    the values between the two bounds are ordered, the rows below are just
-    counted, so the exact value needs a sort of a small fixed share.  Up to
-    ``accuracy`` rows the bracket could be narrower than one row, and all
-    are ordered.
+    distinct values between the two bounds are ordered, in ``ranges`` equal
+    ranges of which each is a group of its own; what lies below a range is
+    one of ``ranges`` counts.  Up to ``accuracy`` rows the bracket could be
+    narrower than one row, and reaches over all of them.
     """
     number = F.col(column).cast("double")
     values = df.select(number.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
@@ -109,19 +109,28 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000)
         F.struct(
             F.percentile_approx("v", marks, accuracy).alias("bounds"),
             F.count(F.lit(1)).alias("n"),
+            F.min("v").alias("least"),
+            F.max("v").alias("most"),
         ).alias("s")
     ).scalar()
     few = summary["n"] <= accuracy
-    low = F.when(few, F.lit(float("-inf"))).otherwise(summary["bounds"][0])
-    high = F.when(few, F.lit(float("inf"))).otherwise(summary["bounds"][1])
+    low = F.when(few, summary["least"]).otherwise(summary["bounds"][0])
+    high = F.when(few, summary["most"]).otherwise(summary["bounds"][1])
     position = (summary["n"] - 1) * F.lit(q)
+    # Range -1 holds all below the bracket.  Infinite bounds put all in one range.
+    share = F.nanvl((F.col("v") - low) / F.when(high > low, high - low).otherwise(1.0), F.lit(0.0))
+    at = F.when(F.col("v") < low, -1).otherwise(F.least(F.floor(share * ranges), F.lit(ranges - 1))).cast("int")
     counts = (
         values.where(F.col("v") <= high)
-        .groupBy(F.when(F.col("v") >= low, F.col("v")).alias("v"))
+        .select(F.when(F.col("v") >= low, F.col("v")).alias("v"), at.alias("at"))
+        .groupBy("at", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.orderBy(F.col("v").asc_nulls_first())
-    cumulated = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("p", position)
+    by_range = counts.groupBy("at").agg(F.sum("n").alias("n"))
+    held = by_range.agg(F.collect_list(F.struct("at", "n")).alias("held")).scalar()  # at most ranges + 1
+    before = F.aggregate(F.filter("held", lambda r: r["at"] < F.col("at")), F.lit(0).cast("bigint"), lambda a, r: a + r["n"])
+    inside = F.sum("n").over(Window.partitionBy("at").orderBy(F.col("v").asc_nulls_first()))
+    cumulated = counts.withColumns({"inside": inside, "held": held}).withColumn("upto", F.col("inside") + before).withColumn("p", position)
     at_floor = F.min(F.when(F.col("upto") > F.floor("p"), F.col("v"))).alias("a")
     at_ceiling = F.min(F.when(F.col("upto") > F.ceil("p"), F.col("v"))).alias("b")
     picked = cumulated.agg(at_floor, at_ceiling, F.max("p").alias("p"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from daymill.functions import days
 from daymill.operators import offers as of
 from daymill.plans import literals as lit
 from daymill.plans import roles
@@ -128,7 +133,10 @@ def offer_activity_effect(t: Tables):
        FROM wide a LEFT JOIN wide b ON b.cs_id = a.cs_id AND b.dept_name = a.dept_name AND b.stat_date = a.stat_date - 1
        WHERE a.stat_date = {ASOF}""", "wide", "stat_date", "total_sales")
 def agent_rank_change(t: Tables):
-    return of.agent_rank_change(of.agent_wide(roles.send_facts(t), roles.redemptions(t), roles.agents(t)), lit.ORDERS_AS_OF)
+    # Two days are ranked; the filter on the time of sending reaches the scan.
+    first, after = days.as_date(lit.ORDERS_AS_OF) - dt.timedelta(days=1), days.as_date(lit.ORDERS_AS_OF) + dt.timedelta(days=1)
+    sends = roles.send_facts(t).where((F.col("send_time") >= F.lit(first).cast("timestamp")) & (F.col("send_time") < F.lit(after).cast("timestamp")))
+    return of.agent_rank_change(of.agent_wide(sends, roles.redemptions(t), roles.agents(t)), lit.ORDERS_AS_OF)
 
 
 @query("offer_send_list",
