@@ -217,9 +217,11 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     marked = docs.withColumn(mark, F.xxhash64(col(key), col(source), col(text))).repartition(F.col(mark))
     joined = marked.dropDuplicates([key, source, mark]).join(parts, mark)
     joined = joined.where(col(key).eqNullSafe(F.col(k)) & col(source).cast("string").eqNullSafe(F.col(s)))
+    whole, listed = F.col(words) == F.col(size), fresh(docs, "listed_words")
     every = F.regexp_extract_all(col(text), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    picked = F.array_join(F.flatten(F.transform(F.col(cuts), lambda c: F.slice(every, (c["from_word"] + 1).cast("int"), (c["to_word"] - c["from_word"]).cast("int")))), "")
-    whole = F.col(words) == F.col(size)
-    new = F.when(whole, col(text)).otherwise(picked)
+    # A column of its own, read twice below: put into the lambda, the words would be cut anew for every stretch.
+    joined = joined.withColumn(listed, F.when(~whole, every))
+    picked = F.flatten(F.transform(cuts, lambda c: F.slice(F.col(listed), (c["from_word"] + 1).cast("int"), (c["to_word"] - c["from_word"]).cast("int"))))
+    new = F.when(F.size(listed) > 0, F.array_join(picked, "")).otherwise(col(text))
     made = joined.select(*[new.alias(c) if c == text else col(c) for c in docs.columns])
     return made.withColumn("n_chars", F.length(col(text)).cast("long")) if "n_chars" in docs.columns else made
