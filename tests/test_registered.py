@@ -10,17 +10,21 @@ import __spark_entry__ as entry
 from daymill.plans.registry import QUERIES
 from tools.check import compare
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="module")
-def db():
+def views(folder):
     con = duckdb.connect()
-    for path in glob.glob(f"{FOLDER}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
     return con
 
 
+@pytest.fixture(scope="module")
+def db():
+    return views(FOLDER)
+
+
 def no_cross_join_and_no_python(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
@@ -30,8 +34,9 @@ def no_cross_join_and_no_python(df):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     status, note, _ = compare(spark, db, name, FOLDER, no_cross_join_and_no_python)
-    # The smallest tables hold too few orders for some short windows.
-    assert status in ("OK", "ROWS", "EMPTY"), note
+    if status == "EMPTY":  # the smallest tables hold too few orders for some short windows
+        status, note, _ = compare(spark, views(LARGER), name, LARGER)
+    assert status in ("OK", "ROWS"), note
 
 
 def test_every_oracle_has_a_query():
