@@ -64,7 +64,7 @@ def ranges(df: DataFrame, key: str, wanted: int) -> list[int]:
     if wanted < 2:
         return []
     shares = [i / wanted for i in range(1, wanted)]
-    cuts = df.agg(F.percentile_approx(col(key), F.array(*map(F.lit, shares)), F.lit(100 * wanted))).first()[0]
+    cuts = df.agg(F.percentile_approx(col(key), F.array(*map(F.lit, shares)), F.lit(max(10_000, 10 * wanted)))).first()[0]
     return sorted({float(c): c for c in cuts or []}.values())  # apart as doubles too
 
 
