@@ -177,7 +177,7 @@ def _searched(learner, kind: str, label: str) -> CrossValidator:
 
 
 def score_labels(fitted: LabelModels, df: DataFrame, scored_at: Column | None = None) -> DataFrame:
-    """Prediction and probability per label, with the time of scoring.
+    """Prediction and probability per label, stamped ``scored_at``; null without it, the clock is not read.
 
     A label of which training saw one class only gets that class with
     probability 1.
@@ -198,7 +198,7 @@ def score_labels(fitted: LabelModels, df: DataFrame, scored_at: Column | None =
     for label, value in fitted.constants.items():
         out = out.withColumns({f"{label}_pred": F.lit(value), f"{label}_prob": F.lit(1.0)})
         added += [f"{label}_pred", f"{label}_prob"]
-    when = scored_at if scored_at is not None else F.current_timestamp()
+    when = scored_at if scored_at is not None else F.lit(None).cast("timestamp")
     return out.select(*kept, *added, when.alias("prediction_time"))
 
 

@@ -189,7 +189,9 @@ def raw_table_copy(t: Tables):
 @query("sync_schema")
 def sync_schema(t: Tables):
     """Warehouse types for the columns of all loaded tables, with the rows each table brings."""
-    names = ["orders", "lineitem", "customer", "events", "part"]
+    names = (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+    ).split()
     catalogue = t.spark.createDataFrame(
         schemas.catalogue_of({n: t.read(n) for n in names}),
         "table_name string, column_name string, ordinal int, column_type string, comment string",
