@@ -36,7 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    # Workers live on through the stages of a run, so they keep less here than by default.
+    coded = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remembered=200_000, states=80_000)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

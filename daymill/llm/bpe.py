@@ -46,8 +46,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encoder for one piece of text at a time; ``ranks`` are ids that are also the order of merging."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], states: int = STATES):
+        self.ranks, self.states = ranks, states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.child: dict[int, int] = {}  # the trie of tokens: node << 8 | byte to node; the root is 0
         self.token_at, self.inner = [-1], [True]
@@ -130,7 +130,7 @@ class Transducer:
             if last < 0 <= token:
                 fit = fits.get(before << 20 | token)
                 if fit is None:
-                    if len(fits) >= 2 * STATES:
+                    if len(fits) >= 2 * self.states:
                         fits.clear()
                     fit = fits[before << 20 | token] = self.can_follow(token, before - 1)
                 if fit:
@@ -156,7 +156,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.pairs) > STATES:
+        if len(self.pairs) > self.states:
             self._forget()
         out: list[int] = []
         arcs, path, state = self.arcs, [], 0
@@ -195,14 +195,14 @@ def splits_at_spaces(pattern: str) -> bool:
 class Encoder:
     """Whole texts: split by ``pattern``, each match through the transducer.  Remembers split stretches."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED, states: int = STATES):
+        self.transducer = Transducer(ranks, states)
         # \s in the pattern is Unicode's white space; the regex module would add four control characters.
         self.match = regex.compile(pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]"))
         self.plain = splits_at_spaces(pattern)
         self.stretches = STRETCH.findall if self.plain else lambda text: [text] if text else []
-        self.known = Remembered(self._stretch, REMEMBERED)
-        self.pieces = Remembered(self._piece, REMEMBERED // 4)
+        self.known = Remembered(self._stretch, remembered)
+        self.pieces = Remembered(self._piece, remembered // 4)
 
     def _piece(self, piece: str) -> bytes:
         ids = array("i", self.transducer.encode(piece.encode("utf-8", "replace")))
@@ -239,12 +239,15 @@ class StreamDecoder:
 IDS_AT_ONCE = 1 << 19
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None, remembered: int = REMEMBERED, states: int = STATES
+) -> DataFrame:
     """``docs`` with ``out``, the token ids (array of int) of the whole ``text``.
 
     ``path`` names a rank file that every executor has.  ``decoded`` names a further column for the text that the ids
     spell, decoded from them by the stream decoder in the same pass.  Null and empty texts have no ids.  All other
     columns and rows are kept as they are, repeated ones too; input columns of the new names are replaced.
+    ``remembered`` and ``states`` bound what a Python worker keeps from task to task: memory against time.
     """
     new = [out] if decoded is None else [out, decoded]
     kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in new}]
@@ -256,7 +259,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
-            encoder = encoder or per_process(("bpe encoder", path, pattern), lambda: Encoder(read_ranks(path), pattern))
+            encoder = encoder or per_process(("bpe encoder", path, pattern, remembered, states), lambda: Encoder(read_ranks(path), pattern, remembered, states))
             at, ids, held = 0, [], 0
             texts = batch.column(len(kept))
             for i in range(len(texts)):

@@ -127,13 +127,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxics, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(texts), 256):
+            for at in range(0, len(texts), 64):
                 made = []
-                for i in range(at, min(at + 256, len(texts))):
+                for i in range(at, min(at + 64, len(texts))):
                     tokens = texts[i].as_py().split()
                     made.append((len(tokens), list(Counter(f for t in tokens for f in features_of(t)).items())))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(toxics[at : at + 256], pa.int32()), pa.array([n for n, _ in made], pa.int32()), pa.array([f for _, f in made], pa.map_(pa.string(), pa.int32()))],
+                    [pa.array(toxics[at : at + 64], pa.int32()), pa.array([n for n, _ in made], pa.int32()), pa.array([f for _, f in made], pa.map_(pa.string(), pa.int32()))],
                     names=["toxic", "words", "features"],
                 )
 

@@ -41,11 +41,10 @@ def test_any_text_as_the_library_does(encoder, reference, signs):
         assert encoder.encode(text) == reference.encode_ordinary(text)
 
 
-def test_long_pieces_and_few_states(reference, monkeypatch):
+def test_long_pieces_and_few_states(reference):
     text = "a" * 5000 + "ab" * 3000 + "thequickbrownfox" * 300
     assert bpe.Encoder(RANKS, public_tokenizers.PATTERN).encode(text) == reference.encode_ordinary(text)
-    monkeypatch.setattr(bpe, "STATES", 50)
-    small = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    small = bpe.Encoder(RANKS, public_tokenizers.PATTERN, remembered=8, states=50)
     for word in text[4000:], "reinstatement of unforeseeables", "zzxqj yyy":
         assert small.encode(word) == reference.encode_ordinary(word)
 
