@@ -1,4 +1,4 @@
-"""Document fingerprints: every shingle hash below a fixed fraction of the hash range is retained.
+"""Document fingerprints: every shingle hash below a fixed fraction of the hash range is retained, by default all.
 
 The size of such a sketch follows the size of the text, so sketches of very unequal documents can be compared: the
 share of one's hashes found in the other estimates containment.  Sketches of parts merge to the sketch of the whole by
@@ -21,8 +21,8 @@ from daymill.llm.common import col, fresh, map_arrow, partitions, ranges, with_r
 
 SHINGLE_WORDS = 5
 SEED = 42
-#: Retained share of the hash range.
-FRACTION = 1 / 16
+#: Retained share of the hash range.  All of it: likeness and containment are exact, and no text is without a hash.
+FRACTION = 1.0
 #: Shingle hashes held at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -48,8 +48,8 @@ def shingle_hashes(text: str, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]
 
 def sketch(text: str | None, fraction: float = FRACTION, size: int = SHINGLE_WORDS) -> np.ndarray:
     """The distinct shingle hashes below ``fraction`` of the hash range, ascending.  Null is read as empty."""
-    below = np.uint64(min(int(fraction * 2.0**64), 2**64 - 1))
-    kept = [h[h < below] for h in shingle_hashes(text or "", size)]
+    last = np.uint64(min(int(fraction * 2.0**64), 2**64) - 1)
+    kept = [h[h <= last] for h in shingle_hashes(text or "", size)]
     return np.unique(np.concatenate(kept))
 
 
@@ -86,8 +86,8 @@ def unpacked(text: str) -> np.ndarray:
 def sketches(docs: DataFrame, text: str = "text", out: str = "fingerprint", fraction: float = FRACTION) -> DataFrame:
     """``docs`` with the sketch of the whole ``text`` as text in ``out``.
 
-    Null is read as empty.  A text none of whose hashes is small enough has an empty sketch; likely only below about
-    1 / ``fraction`` shingles.  Rows are handled one by one, so repeated rows and other columns stay as they are; an
+    Null is read as empty.  With a ``fraction`` below 1, a text none of whose hashes is small enough has an empty sketch;
+    likely only below about 1 / ``fraction`` shingles.  Rows are handled one by one, so repeated rows and other columns stay as they are; an
     input column called ``out`` is replaced.
     """
     kept = [c for c in docs.columns if c.lower() != out.lower()]

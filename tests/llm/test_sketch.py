@@ -49,3 +49,22 @@ def test_every_row_meets_its_successor(frames):
         rows = sketch.with_next(docs, "doc_id", ["text"], parts)
         seen = [(a.key, b.key) for p in rows.rdd.glom().collect() for a, b in zip(p, p[1:]) if a.part == b.part and not a["last"]]
         assert sorted(seen) == [(i, (i + 1) % 300) for i in range(300)]
+
+
+def test_likeness_is_the_true_similarity(spark):
+    def shingles(text):
+        words = text.lower().encode().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    got = {r.doc_id: r for r in queries.QUERIES["op2_sketch"](spark, SMALL).collect()}
+    texts = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
+    for (key, text), (_, after) in zip(texts, texts[1:] + texts[:1]):
+        own, mine, other = map(shingles, (text, sketch.edited(text, after), after))
+        assert got[key].near_edited == len(own & mine) / len(own | mine) and got[key].near_next == len(own & other) / len(own | other)
+        assert got[key].kept_in_edited == len(own & mine) / len(own) and got[key].kept_in_next == len(own & other) / len(own)
+
+
+def test_short_texts_have_hashes(frames):
+    texts = [f"w{i} a b c d e f g" for i in range(40)]
+    assert len({r.fingerprint for r in sketch.sketches(frames(texts)).collect()}) == 40
+    assert max(r.near_next for r in sketch.compare_with_edits(frames(texts)).collect()) < 1
