@@ -1,9 +1,11 @@
 """Mixing sources to target weights, in SQL functions only.
 
-The words of each source are laid out document after document and packed into blocks of ``block_words``.  The mix is
-a row of slots, one block each.  How many slots a source gets is fixed by its target; which slots of which output shard
-they are is drawn without replacement (a pseudorandom permutation deals the slots out), so the source counts of a shard
-are a multinomial draw that is held to the totals, and the mix as a whole hits its targets to within a block.  A
+The words of each source are laid out document after document and packed into blocks of ``block_words``, fewer in a
+small source; the last block of a source may be short.  The mix is a row of slots, one block each.  How many slots a
+source gets is fixed by its target and by the words its blocks really hold: whole passes, then the blocks that come
+nearest to what is left.  Which slots of which output shard they are is drawn without replacement (a pseudorandom
+permutation deals the slots out), so the source counts of a shard are a multinomial draw that is held to the totals,
+and each source hits its target to within half a block, one that is full exactly.  A
 source's slots then go through a pseudorandom permutation of the source's block numbers, a fresh one for each pass over
 the source, and are joined to the blocks by number.  Every draw is a hash of its place and the seed: a rerun, or a task
 run again on another executor, gives the same mix.
@@ -28,6 +30,8 @@ SHARE = 1.5
 #: A source is read so many times at most.
 PASSES = 2
 BLOCK_WORDS = 128
+#: Blocks that a source's target, or the source if smaller, has at least; its blocks are cut smaller for it.
+LEAST_BLOCKS = 16
 SHARD_SLOTS = 4096
 SEED = 42
 #: Documents in a group whose positions one task adds up.
@@ -41,11 +45,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def permuted(index: Column, n: Column, *salt: Column) -> Column:
+def permuted(index: Column, n: Column, *salt: Column, back: bool = False) -> Column:
     """``index`` moved by a pseudorandom permutation of 0..n-1 that ``salt`` selects (a swap-or-not network).
 
     Each round pairs x with key - x (mod n) and swaps the pair or not by a hash of its larger member: a bijection for
-    any n, without a walk and without a table.
+    any n, without a walk and without a table.  Each round undoes itself: ``back`` runs them in the other order, which
+    gives the inverse.
     """
 
     def step(x: Column, r: Column) -> Column:
@@ -53,7 +58,8 @@ def permuted(index: Column, n: Column, *salt: Column) -> Column:
         swap = F.pmod(F.xxhash64(F.greatest(x, other), r, F.lit("swap"), *salt), F.lit(2)) == 1
         return F.when(swap, other).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("long"), step)
+    first, last = (ROUNDS, 1) if back else (1, ROUNDS)
+    return F.aggregate(F.sequence(F.lit(first), F.lit(last)), index.cast("long"), step)
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
@@ -81,14 +87,13 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 @dataclass
 class Mix:
-    """``documents``: row columns, size, source_size, target, first_word.  ``slots``: the mix, one row per slot.
-    ``takes``: (source, block, times)."""
+    """``documents``: row columns, size, source_size, target, block_words of its source, first_word.  ``slots``: the
+    mix, one row per slot.  ``takes``: (source, block, times)."""
 
     documents: DataFrame
     sources: DataFrame
     slots: DataFrame
     takes: DataFrame
-    block_words: int
 
 
 def mix(
@@ -112,7 +117,9 @@ def mix(
         docs.select(col(key).alias("key"), col(source).cast("string").alias("source"), F.xxhash64(col(key), col(source), col(text)).alias("mark"), word_count(col(text)).alias("size")),
         "sizes",
     )
-    sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, passes), "sources")
+    wanted = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, passes)
+    fitting = F.ceil(F.least(F.col("target"), F.col("source_size").cast("double")) / LEAST_BLOCKS)
+    sources = stored(wanted.withColumn("block_words", F.least(F.lit(block_words).cast("long"), F.greatest(fitting, F.lit(1).cast("long")))), "sources")
     spread = sized.withColumn("group", F.pmod(F.xxhash64("key", "mark", F.lit(seed)), F.lit(max(1, sized.count() // GROUP_ROWS + 1))))
     sums = spread.groupBy("source", "group").agg(F.sum("size").alias("held"))
     before = F.sum("held").over(Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1))
@@ -125,12 +132,20 @@ def mix(
     )
     documents = placed.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
-    # Slots: the whole mix is numbered source by source; the number of a source's slots follows its target.
-    blocks = sources.where("source_size > 0").select(
-        "source",
-        F.ceil(F.col("source_size") / block_words).alias("blocks"),
-        F.round(F.col("target") / block_words).cast("long").alias("wanted"),
-    )
+    # Slots: the whole mix is numbered source by source; the number of a source's slots follows its target.  Of the
+    # last pass, the first ``more`` permuted blocks hold more * block_words words, less what the short block lacks.
+    b, size = F.col("block_words"), F.col("source_size")
+    held = sources.where("source_size > 0").withColumn("blocks", F.ceil(size / b)).withColumn("whole", F.floor(F.col("target") / size))
+    held = held.withColumn("rest", F.col("target") - F.col("whole") * size).withColumn("lacks", F.col("blocks") * b - size)
+    short = permuted(F.col("blocks") - 1, F.col("blocks"), F.lit(seed), F.col("source"), F.col("whole"), back=True)
+
+    def off(more: Column) -> Column:
+        return F.abs(more * b - F.when(more > F.col("short_at"), F.col("lacks")).otherwise(0) - F.col("rest"))
+
+    fewer = held.withColumn("short_at", short).withColumn("fewer", F.least(F.floor(F.col("rest") / b), F.col("blocks")))
+    tried = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.least(F.col("fewer") + i, F.col("blocks")))
+    nearest = F.array_min(F.transform(tried, lambda more: F.struct(off(more).alias("off"), more.alias("more"))))["more"]
+    blocks = fewer.select("source", "blocks", (F.col("whole") * F.col("blocks") + nearest).cast("long").alias("wanted"))
     up_to = blocks.withColumn("first_slot", F.sum("wanted").over(Window.orderBy(F.col("source").asc_nulls_last())) - F.col("wanted")).withColumn(
         "all_slots", F.sum("wanted").over(Window.partitionBy())
     )
@@ -153,19 +168,20 @@ def mix(
         permuted(F.pmod(F.col("number"), F.col("blocks")), F.col("blocks"), F.lit(seed), F.col("source"), turn).alias("block"),
     ).withColumn("shard", F.floor(F.col("place") / SHARD_SLOTS))
     takes = slots.groupBy("source", "block").agg(F.count("*").alias("times"), F.max("pass").alias("last_pass"), F.min("pass").alias("first_pass"))
-    return Mix(documents, sources, slots, takes, block_words)
+    return Mix(documents, sources, slots, takes)
 
 
 def stretches(mixed: Mix) -> DataFrame:
     """(key, source, mark, first_word, block, pass, from_word, to_word): the words of each document, counted from 0,
     that each drawn block takes; ``to_word`` is exclusive."""
-    b = mixed.block_words
+    b = F.col("block_words")
     lying = mixed.documents.where("size > 0").select(
         "key",
         "source",
         "mark",
         "size",
         "first_word",
+        "block_words",
         F.explode(F.sequence(F.floor(F.col("first_word") / b), F.floor((F.col("first_word") + F.col("size") - 1) / b))).alias("block"),
     )
     # The slots unfold from few rows and grow with the data: never a broadcast.

@@ -76,6 +76,20 @@ def test_slots_and_blocks_by_hand(spark, frames):
     assert {k: n for k, n in got.items() if n} == dict(texts)
 
 
+@pytest.mark.parametrize("words", [{"a": 31, "b": 4000, "c": 4000}, {"a": 150, "b": 9000}, {"a": 1, "b": 130, "c": 257, "d": 3}, {"a": 3000, "b": 3001, "c": 50}])
+def test_each_source_comes_near_its_target(spark, frames, words):
+    texts = [(s, n - i if n - i < 40 else 40) for s, n in words.items() for i in range(0, n, 40)]
+    rows = mixing.taken(mixing.mix(frames([" ".join(["w"] * n) for _, n in texts], source=[s for s, _ in texts]))).collect()
+    taken = Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+    want = targets(words)
+    for source, size in words.items():
+        full = want[source] == 2 * size
+        block = min(mixing.BLOCK_WORDS, -(-min(want[source], size) // mixing.LEAST_BLOCKS))
+        assert taken[source] == 2 * size if full else abs(taken[source] - want[source]) <= block / 2
+
+
 def test_hot_source_is_spread(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "'a b c' AS text", "if(id % 3 = 0, 'hot', string(id % 50)) AS source")
     mixed = mixing.mix(docs)
