@@ -2,15 +2,16 @@
 
 Entities to protect (e-mail and IP addresses, card and phone numbers) are found by pattern.  Corpus co-occurrence then
 tells which words reveal an entity: with ``N`` documents, ``n(c)`` that mention entity c, ``n(t)`` with term t and
-``n(c,t)`` with t in the words around a mention of c,
+``n(c,t)`` that mention c and have t anywhere outside an entity,
 
     PMI(c;t) = log2(N n(c,t) / (n(c) n(t)))    is what t tells about c, of the
     IC(c)    = log2(N / n(c))                  bits that name c.
 
 A term that reveals at least ``generalise_at`` of IC(c) is generalised to a placeholder in the documents that mention
-c, from ``remove_at`` on it is removed.  Only terms seen with c in ``contexts`` different surroundings count: a word
-that stands beside an entity once, or in copies of one text, is no evidence.  All counts cover the whole corpus and
-are sums folded before each shuffle, so an entity or a word that a third of all documents hold is no hot spot.
+c, wherever it stands there, from ``remove_at`` on it is removed.  Only terms of documents whose mentions of c stand in
+``contexts`` different surroundings count: a word that meets an entity once, or in copies of one text, is no evidence.
+All counts cover the whole corpus and are sums folded before each shuffle, so an entity or a word that a third of all
+documents hold is no hot spot.
 """
 
 from __future__ import annotations
@@ -33,9 +34,10 @@ PATTERNS = {
 #: A character each match has; texts without it are not searched.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-#: Code points around a mention that are read for terms, and letters a term has at least.
-SURROUNDING, LETTERS = 160, 3
-TERMS_BESIDE = 5
+#: Letters a term has at least.
+LETTERS = 3
+#: What tells two surroundings of a mention apart: so many terms on each side, within so many code points.
+TERMS_BESIDE, SURROUNDING = 5, 160
 TERM = f"\\p{{L}}{{{LETTERS},}}"
 CONTEXTS = 3
 GENERALISE_AT, REMOVE_AT = 0.75, 0.95
@@ -127,15 +129,19 @@ def revealing_terms(docs: DataFrame, text: str = "text", contexts: int = CONTEXT
     mentions = spans.select("mark", "text", F.explode("spans").alias("span")).select(
         "mark", F.xxhash64("span.kind", "span.entity").alias("entity"), beside.alias("beside")
     )
-    # One row per document and entity; the terms are bounded by the document's own mentions.
-    seen = stored(
-        mentions.groupBy("mark", "entity").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("beside")))).alias("terms"), F.count("*").alias("mentions")),
-        "mentions",
-    )
-    copies = stored(spans.groupBy("mark").agg(F.count("*").alias("docs")), "mentioning")
-    weighed = seen.join(copies, "mark")
+    # One row per document and entity; the surroundings are bounded by the document's own mentions.
+    around = F.sort_array(F.array_distinct(F.flatten(F.collect_list("beside"))))
+    seen = stored(mentions.groupBy("mark", "entity").agg(F.xxhash64(around).alias("context")), "mentions")
+    # Entities with too few surroundings have no pair that counts.
+    often = seen.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= contexts)
+    often_seen = stored(seen.join(often, "entity", "left_semi"), "often")
+    # One row per distinct text, with all its terms outside entities.
+    terms = F.array_distinct(terms_of(hidden(F.col("text"), F.col("spans"), dict.fromkeys(KINDS, " "))))
+    copies = spans.join(often_seen.select("mark").distinct(), "mark", "left_semi").groupBy("mark").agg(F.count("*").alias("docs"), F.first("text").alias("text"), F.first("spans").alias("spans"))
+    told = stored(copies.select("mark", "docs", terms.alias("terms")), "mentioning")
+    weighed = often_seen.join(told, "mark")
     pairs = (
-        weighed.select("entity", F.xxhash64("terms").alias("context"), "docs", F.explode("terms").alias("term"))
+        weighed.select("entity", "context", "docs", F.explode("terms").alias("term"))
         .groupBy("entity", "term", "context")
         .agg(F.sum("docs").alias("docs"))
         .groupBy("entity", "term")
@@ -155,7 +161,8 @@ def revealing_terms(docs: DataFrame, text: str = "text", contexts: int = CONTEXT
         .where(F.col("share") >= generalise_at)
     )
     strong = stored(strong, "revealing")
-    in_text = seen.select("mark", "entity", F.explode("terms").alias("term")).join(strong, ["entity", "term"])
+    revealed_in = weighed.join(strong.select("entity").distinct(), "entity", "left_semi")
+    in_text = revealed_in.select("mark", "entity", F.explode("terms").alias("term")).join(strong, ["entity", "term"])
     by_mark = in_text.groupBy("mark", "term").agg(F.max("share").alias("share")).groupBy("mark")
     listed = by_mark.agg(F.sort_array(F.collect_list("term")).alias("terms"), F.sort_array(F.collect_list(F.when(F.col("share") >= remove_at, F.col("term")))).alias("removed"))
     return listed.select("mark", F.array_join("terms", "|").alias("terms"), F.array_join("removed", "|").alias("removed"))
@@ -191,10 +198,10 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds)
     return spans.select(*map(col, kept.columns), listed.alias(out))
 
 
-def hidden(text: Column, spans: Column) -> Column:
+def hidden(text: Column, spans: Column, placeholders: dict[str, str] = PLACEHOLDERS) -> Column:
     """``text`` with each span replaced by its placeholder; spans that overlap are hidden as one, under the first's."""
     first = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    signs = F.create_map(*[F.lit(x) for pair in PLACEHOLDERS.items() for x in pair])
+    signs = F.create_map(*[F.lit(x) for pair in placeholders.items() for x in pair])
 
     def step(so_far: Column, s: Column) -> Column:
         piece = F.concat(F.substring(text, so_far["at"] + 1, s["start"] - so_far["at"]), F.element_at(signs, s["kind"]))

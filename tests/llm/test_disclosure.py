@@ -74,6 +74,18 @@ def test_terms_that_reveal_an_entity(spark, corpus, frames):
     assert clean[64].text == "Zorblax alone"
 
 
+def test_a_term_far_from_the_mention(frames):
+    apart = " ".join(["filler words stand between the two of them"] * 10)
+    told = [f"Quorvane came. {apart} then write to zq@corp.example while {w}" for w in ("rain falls", "sun shines", "wind blows", "snow melts")]
+    told.append(f"write to zq@corp.example and {apart} as they said of quorvane")
+    others = [f"then write to none while rain falls, sun shines, wind blows, snow melts and {apart} as they came and said of it {i}" for i in range(60)]
+    clean = [r.text for r in disclosure.sanitise(frames(told + others)).orderBy("doc_id").collect()]
+    assert not any("quorvane" in t.lower() or "zq@corp" in t for t in clean) and clean[5:] == others
+    assert clean[0] == told[0].replace("Quorvane", "").replace("zq@corp.example", "[EMAIL]")
+    copies = disclosure.sanitise(frames([told[0]] * 5 + others)).collect()
+    assert sum("Quorvane" in r.text for r in copies) == 5
+
+
 def test_one_mention_or_copies_are_no_evidence(frames):
     docs = frames(["Quimby has a@b.co here"] * 30 + [f"other words stand {i}" for i in range(30)])
     assert {s.kind for r in disclosure.find(docs).collect() for s in r.spans} == {"email"}
