@@ -181,10 +181,15 @@ def trade_flow_fact(orders: DataFrame, payments: DataFrame, status_log: DataFram
     )
 
 
-def filtered_event_fact(df: DataFrame, time_col: str, columns: list[str], condition: Column | None = None) -> DataFrame:
-    """Event fact: rows that meet ``condition`` and have a time, with the day of that time."""
+def filtered_event_fact(
+    df: DataFrame, time_col: str, columns: list[str], condition: Column | None = None, timed: bool = True
+) -> DataFrame:
+    """Event fact: rows that meet ``condition``, with the day of their time.
+
+    Rows without a time are left out if ``timed`` (a voucher not used is no event), else kept without a day.
+    """
     rows = df if condition is None else df.where(condition)
-    return rows.where(F.col(time_col).isNotNull()).select(
+    return (rows.where(F.col(time_col).isNotNull()) if timed else rows).select(
         *columns, F.to_date(time_col).alias("date_id"), F.col(time_col).alias("event_time")
     )
 

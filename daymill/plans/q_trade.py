@@ -77,8 +77,8 @@ def filtered_event_fact(t: Tables):
     )
     kind = F.col("event_type")
     columns = ["event_id", "user_id"]
-    favor = tf.filtered_event_fact(events, "create_time", columns, (kind == "click") & (F.col("value") < 50))
-    cart = tf.filtered_event_fact(events, "create_time", columns, kind == "view")
+    favor = tf.filtered_event_fact(events, "create_time", columns, (kind == "click") & (F.col("value") < 50), timed=False)
+    cart = tf.filtered_event_fact(events, "create_time", columns, kind == "view", timed=False)
     coupon = tf.filtered_event_fact(events, "used_time", columns)
     out = [df.select(F.lit(n).alias("kind"), "*") for n, df in (("favor", favor), ("cart", cart), ("coupon", coupon))]
     return out[0].unionByName(out[1]).unionByName(out[2])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,20 +71,34 @@ def jdbc_snapshot(
     return stamp_load_day(spark.read.format("jdbc").options(**connection).options(**read).load(), day)
 
 
-def rows_past_watermark(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+def rows_past_watermark(
+    source: DataFrame, target: DataFrame, column: str, key: Sequence[str] | None = None
+) -> DataFrame:
     """Source rows later than the last value already loaded; all rows at first.
 
-    The watermark is a one-row subquery, so nothing is fetched by the driver.
+    Rows without a value, or with the last value itself, come too unless they
+    are loaded: ``key`` (by default all columns that both sides have) and the
+    value tell.  The watermark is a one-row subquery, so nothing is fetched by
+    the driver.
     """
     mark = target.agg(F.max(column).alias("mark")).scalar()
-    return source.where(F.coalesce(F.col(column) > mark, mark.isNull()))
+    names = list(dict.fromkeys([*(key or [c for c in source.columns if c in target.columns]), column]))
+    open_ = F.col(column).isNull() | F.coalesce(F.col(column) == mark, F.lit(False))
+    loaded = target.where(open_).select([F.col(c).alias(f"__loaded_{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"__loaded_{c}")) for c in names]
+    return source.where(open_ | F.coalesce(F.col(column) > mark, mark.isNull())).join(loaded, same, "left_anti")
+
 
+def incremental_query(table: str, column: str, mark: str | None, undecided: bool = False) -> str:
+    """Source query for the rows past a watermark, to be run by the database.
 
-def incremental_query(table: str, column: str, mark: str | None) -> str:
-    """Source query for the rows past a watermark, to be run by the database."""
+    ``undecided`` adds the rows at the watermark and those without a value.
+    """
     if mark is None:
         return f"SELECT * FROM {table}"
     quoted = mark.replace("'", "''")
+    if undecided:
+        return f"SELECT * FROM {table} WHERE {column} >= '{quoted}' OR {column} IS NULL"
     return f"SELECT * FROM {table} WHERE {column} > '{quoted}'"
 
 
@@ -95,13 +109,22 @@ def jdbc_incremental(
     column: str,
     loaded: DataFrame | None,
     day: str | dt.date,
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """New rows of a table; the watermark is the largest loaded value of the same column."""
+    """New rows of a table; the watermark is the largest loaded value of the same column.
+
+    Rows at the watermark and rows without a value are read again and left out
+    if loaded, see :func:`rows_past_watermark`.
+    """
     mark = None
     if loaded is not None:
         mark = loaded.agg(F.max(column).cast("string")).first()[0]  # one row
-    query = incremental_query(table, column, mark)
+    query = incremental_query(table, column, mark, undecided=True)
     new = spark.read.format("jdbc").options(**connection).option("query", query).option("fetchsize", FETCH_ROWS).load()
+    if loaded is not None:
+        # The source's own columns: without the load day, under their names there.
+        before = loaded.drop("dt").withColumnRenamed("original_dt", "dt")
+        new = rows_past_watermark(new, before, column, key)
     return stamp_load_day(new, day)
 
 

@@ -53,10 +53,15 @@ def time_column(table: str, schema: T.StructType) -> str:
 
 
 def partition_by_event_date(df: DataFrame, time_col: str, day_column: str = "dt") -> DataFrame:
-    """Add the day of the row's own time; rows without a time are left out."""
+    """Add the day of the row's own time; rows without a time are left out, see :func:`rows_without_event_date`."""
     return df.where(F.col(time_col).isNotNull()).withColumn(day_column, F.to_date(time_col))
 
 
+def rows_without_event_date(df: DataFrame, time_col: str) -> DataFrame:
+    """The rows that :func:`partition_by_event_date` leaves out, to be counted and stored as errors."""
+    return df.where(F.col(time_col).isNull())
+
+
 def overwrite_partitions(
     df: DataFrame,
     path: str,

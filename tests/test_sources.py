@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymill.operators import trade_facts
 from daymill.sources import files, jdbc, partitions, schemas
 
 D = dt.date
@@ -120,6 +121,26 @@ def test_watermark(spark, rows):
     assert jdbc.incremental_query("t", "at", "o'clock") == "SELECT * FROM t WHERE at > 'o''clock'"
 
 
+def test_watermark_keeps_null_and_equal_values(spark, rows):
+    source = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (4, None), (5, None), (6, 20), (7, 5)], "id int, at int")
+    loaded = source.where("id IN (1, 2, 4, 7)")
+    for key in (["id"], None):
+        assert sorted(rows(jdbc.rows_past_watermark(source, loaded, "at", key), "id")) == [(3,), (5,), (6,)]
+    assert jdbc.rows_past_watermark(source, source, "at", ["id"]).count() == 0
+    assert jdbc.rows_past_watermark(source, source.limit(0), "at", ["id"]).count() == 7
+    assert sorted(rows(jdbc.rows_past_watermark(source, source.where("id = 4"), "at", ["id"]), "id")) == [(i,) for i in (1, 2, 3, 5, 6, 7)]
+    assert jdbc.incremental_query("t", "at", "9", undecided=True) == "SELECT * FROM t WHERE at >= '9' OR at IS NULL"
+
+
+def test_rows_without_a_time_are_found_again(spark, rows):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, None), (3, None)], "id int, at timestamp")
+    left_out = partitions.rows_without_event_date(df, "at")
+    assert left_out.count() + partitions.partition_by_event_date(df, "at").count() == df.count()
+    kept = trade_facts.filtered_event_fact(df, "at", ["id"], timed=False)
+    assert kept.count() == 3 and kept.where("date_id IS NULL AND event_time IS NULL").count() == 2
+    assert rows(trade_facts.filtered_event_fact(df, "at", ["id"]), "id") == [(1,)]
+
+
 def test_load_day_does_not_hide_a_source_column(days):
     out = jdbc.stamp_load_day(days, "2024-02-02")
     assert "original_dt" in out.columns and out.first()["dt"] == D(2024, 2, 2)
