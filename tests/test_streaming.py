@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,21 +96,90 @@ def test_change_feed_over_batches(spark, tmp_path, rows):
         drain(ch.apply_changes(text_stream(spark, source), "value", ROW, "id", path, check, drain=True))
     want = [(1, "a2"), (3, "c"), (4, "d")]
     assert rows(ch.current_state(spark, path, ROW, "id")) == want
-    ch.compact(spark, path, str(tmp_path / "base"), ROW, "id")
-    base = str(tmp_path / "base")
-    assert rows(ch.current_state(spark, base, ROW, "id")) == want
     lines(source, "f9", [change("u", 7, (2, "b"), (2, "late again")), change("d", 11, before=(4, "d"))])
-    drain(ch.apply_changes(text_stream(spark, source), "value", ROW, "id", base, check, drain=True))
-    assert rows(ch.current_state(spark, base, ROW, "id")) == [(1, "a2"), (3, "c")]
+    drain(ch.apply_changes(text_stream(spark, source), "value", ROW, "id", path, check, drain=True))
+    assert rows(ch.current_state(spark, path, ROW, "id")) == [(1, "a2"), (3, "c")]
 
 
 def test_a_batch_run_again_leaves_one_copy(spark, tmp_path, rows):
     feed = tmp_path / "in"
     lines(feed, "f", [change("r", 1, after=(1, "a"))])
     path = str(tmp_path / "state")
-    for n in range(2):  # a lost checkpoint makes batch 0 run twice
+    for n in range(2):  # a lost checkpoint: another stream brings the same changes again
         drain(ch.apply_changes(text_stream(spark, feed), "value", ROW, "id", path, str(tmp_path / f"c{n}"), drain=True))
-    assert spark.read.parquet(path).count() == 1
+        assert rows(ch.folded_state(spark, path, ROW, "id")) == [(1, "a", "r", 1)]
+
+
+CHANGE = "id long, v string, op string, pos long"
+
+
+def merged(spark, path, changes, batch, **options):
+    ch.merge_batch(spark.createDataFrame(changes, CHANGE), path, ROW, "id", batch, "one", buckets=4, open_deltas=3, **options)
+
+
+def files_below(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*.parquet"))
+
+
+def test_reading_costs_the_same_after_many_batches(spark, tmp_path, rows):
+    path = tmp_path / "t"
+    state, counts = {}, []
+    rnd = random.Random(2)
+    for batch in range(14):
+        changes = [(rnd.randrange(30), f"v{batch}", rnd.choice("uud"), batch * 100 + i) for i in range(6)]
+        merged(spark, str(path), changes, batch)
+        for i, v, op, pos in changes:
+            state[i] = (v, op)
+        live = ch.read_manifest(spark, str(path)).files(str(path))
+        counts.append(len(live))
+        # Two manifests are kept, so nothing else grows either.
+        assert len(files_below(path)) <= 2 * 4 * (1 + 3) + 2 and len(files_below(path / "manifest")) <= 2
+    assert max(counts) <= 4 * 3 and ch.read_manifest(spark, str(path)).version == 13
+    assert rows(ch.current_state(spark, str(path), ROW, "id")) == sorted(((i, v) for i, (v, op) in state.items() if op != "d"), key=repr)
+
+
+def test_only_touched_buckets_are_merged(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merged(spark, path, [(i, "a", "c", i) for i in range(40)], 0)
+    for batch in range(1, 4):
+        merged(spark, path, [(7, f"b{batch}", "u", 100 + batch)], batch)
+    live = ch.read_manifest(spark, path).live
+    assert sorted(live) == [0, 1, 2, 3]
+    assert sorted(base is not None for base, _ in live.values()) == [False, False, False, True]
+    assert [deltas for base, deltas in live.values() if base is None] == [[0], [0], [0]]
+
+
+@pytest.mark.parametrize("step", ["delta", "base", "manifest"])
+def test_a_batch_that_fails_at_any_step_and_runs_again(spark, tmp_path, rows, step):
+    path = str(tmp_path / "t")
+    for batch in range(2):
+        merged(spark, path, [(1, f"a{batch}", "u", batch), (2, "b", "u", batch)], batch)
+    before = rows(ch.current_state(spark, path, ROW, "id"))
+
+    def fail(at):
+        if at == step:
+            raise RuntimeError(step)
+
+    changes = [(1, "new", "u", 9), (2, "b", "d", 9), (3, "c", "c", 9)]
+    with pytest.raises(RuntimeError):
+        merged(spark, path, changes, 2, on_step=fail)
+    seen = rows(ch.current_state(spark, path, ROW, "id"))
+    assert seen == (before if step != "manifest" else [(1, "new"), (3, "c")])
+    for _ in range(2):
+        merged(spark, path, changes, 2)
+        assert rows(ch.current_state(spark, path, ROW, "id")) == [(1, "new"), (3, "c")]
+        assert ch.read_manifest(spark, path).version == 2
+    merged(spark, path, [(3, "d", "u", 10), (None, "x", "u", 11)], 3)
+    assert rows(ch.current_state(spark, path, ROW, "id")) == [(1, "new"), (3, "d")]
+
+
+def test_empty_table_and_empty_batch(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    assert rows(ch.current_state(spark, path, ROW, "id")) == []
+    merged(spark, path, [], 0)
+    assert rows(ch.current_state(spark, path, ROW, "id")) == []
+    merged(spark, path, [(1, "a", "c", 1)], 1)
+    assert rows(ch.current_state(spark, path, ROW, "id")) == [(1, "a")]
 
 
 def test_topic_options():
