@@ -5,11 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from daymill.functions.days import OPEN_END, as_date, seconds_to_timestamp
 from daymill.functions.values import EMAIL_PATTERN, PHONE_PATTERN, hash_if_valid
+from daymill.session import scratch_table
+from daymill.sources import folders
+from daymill.sources.partitions import overwrite_partitions
 
 
 def user_zip_init(users: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
@@ -95,6 +100,105 @@ def user_zip_merge(
     return joined.select(F.inline(versions)).select(columns).unionByName(history.where(~is_open).select(columns))
 
 
+def _touched(history: DataFrame, changes: DataFrame, key: str, day: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of the changed keys that reach the first changed day or the day before it, and all other rows.
+
+    The days before that are not joined; on a table with a folder for each end date they are not read for it.
+    """
+    first = changes.agg(F.date_sub(F.min(day), 1).alias("first")).scalar()
+    may = F.coalesce((F.col("end_date") >= first) & F.col("start_date").isNotNull(), F.lit(False))
+    keys = changes.select(F.col(key).alias("__key")).distinct().withColumn("__hit", F.lit(True))
+    near = history.where(may).join(keys, F.col(key) == F.col("__key"), "left")
+    hit = near.where("__hit").select(history.columns)
+    return hit, near.where(F.col("__hit").isNull()).select(history.columns).unionByName(history.where(~may))
+
+
+def _timeline(touched: DataFrame, changes: DataFrame, key: str, attributes: Sequence[str], day: str) -> DataFrame:
+    """The rows of the changed keys, cut anew at the starts of their rows and at the days of their changes."""
+    values = F.struct(*attributes)
+    none = F.lit(None).cast("date")
+    starts = touched.select(key, F.col("start_date").alias("__day"), values.alias("__v"), F.lit(0).alias("__new"), F.col("end_date").alias("__end"))
+    given = changes.select(key, F.col(day).alias("__day"), values.alias("__v"), F.lit(1).alias("__new"), none.alias("__end"))
+    # A change on the day a row starts takes its place and keeps its end.
+    cuts = starts.unionByName(given).groupBy(key, "__day").agg(F.max_by("__v", "__new").alias("__v"), F.max("__end").alias("__end"))
+
+    line = Window.partitionBy(key).orderBy("__day")
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A day inside a row lasts to that row's end at most; after the end of the last row nothing bounds it.
+    cover = F.last("__end", ignorenulls=True).over(so_far)
+    bounded = cuts.withColumn("__until", F.when(cover >= F.col("__day"), cover).otherwise(F.lit(OPEN_END)))
+    joins = F.lag("__until").over(line) >= F.date_sub("__day", 1)
+    same = F.col("__v").eqNullSafe(F.lag("__v").over(line)) & joins & F.col("__end").isNull()
+    kept = bounded.withColumn("__same", F.coalesce(same, F.lit(False))).where("NOT __same")
+    following = F.date_sub(F.lead("__day").over(line), 1)
+    return kept.select(
+        key,
+        *[F.col("__v")[c].alias(c) for c in attributes],
+        F.col("__day").alias("start_date"),
+        F.least(F.coalesce(following, F.lit(OPEN_END)), F.col("__until")).alias("end_date"),
+    )
+
+
+def _dated(changes: DataFrame, key: str, attributes: Sequence[str], day: str, order: str) -> DataFrame:
+    """The last change of each key and day by ``order``: a busy key has as many as it has days."""
+    last = F.max_by(F.struct(*attributes), F.col(order))
+    usable = changes.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+    return usable.groupBy(key, F.col(day).cast("date").alias("__at")).agg(last.alias("__last")).select(key, "__at", "__last.*")
+
+
+def user_zip_chain(history: DataFrame, changes: DataFrame, key: str, attributes: Sequence[str], day: str, order: str) -> DataFrame:
+    """History after changes that each count from their own ``day`` on, however many a key has and however late they come.
+
+    The days of the changes and the starts of the rows cut a key's time line.  A change lasts until the next cut, or
+    until the end of the row it falls in: later rows stand, a late change splits the closed row around its day.  After
+    the last row's end it opens the key again.  Of several changes on a day the last by ``order`` counts; one that
+    says what holds already leaves the rows alone, so merging a batch again gives the same table.  Changes without key
+    or day are left out; rows without a key, start or end pass through.
+    """
+    columns = [key, *attributes, "start_date", "end_date"]
+    dated = _dated(changes, key, attributes, day, order)
+    touched, rest = _touched(history.select(columns), dated, key, "__at")
+    return rest.unionByName(_timeline(touched, dated, key, attributes, "__at"))
+
+
+def user_zip_store(
+    spark: SparkSession, path: str, schema: T.StructType, changes: DataFrame, key: str, attributes: Sequence[str], day: str, order: str
+) -> list[dt.date]:
+    """Merges ``changes`` as :func:`user_zip_chain` does into the table at ``path``, a folder for each end date.
+
+    Only folders with a row that goes, comes or differs are written; gives their dates.  Folders are replaced one by
+    one: after a failure in between, the same call repairs the table, since rows that overlap are cut again.
+    """
+    columns = [key, *attributes, "start_date", "end_date"]
+    history = spark.read.schema(schema).parquet(path).select(columns)
+    dated = _dated(changes, key, attributes, day, order)
+    touched, _ = _touched(history, dated, key, "__at")
+    staged = scratch_table(spark, "history")
+    sign = F.lit(1)
+    old = touched.withColumn("__n", -sign)
+    new = _timeline(touched, dated, key, attributes, "__at").withColumn("__n", sign)
+    # Rows that are on one side only; a row on both sides cancels out.
+    old.unionByName(new).groupBy(columns).agg(F.sum("__n").alias("__n")).where("__n <> 0").write.parquet(staged)
+    moved = spark.read.parquet(staged)
+    dates = sorted(r.end_date for r in moved.select("end_date").distinct().collect())  # days, not rows
+    if not dates:
+        folders.remove(spark, staged)
+        return dates
+    kept = history.where(F.col("end_date").isin(dates)).withColumn("__n", F.lit(1).cast("bigint"))
+    left = kept.unionByName(moved).groupBy(columns).agg(F.sum("__n").alias("__n")).where("__n > 0")
+    full = scratch_table(spark, "history")
+    left.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(columns).write.parquet(full)
+    rows = spark.read.parquet(full)
+    overwrite_partitions(rows, path, ["end_date"])
+    held = {r.end_date for r in rows.select("end_date").distinct().collect()}
+    for date in dates:
+        if date not in held:
+            folders.remove(spark, f"{path}/end_date={date}")
+    folders.remove(spark, staged)
+    folders.remove(spark, full)
+    return dates
+
+
 def latest_per_key(rows: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
     """Last row per key; folded before the shuffle, so a busy key stays cheap."""
     last = F.max_by(F.struct(*columns), F.col(order))

@@ -164,6 +164,36 @@ def user_zip_merge(t: Tables):
     return history.user_zip_merge(once, changes, "id", ["balance", "segment"], "2024-01-31", "seq")
 
 
+@query("user_zip_chain",
+       """WITH c AS (SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS segment FROM customer), v AS (
+       SELECT id, balance, segment, DATE '2020-01-01' AS start_date, FALSE AS lost FROM c WHERE id % 4 <> 1
+       UNION ALL SELECT id, balance + 1, segment, DATE '2023-01-01', FALSE FROM c WHERE id % 4 <> 1
+       UNION ALL SELECT id, balance + 5, segment, DATE '2021-06-01', FALSE FROM c WHERE id % 6 = 0
+       UNION ALL SELECT id, balance + 10 * n, segment, DATE '2024-01-01' + CAST(10 * n AS INT), FALSE FROM c, range(1, 4) r(n) WHERE id % 10 = 0
+       UNION ALL SELECT id, balance, segment, DATE '2024-01-31', FALSE FROM c WHERE id % 4 = 1)
+       SELECT id, balance, segment, start_date, CAST(coalesce(lead(start_date) OVER (PARTITION BY id ORDER BY start_date) - 1, DATE '9999-12-31') AS DATE) AS end_date
+       FROM v""", days="start_date end_date")
+def user_zip_chain(t: Tables):
+    """Three changes a customer in one batch, late ones inside a closed row, new customers; the merge runs twice."""
+    base = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    new = F.col("id") % 4 == 1
+
+    def dated(rows, day, plus, seq):
+        return rows.withColumns({"balance": (F.col("balance") + plus).cast(base.schema["balance"].dataType), "day": F.lit(day).cast("date"), "seq": F.lit(seq)})
+
+    def version(start, end, plus):
+        return dated(base.where(~new), start, plus, 0).select("id", "balance", "segment", F.col("day").alias("start_date"), F.lit(end).cast("date").alias("end_date"))
+
+    stored = version("2020-01-01", "2022-12-31", 0).unionByName(version("2023-01-01", "9999-12-31", 1))
+    changes = dated(base.where("id % 6 = 0"), "2021-06-01", 5, 9).unionByName(dated(base.where(new), "2024-01-31", 0, 1).where("id % 10 <> 0"))
+    for n in (1, 2, 3):
+        changes = changes.unionByName(dated(base.where("id % 10 = 0"), f"2024-01-{1 + 10 * n}", 10 * n, n))
+    stale = dated(base.where("id % 10 = 0"), "2024-01-31", 99, 0)
+    changes = changes.unionByName(stale)
+    once = history.user_zip_chain(stored, changes, "id", ["balance", "segment"], "day", "seq")
+    return history.user_zip_chain(once, changes, "id", ["balance", "segment"], "day", "seq")
+
+
 @query("complex_dim",
        """SELECT n_nationkey AS id, n_name AS complex_name, p.name AS province_name, c.name AS city_name,
        n_regionkey + 1 AS province_id, n_nationkey + 1000 AS city_id
