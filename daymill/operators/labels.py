@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymill.functions.values import ratio
-from daymill.operators.ranking import exact_quantile
+from daymill.operators.ranking import exact_quantiles
 from daymill.session import scratch_table
 
 # --- fixed values: features, thresholds and model settings ---
@@ -32,14 +32,19 @@ CATEGORY_SLOTS = 256
 
 
 def entry_labels(df: DataFrame, high_value: bool = True) -> DataFrame:
-    """Three 0/1 labels; a label whose column is absent is skipped."""
+    """Three 0/1 labels; a label whose column is absent is skipped.
+
+    Both quantiles come from the same passes over ``df``, which run when this is called.
+    """
+    quantiles = {"visitor_count": HIGH_VISITORS} | ({"avg_stay_duration": HIGH_STAY} if high_value else {})
+    present = {c: [q] for c, q in quantiles.items() if c in df.columns}
+    cuts = exact_quantiles(df, present) if present else {}
     labels: dict[str, Column] = {}
     if "order_conversion_rate" in df.columns:
         labels["high_conversion"] = F.col("order_conversion_rate") >= HIGH_CONVERSION
-    if "visitor_count" in df.columns:
-        labels["high_visitor"] = F.col("visitor_count") >= exact_quantile(df, "visitor_count", HIGH_VISITORS)
-    if high_value and "avg_stay_duration" in df.columns:
-        labels["high_duration"] = F.col("avg_stay_duration") >= exact_quantile(df, "avg_stay_duration", HIGH_STAY)
+    for column, label in (("visitor_count", "high_visitor"), ("avg_stay_duration", "high_duration")):
+        if column in cuts:
+            labels[label] = F.col(column) >= F.lit(cuts[column][0]).cast("double")
     if not labels:
         raise ValueError("no column to derive a label from")
     # A comparison with null is no hit, as it is for a missing number.

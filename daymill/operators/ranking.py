@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -92,46 +94,91 @@ def steps_in_session(
     )
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 10_000, ranges: int = 1000):
-    """Interpolated quantile of a column as a one-row subquery.
+#: Parts that a stretch of values is cut into by one pass, and rows few enough to be counted value by value.
+PARTS, FEW_ROWS = 1 << 16, 1 << 16
 
-    A sketch brackets the wanted position within a known rank error.  Only
-    distinct values between the two bounds are ordered, in ``ranges`` equal
-    ranges of which each is a group of its own; what lies below a range is
-    one of ``ranges`` counts.  Up to ``accuracy`` rows the bracket could be
-    narrower than one row, and reaches over all of them.
+
+@dataclass
+class Stretch:
+    """Values of a column from ``low`` to ``high``; ``first`` rows of the column lie below it, ``rows`` in it."""
+
+    column: str
+    low: float
+    high: float
+    first: int
+    rows: int
+
+
+def _magnitude(v: Column) -> Column:
+    """A whole number that grows with a double: its sign and binary logarithm, in steps of a fifteenth."""
+    size = F.log2(F.abs(v)) + 1100  # 26 or more, down to the smallest double
+    return F.floor(F.when(v == 0, 0.0).when(v > 0, size).otherwise(-size) * 15).cast("bigint")
+
+
+def _counted(df: DataFrame, parts: list[tuple[str, int, Column, Column]]) -> dict[tuple[str, int], list[tuple[float, float, int]]]:
+    """One pass: for each (column, number, test, part) the parts of the rows that pass the test, in ascending order,
+    as smallest value, largest value and rows."""
+    rows = [
+        F.when(test, F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), part.cast("double").alias("part"), F.col(f"`{c}`").cast("double").alias("v")))
+        for c, i, test, part in parts
+    ]
+    used = df.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    held = used.groupBy("c", "i", "part").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"))
+    out: dict[tuple[str, int], list[tuple[float, float, int]]] = {(c, i): [] for c, i, _, _ in parts}
+    for r in held.collect():  # PARTS or FEW_ROWS rows for a stretch
+        out[r.c, r.i].append((r.low, r.high, r.n))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """Interpolated quantiles of several columns, all found in the same few passes over ``df``.
+
+    Radix selection.  The first pass counts the rows of each order of magnitude.  The part that holds a wanted
+    position is a stretch, whose parts the next pass counts, and so on: with 65,536 parts four passes settle any
+    double.  A stretch of ``FEW_ROWS`` rows or less is counted value by value at once.  The driver sees counts of
+    parts, never rows; their number depends on the quantiles, not on the data.  Nulls and NaN are left out; a column
+    without a number has none.  Runs the passes when called.
     """
-    number = F.col(column).cast("double")
-    values = df.select(number.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    margin = 4.0 / accuracy
-    marks = [max(0.0, q - margin), min(1.0, q + margin)]
-    summary = values.agg(
-        F.struct(
-            F.percentile_approx("v", marks, accuracy).alias("bounds"),
-            F.count(F.lit(1)).alias("n"),
-            F.min("v").alias("least"),
-            F.max("v").alias("most"),
-        ).alias("s")
-    ).scalar()
-    few = summary["n"] <= accuracy
-    low = F.when(few, summary["least"]).otherwise(summary["bounds"][0])
-    high = F.when(few, summary["most"]).otherwise(summary["bounds"][1])
-    position = (summary["n"] - 1) * F.lit(q)
-    # Range -1 holds all below the bracket.  Infinite bounds put all in one range.
-    share = F.nanvl((F.col("v") - low) / F.when(high > low, high - low).otherwise(1.0), F.lit(0.0))
-    at = F.when(F.col("v") < low, -1).otherwise(F.least(F.floor(share * ranges), F.lit(ranges - 1))).cast("int")
-    counts = (
-        values.where(F.col("v") <= high)
-        .select(F.when(F.col("v") >= low, F.col("v")).alias("v"), at.alias("at"))
-        .groupBy("at", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_range = counts.groupBy("at").agg(F.sum("n").alias("n"))
-    held = by_range.agg(F.collect_list(F.struct("at", "n")).alias("held")).scalar()  # at most ranges + 1
-    before = F.aggregate(F.filter("held", lambda r: r["at"] < F.col("at")), F.lit(0).cast("bigint"), lambda a, r: a + r["n"])
-    inside = F.sum("n").over(Window.partitionBy("at").orderBy(F.col("v").asc_nulls_first()))
-    cumulated = counts.withColumns({"inside": inside, "held": held}).withColumn("upto", F.col("inside") + before).withColumn("p", position)
-    at_floor = F.min(F.when(F.col("upto") > F.floor("p"), F.col("v"))).alias("a")
-    at_ceiling = F.min(F.when(F.col("upto") > F.ceil("p"), F.col("v"))).alias("b")
-    picked = cumulated.agg(at_floor, at_ceiling, F.max("p").alias("p"))
-    return picked.select(F.col("a") + (F.col("b") - F.col("a")) * (F.col("p") - F.floor("p"))).scalar()
+    number = {c: F.col(f"`{c}`").cast("double") for c in wanted}
+    usable = {c: v.isNotNull() & ~F.isnan(v) for c, v in number.items()}
+    first = _counted(df, [(c, 0, usable[c], _magnitude(number[c])) for c in wanted])
+    totals = {c: sum(n for _, _, n in first[c, 0]) for c in wanted}
+    places = {(c, p) for c, qs in wanted.items() if totals[c] for q in qs for p in _neighbours(q, totals[c])}
+    value: dict[tuple[str, int], float] = {}
+
+    def settle(parts: list[tuple[float, float, int]], column: str, before: int) -> list[Stretch]:
+        """Values of the places whose part holds one value only; the stretches of the others."""
+        open_parts = []
+        for low, high, n in parts:
+            inside = [p for c, p in places if c == column and before <= p < before + n]
+            if inside and low == high:
+                value.update({(column, p): low for p in inside})
+            elif inside:
+                open_parts.append(Stretch(column, low, high, before, n))
+            before += n
+        return open_parts
+
+    stretches = [s for c in wanted for s in settle(first[c, 0], c, 0)]
+    while stretches:
+        tests = []
+        for i, s in enumerate(stretches):
+            v = number[s.column]
+            share = (v - F.lit(s.low)) / F.lit(s.high - s.low)
+            part = v if s.rows <= FEW_ROWS else F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
+            tests.append((s.column, i, usable[s.column] & v.between(s.low, s.high), part))
+        found = _counted(df, tests)
+        stretches = [left for i, s in enumerate(stretches) for left in settle(found[s.column, i], s.column, s.first)]
+
+    def quantile(c: str, q: float) -> float | None:
+        if not totals[c]:
+            return None
+        low, high = (value[c, p] for p in _neighbours(q, totals[c]))
+        return low if low == high else low + (high - low) * ((totals[c] - 1) * q - _neighbours(q, totals[c])[0])
+
+    return {c: [quantile(c, q) for q in qs] for c, qs in wanted.items()}
+
+
+def _neighbours(q: float, rows: int) -> tuple[int, int]:
+    """Places (from 0, in ascending order) of the values that a quantile lies between."""
+    at = (rows - 1) * q
+    return math.floor(at), math.ceil(at)

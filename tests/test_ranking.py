@@ -62,18 +62,45 @@ def test_top_keeps_ties_and_limits_before_the_shuffle(spark, rows):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("q", [0.0, 0.25, 0.7, 0.75, 1.0])
+QS = [0.0, 0.25, 0.33, 0.7, 0.75, 1.0]
+
+
+@pytest.mark.parametrize("few", [0, 3, 1 << 16])
 @pytest.mark.parametrize("size", [1, 2, 10, 5000])
-def test_exact_quantile(spark, q, size):
+def test_exact_quantiles(spark, monkeypatch, size, few):
+    monkeypatch.setattr(ranking, "FEW_ROWS", few)
+    monkeypatch.setattr(ranking, "PARTS", 16)
     rnd = random.Random(size)
-    values = [round(rnd.gauss(0, 10), 1) for _ in range(size)]
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    got = spark.range(1).select(ranking.exact_quantile(df, "v", q).alias("q")).first()["q"]
-    assert got == pytest.approx(np.quantile(values, q))
+    values = [(round(rnd.gauss(0, 10), 1), rnd.gauss(0, 1) * 10.0 ** rnd.randrange(-300, 300)) for _ in range(size)]
+    df = spark.createDataFrame([*values, (None, float("nan"))], "v double, `w x` double")
+    got = ranking.exact_quantiles(df, {"v": QS, "w x": QS})
+    assert got["v"] == pytest.approx(np.quantile([v for v, _ in values], QS))
+    assert got["w x"] == pytest.approx(np.quantile([w for _, w in values], QS), rel=1e-9)
+
+
+def test_quantiles_of_odd_columns(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(None, -inf, 0.0, 5), (None, inf, -0.0, 5), (None, inf, 5e-324, 5)], "a double, b double, c double, d int")
+    got = ranking.exact_quantiles(df, {"a": [0.5], "b": [0.0, 0.5, 1.0], "c": [0.0, 0.5, 1.0], "d": [0.5]})
+    assert got == {"a": [None], "b": [-inf, inf, inf], "c": [0.0, 0.0, 5e-324], "d": [5.0]}
+    assert ranking.exact_quantiles(df.limit(0), {"b": [0.5]}) == {"b": [None]}
+
+
+def test_a_value_that_most_rows_share(spark):
+    df = spark.range(20_000).selectExpr("double(id) AS v").union(spark.range(90_000).selectExpr("500.0D"))
+    values = [*range(20_000), *[500] * 90_000]
+    assert ranking.exact_quantiles(df, {"v": QS})["v"] == pytest.approx(np.quantile(values, QS))
+
+
+def test_more_quantiles_take_no_more_passes(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(300_000).selectExpr("double(hash(id)) AS v", "double(id % 7) AS w")
 
+    def jobs(wanted):
+        spark.sparkContext.setJobGroup("quantiles", "")
+        before = len(tracker.getJobIdsForGroup("quantiles"))
+        ranking.exact_quantiles(df, wanted)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup("quantiles")) - before
 
-def test_exact_quantile_with_coarse_bounds(spark):
-    values = list(range(20000)) + [500] * 9000
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = spark.range(1).select(ranking.exact_quantile(df, "v", 0.33, accuracy=100).alias("q")).first()["q"]
-    assert got == pytest.approx(np.quantile(values, 0.33))
+    assert jobs({"v": [0.1]}) == jobs({"v": [i / 20 for i in range(21)], "w": [0.3, 0.9]}) <= 8
