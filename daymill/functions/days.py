@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +45,35 @@ def in_windows(df: DataFrame, as_of: str | dt.date, days=REPORT_WINDOWS, day: st
     return df.where(within(day, as_of, max(days))).withColumn("recent_days", label)
 
 
+Days = tuple[str | dt.date, str | dt.date]
+
+
+def window_days(as_of: str | dt.date, days: Sequence[int] = REPORT_WINDOWS) -> Days:
+    """First and last day that windows of ``days`` days ending on ``as_of`` need."""
+    return window_start(as_of, max(days)), as_date(as_of)
+
+
+def raw_within(
+    raw: str | Column, days: Days | None, unit: str = "timestamp", later: dt.timedelta = dt.timedelta(0), most: dt.timedelta | None = None
+) -> Column:
+    """Bounds on a raw time column for rows whose day lies in ``days``: the day expression turned around.
+
+    The day is that of the raw value (a timestamp, or epoch ``millis`` or ``seconds``) plus ``later``, or plus something
+    from ``later`` to ``most``; then the bounds let some rows too many pass and the day itself has to be tested too.
+    Only constants are computed, so both bounds reach the statistics of a scan.  A null passes no bound; without
+    ``days`` every row passes.
+    """
+    if days is None:
+        return F.lit(True)
+    start = dt.datetime.combine(as_date(days[0]), dt.time()) - (most if most is not None else later)
+    end = dt.datetime.combine(as_date(days[1]), dt.time()) + dt.timedelta(days=1) - later
+    low, high = (F.lit(at.isoformat(sep=" ")).cast("timestamp") for at in (start, end))
+    if unit != "timestamp":
+        epoch = {"millis": F.unix_millis, "seconds": F.unix_seconds}[unit]
+        low, high = epoch(low), epoch(high)
+    return (col(raw) >= low) & (col(raw) < high)
+
+
 def millis_to_timestamp(c: str | Column) -> Column:
     """Epoch milliseconds, possibly as text; unreadable values give null."""
     return F.timestamp_millis(col(c).try_cast("bigint"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymill.functions.days import OPEN_END, millis_to_timestamp, seconds_to_timestamp
+from daymill.functions.days import OPEN_END, Days, millis_to_timestamp, raw_within, seconds_to_timestamp
 from daymill.functions.values import mask_name
 from daymill.operators.dimensions import code_lookup
 
@@ -67,13 +69,25 @@ def _decoded(df: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
+#: Local time is that much ahead of the stored one.
+LOCAL = dt.timedelta(hours=8)
+
+
 def _local(c: str | Column) -> Column:
     return F.from_utc_timestamp(c, "GMT+8")
 
 
-def order_cargo_fact(cargo: DataFrame, orders: DataFrame, codes: DataFrame) -> DataFrame:
-    """Freight order line: cargo of live orders, three codes decoded, order time in local time."""
-    lines = _cargo_with_order(_live(cargo).select(*CARGO_COLUMNS, "create_time"), _live(orders))
+def _local_days(c: str, days: Days | None) -> Column:
+    """Rows whose local day lies in ``days``, as bounds on the stored time."""
+    return raw_within(c, days, later=LOCAL)
+
+
+def order_cargo_fact(cargo: DataFrame, orders: DataFrame, codes: DataFrame, days: Days | None = None) -> DataFrame:
+    """Freight order line: cargo of live orders, three codes decoded, order time in local time.
+
+    ``days`` (first, last) bounds the scan of the cargo.
+    """
+    lines = _cargo_with_order(_live(cargo).where(_local_days("create_time", days)).select(*CARGO_COLUMNS, "create_time"), _live(orders))
     return _decoded(lines, codes).select(
         *CARGO_COLUMNS,
         "cargo_type_name",
@@ -99,14 +113,16 @@ def order_process_snapshot(cargo: DataFrame, orders: DataFrame, codes: DataFrame
 
 
 def order_milestones(
-    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kinds: Sequence[str] = tuple(MILESTONES)
+    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kinds: Sequence[str] = tuple(MILESTONES),
+    days: Days | None = None,
 ) -> DataFrame:
     """Order lines whose order reached one of several states today, with ``kind`` and ``milestone_time``.
 
     Today's rows of ``orders`` give state and time.  The line itself comes
     from the still open rows of earlier days, if their state allows the step,
     or from today's new cargo.  An order is in one state at a time, so all
-    kinds come out of one pass.
+    kinds come out of one pass.  ``days`` (first, last) bounds the scan of the
+    orders to those that changed then.
     """
     chosen = {kind: MILESTONES[kind] for kind in kinds}
 
@@ -117,7 +133,7 @@ def order_milestones(
         return out
 
     columns = [*CARGO_COLUMNS, *[c for c in ORDER_COLUMNS if c != "status"], "receiver_name", "sender_name"]
-    reached = _live(orders).where(F.col("status").isin(*[m.status for m in chosen.values()]))
+    reached = _live(orders).where(F.col("status").isin(*[m.status for m in chosen.values()]) & _local_days("update_time", days))
     new = _cargo_with_order(cargo.select(CARGO_COLUMNS), reached, ["update_time"])
 
     allowed = sorted({p for m in chosen.values() for p in m.prior})
@@ -141,18 +157,18 @@ def order_milestones(
 
 
 def order_milestone_fact(
-    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kind: str
+    cargo: DataFrame, orders: DataFrame, open_orders: DataFrame, codes: DataFrame, kind: str, days: Days | None = None
 ) -> DataFrame:
     """Order lines whose order reached one state today, the time under the name of the milestone."""
-    rows = order_milestones(cargo, orders, open_orders, codes, [kind])
+    rows = order_milestones(cargo, orders, open_orders, codes, [kind], days)
     return rows.drop("kind").withColumnRenamed("milestone_time", MILESTONES[kind].time_name)
 
 
 def order_milestone_by_exclusion(
-    cargo: DataFrame, orders: DataFrame, codes: DataFrame, excluded: Sequence[str], time_name: str
+    cargo: DataFrame, orders: DataFrame, codes: DataFrame, excluded: Sequence[str], time_name: str, days: Days | None = None
 ) -> DataFrame:
-    """Order lines of orders past a point, that is in none of the ``excluded`` states."""
-    past = _live(orders).where(~F.col("status").isin(*excluded))
+    """Order lines of orders past a point, that is in none of the ``excluded`` states; ``days`` as above."""
+    past = _live(orders).where(~F.col("status").isin(*excluded) & _local_days("update_time", days))
     lines = _cargo_with_order(_live(cargo).select(CARGO_COLUMNS), past, ["update_time"])
     return (
         _decoded(lines, codes)
@@ -172,11 +188,13 @@ SCAN_COLUMNS = {
 }
 
 
-def hub_scan_fact(scans: DataFrame, kinds: Sequence[str] = tuple(SCAN_COLUMNS)) -> DataFrame:
+def hub_scan_fact(scans: DataFrame, kinds: Sequence[str] = tuple(SCAN_COLUMNS), days: Days | None = None) -> DataFrame:
     """Inbound, sort and outbound scans from one wide row each; scans without a time are left out.
 
-    Times are epoch seconds.  The wide table is read once and unfolded.
+    Times are epoch seconds.  The wide table is read once and unfolded; with
+    ``days`` (first, last) only rows with a scan in that time are.
     """
+    near = reduce(lambda a, b: a | b, [raw_within(SCAN_COLUMNS[k][0], days, "seconds") for k in kinds])
     rows = F.array(
         *[
             F.struct(
@@ -188,19 +206,23 @@ def hub_scan_fact(scans: DataFrame, kinds: Sequence[str] = tuple(SCAN_COLUMNS))
         ]
     )
     return (
-        scans.select("id", "order_id", "org_id", F.inline(rows))
-        .where(F.col("scan_time").isNotNull())
+        scans.where(near)
+        .select("id", "order_id", "org_id", F.inline(rows))
+        .where(F.col("scan_time").isNotNull() & raw_within("scan_time", days))
         .withColumn("dt", F.to_date("scan_time"))
     )
 
 
-def transport_finish_fact(tasks: DataFrame, shifts: DataFrame) -> DataFrame:
-    """Finished transport tasks with duration and planned minutes; times are epoch milliseconds."""
+def transport_finish_fact(tasks: DataFrame, shifts: DataFrame, days: Days | None = None) -> DataFrame:
+    """Finished transport tasks with duration and planned minutes; times are epoch milliseconds.
+
+    ``days`` (first, last) bounds the scan of the tasks by the time they ended.
+    """
     planned = shifts.select(F.col("id").alias("__s"), F.col("estimated_time").alias("estimated_minutes"))
     started, ended = millis_to_timestamp("actual_start_time"), millis_to_timestamp("actual_end_time")
     return (
         _live(tasks)
-        .where(F.col("actual_end_time").isNotNull())
+        .where(F.col("actual_end_time").isNotNull() & raw_within("actual_end_time", days, "millis"))
         .join(planned, F.col("shift_id") == F.col("__s"), "left")
         .select(
             "id",

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymill.functions.days import REPORT_WINDOWS, as_date, hours_between, in_windows, iso_week
+from daymill.functions.days import REPORT_WINDOWS, Days, as_date, hours_between, in_windows, iso_week, raw_within
 from daymill.functions.values import MONEY, decimal_ratio, money, ratio
 from daymill.operators.dimensions import with_names
 from daymill.operators.ranking import rank_in_group
@@ -37,8 +37,12 @@ def offer_activity_fact(activities: DataFrame, as_of: dt.datetime, test_pattern:
     )
 
 
-def offer_send_fact(sends: DataFrame, activities: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Sent offer with its campaign; ``remaining_time`` is null without a limit, 0 once it is over."""
+def offer_send_fact(sends: DataFrame, activities: DataFrame, as_of: dt.datetime, days: Days | None = None) -> DataFrame:
+    """Sent offer with its campaign; ``remaining_time`` is null without a limit, 0 once it is over.
+
+    ``days`` (first, last) bounds the scan of the sends.
+    """
+    sends = sends.where(raw_within("send_time", days))
     now = _instant(as_of)
     over = F.col("expire_time") < now
     named = with_names(

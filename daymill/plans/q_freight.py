@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymill.functions.days import Days, window_days
 from daymill.operators import freight_facts as ff
 from daymill.operators import freight_reports as fr
 from daymill.operators import freight_summaries as fs
@@ -18,6 +19,8 @@ from daymill.plans.registry import Tables, query
 
 ASOF = f"DATE '{lit.ORDERS_AS_OF}'"
 WINDOWS = "(VALUES (1), (7), (30)) w(recent_days)"
+#: The days that reports over windows read.
+WINDOW = window_days(lit.ORDERS_AS_OF)
 IN_WINDOW = f"dt > {ASOF} - recent_days AND dt <= {ASOF}"
 
 
@@ -71,24 +74,24 @@ def transport_finish_fact(t: Tables):
 # ---- summaries ----------------------------------------------------------------
 
 
-def _org_cargo(t: Tables) -> DataFrame:
-    return fs.org_cargo_order_1d(roles.freight_details(t), roles.orgs(t), roles.regions(t))
+def _org_cargo(t: Tables, days: Days | None = None) -> DataFrame:
+    return fs.org_cargo_order_1d(roles.freight_details(t, days), roles.orgs(t), roles.regions(t))
 
 
-def _receive(t: Tables) -> DataFrame:
-    return fs.org_receive_1d(roles.milestone(t, "receive"), roles.orgs(t), roles.regions(t))
+def _receive(t: Tables, days: Days | None = None) -> DataFrame:
+    return fs.org_receive_1d(roles.milestone(t, "receive", days), roles.orgs(t), roles.regions(t))
 
 
-def _deliver(t: Tables) -> DataFrame:
-    return fs.org_deliver_1d(roles.delivered(t), roles.orgs(t), roles.regions(t))
+def _deliver(t: Tables, days: Days | None = None) -> DataFrame:
+    return fs.org_deliver_1d(roles.delivered(t, days), roles.orgs(t), roles.regions(t))
 
 
-def _sort(t: Tables) -> DataFrame:
-    return fs.org_sort_1d(ff.hub_scan_fact(roles.hub_scans(t), ["sort"]), roles.orgs(t), roles.regions(t))
+def _sort(t: Tables, days: Days | None = None) -> DataFrame:
+    return fs.org_sort_1d(ff.hub_scan_fact(roles.hub_scans(t, days), ["sort"], days), roles.orgs(t), roles.regions(t))
 
 
-def _dispatch(t: Tables) -> DataFrame:
-    return fs.dispatch_1d(roles.milestone(t, "dispatch"))
+def _dispatch(t: Tables, days: Days | None = None) -> DataFrame:
+    return fs.dispatch_1d(roles.milestone(t, "dispatch", days))
 
 
 def _truck_days(t: Tables) -> DataFrame:
@@ -97,7 +100,7 @@ def _truck_days(t: Tables) -> DataFrame:
 
 def _shift_nd(t: Tables) -> DataFrame:
     return fs.shift_finish_nd(
-        roles.transport_facts(t), roles.orgs(t), roles.regions(t), roles.shifts(t), roles.trucks(t), lit.ORDERS_AS_OF
+        roles.transport_facts(t, WINDOW), roles.orgs(t), roles.regions(t), roles.shifts(t), roles.trucks(t), lit.ORDERS_AS_OF
     )
 
 
@@ -188,7 +191,7 @@ def shift_finish_nd(t: Tables):
 
 
 def _trip_windows(t: Tables) -> DataFrame:
-    return fs.hub_trips(roles.transport_facts(t), roles.orgs(t), roles.regions(t), lit.ORDERS_AS_OF)
+    return fs.hub_trips(roles.transport_facts(t, WINDOW), roles.orgs(t), roles.regions(t), lit.ORDERS_AS_OF)
 
 
 _TRIPS_SQL = f"""SELECT recent_days, fin.start_org_id AS org_id, start_org_name AS org_name, city_id, city_name, COUNT(*) AS n,
@@ -207,7 +210,7 @@ def _area_sql(keys: str) -> str:
 
 def _area(t: Tables, keys: list[str]) -> DataFrame:
     orders = _all_windows(
-        _org_cargo(t), ["org_id", "org_name", "city_id", "city_name"], ["order_count", "order_amount"]
+        _org_cargo(t, WINDOW), ["org_id", "org_name", "city_id", "city_name"], ["order_count", "order_amount"]
     )
     return fr.area_trade_transport(orders, _trip_windows(t), keys)
 
@@ -224,9 +227,9 @@ def area_trade_transport_by_org(t: Tables):
 
 def _express_sides(t: Tables):
     return (
-        _all_windows(_receive(t), HUB, ["order_count", "order_amount"]),
-        _all_windows(_deliver(t), HUB, ["order_count"]),
-        _all_windows(_sort(t), HUB, ["sort_count"]),
+        _all_windows(_receive(t, WINDOW), HUB, ["order_count", "order_amount"]),
+        _all_windows(_deliver(t, WINDOW), HUB, ["order_count"]),
+        _all_windows(_sort(t, WINDOW), HUB, ["sort_count"]),
     )
 
 
@@ -266,13 +269,13 @@ def _order_report_sql(keys: str) -> str:
 
 @query("order_report", _order_report_sql(""), "org_cargo_day", money="order_amount")
 def order_report(t: Tables):
-    return fr.order_report(_all_windows(_org_cargo(t), [], ["order_count", "order_amount"]))
+    return fr.order_report(_all_windows(_org_cargo(t, WINDOW), [], ["order_count", "order_amount"]))
 
 
 @query("order_report_cargo_type", _order_report_sql("cargo_type, cargo_type_name,"), "org_cargo_day", money="order_amount")
 def order_report_cargo_type(t: Tables):
     keys = ["cargo_type", "cargo_type_name"]
-    return fr.order_report(_all_windows(_org_cargo(t), keys, ["order_count", "order_amount"]), keys)
+    return fr.order_report(_all_windows(_org_cargo(t, WINDOW), keys, ["order_count", "order_amount"]), keys)
 
 
 def _transport_sql(keys: str) -> str:
@@ -329,7 +332,7 @@ def driver_report(t: Tables):
        "receive_day dispatch_day", money="receive_order_amount dispatch_order_amount")
 def order_flow_report(t: Tables):
     measures = ["order_count", "order_amount"]
-    return fr.order_flow_report(_all_windows(_receive(t), HUB, measures), _all_windows(_dispatch(t), [], measures))
+    return fr.order_flow_report(_all_windows(_receive(t, WINDOW), HUB, measures), _all_windows(_dispatch(t, WINDOW), [], measures))
 
 
 @query("in_transit_td",

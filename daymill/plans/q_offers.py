@@ -113,7 +113,7 @@ def agent_wide(t: Tables):
        COUNT(DISTINCT customer_id) AS active_customer_count, {ASOF} AS stat_date FROM sendfact, (VALUES (1), (7), (30)) w(recent_days)
        WHERE dt > {ASOF} - recent_days AND dt <= {ASOF} GROUP BY recent_days""", "sendfact", "stat_date")
 def offer_overview(t: Tables):
-    return of.offer_overview(roles.send_facts(t), lit.ORDERS_AS_OF)
+    return of.offer_overview(roles.send_facts(t, days.window_days(lit.ORDERS_AS_OF)), lit.ORDERS_AS_OF)
 
 
 @query("offer_activity_effect",
@@ -133,10 +133,10 @@ def offer_activity_effect(t: Tables):
        FROM wide a LEFT JOIN wide b ON b.cs_id = a.cs_id AND b.dept_name = a.dept_name AND b.stat_date = a.stat_date - 1
        WHERE a.stat_date = {ASOF}""", "wide", "stat_date", "total_sales")
 def agent_rank_change(t: Tables):
-    # Two days are ranked; the filter on the time of sending reaches the scan.
-    first, after = days.as_date(lit.ORDERS_AS_OF) - dt.timedelta(days=1), days.as_date(lit.ORDERS_AS_OF) + dt.timedelta(days=1)
-    sends = roles.send_facts(t).where((F.col("send_time") >= F.lit(first).cast("timestamp")) & (F.col("send_time") < F.lit(after).cast("timestamp")))
-    return of.agent_rank_change(of.agent_wide(sends, roles.redemptions(t), roles.agents(t)), lit.ORDERS_AS_OF)
+    # Two days are ranked; the day before has nothing to be compared with.
+    two = (days.as_date(lit.ORDERS_AS_OF) - dt.timedelta(days=1), lit.ORDERS_AS_OF)
+    wide = of.agent_wide(roles.send_facts(t, two), roles.redemptions(t), roles.agents(t))
+    return of.agent_rank_change(wide, lit.ORDERS_AS_OF)
 
 
 @query("offer_send_list",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from daymill.functions.days import window_days
 from daymill.operators import reports as rp
 from daymill.operators import summaries as sm
 from daymill.operators import trade_facts as tf
@@ -367,7 +368,7 @@ def favor_top3_by_brand(t: Tables):
        {rounded("COUNT(CASE WHEN page_count = 1 THEN 1 END)", "COUNT(*)", 2)} AS bounce_rate FROM sess, (VALUES (1), (7), (30)) w(recent_days)
        WHERE dt > {EASOF} - recent_days AND dt <= {EASOF} GROUP BY ALL""", "sess")
 def channel_traffic(t: Tables):
-    return rp.channel_traffic(sm.session_page_1d(roles.page_views(t)), lit.EVENTS_AS_OF)
+    return rp.channel_traffic(sm.session_page_1d(roles.page_views(t, window_days(lit.EVENTS_AS_OF))), lit.EVENTS_AS_OF)
 
 
 _FUNNEL_STEPS = {"cart_count": "click", "order_count": "signup", "payment_count": "purchase"}

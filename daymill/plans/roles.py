@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymill.functions.days import Days, raw_within
 from daymill.functions.values import money
 from daymill.operators import dimensions as dims
 from daymill.operators import freight_facts as ff
@@ -176,8 +179,11 @@ def coupon_uses(t: Tables) -> DataFrame:
 
 
 @shared
-def page_log(t: Tables) -> DataFrame:
-    """Events as JSON log text; error events have no page, every tenth user is not signed in."""
+def page_log(t: Tables, days: Days | None = None) -> DataFrame:
+    """Events as JSON log text; error events have no page, every tenth user is not signed in.
+
+    ``days`` stands for the folders of those days: the log is kept by day, so its time is known without the text.
+    """
     user = F.col("user_id")
 
     def mod(prefix: str, n: int) -> Column:
@@ -206,12 +212,12 @@ def page_log(t: Tables) -> DataFrame:
         F.when(F.col("event_type") != "error", page).alias("page"),
         F.unix_millis(instant("ts")).alias("ts"),
     )
-    return t.events.select("event_id", F.to_json(record).alias("log"))
+    return t.events.where(raw_within(instant("ts"), days)).select("event_id", F.to_json(record).alias("log"))
 
 
 @shared
-def page_views(t: Tables) -> DataFrame:
-    return tf.page_view_fact(page_log(t))
+def page_views(t: Tables, days: Days | None = None) -> DataFrame:
+    return tf.page_view_fact(page_log(t, days))
 
 
 @shared
@@ -270,11 +276,19 @@ def _state(position: Column) -> Column:
     return F.element_at(F.expr(f"array({lit.STATE_LIST})"), (position % 9 + 1).cast("int"))
 
 
+#: From the day of an order to its last update.
+UPDATED_AFTER = dt.timedelta(days=3, hours=18)
+
+
 @shared
-def freight_orders(t: Tables, earlier: bool = False) -> DataFrame:
-    """Freight order headers; ``earlier`` gives the state each had in the open snapshot."""
+def freight_orders(t: Tables, earlier: bool = False, days: Days | None = None) -> DataFrame:
+    """Freight order headers; ``earlier`` gives the state each had in the open snapshot.
+
+    ``days`` are local days of the update time, given on to the day it is made from.
+    """
     key = F.col("o_orderkey")
-    return t.orders.select(
+    near = raw_within(instant("o_orderdate"), days, later=UPDATED_AFTER + ff.LOCAL)
+    return t.orders.where(near).select(
         key.alias("id"),
         F.concat(F.lit("NO"), key.cast("string")).alias("order_no"),
         _state(F.floor(key / 9) if earlier else key).alias("status"),
@@ -288,7 +302,7 @@ def freight_orders(t: Tables, earlier: bool = False) -> DataFrame:
         F.lit(1).alias("cargo_num"),
         money("o_totalprice").alias("amount"),
         (key % 3000).alias("distance"),
-        (instant("o_orderdate") + F.expr("INTERVAL 3 DAYS 18 HOURS")).alias("update_time"),
+        (instant("o_orderdate") + F.lit(UPDATED_AFTER)).alias("update_time"),
         F.when(key % 50 == 0, "1").otherwise("0").alias("is_deleted"),
     )
 
@@ -307,8 +321,8 @@ def cargo(t: Tables) -> DataFrame:
 
 
 @shared
-def freight_details(t: Tables) -> DataFrame:
-    return ff.order_cargo_fact(cargo(t), freight_orders(t), codes(t))
+def freight_details(t: Tables, days: Days | None = None) -> DataFrame:
+    return ff.order_cargo_fact(cargo(t), freight_orders(t), codes(t), days)
 
 
 @shared
@@ -323,21 +337,23 @@ def todays_cargo(t: Tables) -> DataFrame:
 
 
 @shared
-def milestone(t: Tables, kind: str) -> DataFrame:
-    return ff.order_milestone_fact(todays_cargo(t), freight_orders(t), open_orders(t), codes(t), kind)
+def milestone(t: Tables, kind: str, days: Days | None = None) -> DataFrame:
+    return ff.order_milestone_fact(todays_cargo(t), freight_orders(t, days=days), open_orders(t), codes(t), kind, days)
 
 
 @shared
-def delivered(t: Tables) -> DataFrame:
+def delivered(t: Tables, days: Days | None = None) -> DataFrame:
     return ff.order_milestone_by_exclusion(
-        cargo(t), freight_orders(t), codes(t), ff.NOT_YET_DELIVERED, "deliver_suc_time"
+        cargo(t), freight_orders(t, days=days), codes(t), ff.NOT_YET_DELIVERED, "deliver_suc_time", days
     )
 
 
 @shared
-def hub_scans(t: Tables) -> DataFrame:
+def hub_scans(t: Tables, sorted_on: Days | None = None) -> DataFrame:
+    """Scans of each line; ``sorted_on`` are days of the sort scan, a day and up to 7 minutes after shipping."""
     shipped = F.unix_timestamp(instant("l_shipdate"))
-    return t.lineitem.select(
+    near = raw_within(instant("l_shipdate"), sorted_on, later=dt.timedelta(days=1, minutes=1), most=dt.timedelta(days=1, minutes=7))
+    return t.lineitem.where(near).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_suppkey").alias("org_id"),
@@ -400,12 +416,16 @@ def trucks(t: Tables) -> DataFrame:
 
 
 @shared
-def transport_tasks(t: Tables) -> DataFrame:
-    """Order lines as trips from order day to ship day; a line that ships earlier never ends."""
+def transport_tasks(t: Tables, days: Days | None = None) -> DataFrame:
+    """Order lines as trips from order day to ship day; a line that ships earlier never ends.
+
+    ``days`` are days of the end, given on to the ship day.
+    """
     start, end = instant("o_orderdate"), instant("l_shipdate")
     even = F.col("o_orderkey") % 2 == 0
     key = F.col("l_suppkey")
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    ended = t.lineitem.where(raw_within(end, days))
+    return ended.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         key.alias("shift_id"),
         (key % 25).alias("line_id"),
@@ -427,8 +447,8 @@ def transport_tasks(t: Tables) -> DataFrame:
 
 
 @shared
-def transport_facts(t: Tables) -> DataFrame:
-    return ff.transport_finish_fact(transport_tasks(t), shifts(t))
+def transport_facts(t: Tables, days: Days | None = None) -> DataFrame:
+    return ff.transport_finish_fact(transport_tasks(t, days), shifts(t), days)
 
 
 # ---- offers -------------------------------------------------------------------
@@ -451,10 +471,12 @@ def activities(t: Tables) -> DataFrame:
 
 
 @shared
-def sends(t: Tables) -> DataFrame:
+def sends(t: Tables, days: Days | None = None) -> DataFrame:
+    """Orders as sent offers, at some time of the order's day; ``days`` are days of the sending."""
     key = F.col("o_orderkey")
+    near = raw_within(instant("o_orderdate"), days, most=dt.timedelta(hours=23, minutes=59))
     sent = instant("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int"), mins=(key % 60).cast("int"))
-    return t.orders.select(
+    return t.orders.where(near).select(
         key.alias("record_id"),
         F.col("o_custkey").alias("activity_id"),
         (key % 97).alias("product_id"),
@@ -468,13 +490,11 @@ def sends(t: Tables) -> DataFrame:
 
 
 @shared
-def send_facts(t: Tables) -> DataFrame:
-    return of.offer_send_fact(sends(t), activities(t), offers_now())
+def send_facts(t: Tables, days: Days | None = None) -> DataFrame:
+    return of.offer_send_fact(sends(t, days), activities(t), offers_now(), days)
 
 
 def offers_now():
-    import datetime as dt
-
     return dt.datetime.fromisoformat(lit.OFFERS_NOW)
 
 

@@ -1,8 +1,13 @@
 """Properties every physical plan must have, and the behaviour under a hot key."""
 
+import datetime as dt
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from daymill.functions.days import as_date, raw_within, window_days
 from daymill.operators import trade_facts as tf
 from daymill.plans import roles
 from daymill.plans.registry import Tables
@@ -75,3 +80,60 @@ def test_hot_order_is_split(spark, rows):
     assert [(r["n"], str(r["amount"])) for r in got] == [(n // 3, "60000.00")]
     assert tuple(total) == (n, 1 + n - n // 3)
     assert "skew=true" in plan
+
+
+#: Reports over windows, and the columns of the scans that hold their days.
+WINDOW_REPORTS = {
+    "channel_traffic": ["ts"],
+    "offer_overview": ["o_orderdate"],
+    "agent_rank_change": ["o_orderdate"],
+    "shift_finish_nd": ["l_shipdate"],
+    "transport_report": ["l_shipdate"],
+    "transport_report_line": ["l_shipdate"],
+    "transport_report_shift": ["l_shipdate"],
+    "truck_report": ["l_shipdate"],
+    "driver_report": ["l_shipdate"],
+    "area_trade_transport": ["l_shipdate"],
+    "area_trade_transport_by_org": ["l_shipdate"],
+    "order_report": ["l_shipdate"],
+    "order_report_cargo_type": ["l_shipdate"],
+    "express_report": ["l_shipdate", "o_orderdate"],
+    "express_report_province": ["l_shipdate", "o_orderdate"],
+    "express_report_total": ["l_shipdate", "o_orderdate"],
+    "order_flow_report": ["o_orderdate"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(WINDOW_REPORTS))
+def test_window_reports_push_both_bounds(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan_of(entry.queries()[name](spark, FOLDER)))
+    for column in WINDOW_REPORTS[name]:
+        ranges = [
+            tuple(dt.datetime.fromisoformat(re.search(rf"{kind}\({column},([^)]*)\)", p)[1].rstrip("Z")) for kind in ("GreaterThanOrEqual", "LessThan"))
+            for p in pushed
+            if f"GreaterThanOrEqual({column}," in p and f"LessThan({column}," in p
+        ]
+        assert ranges, pushed
+        # A month and the day or two by which a day of the table differs from the report's.
+        assert all(dt.timedelta(0) < high - low <= dt.timedelta(days=32) for low, high in ranges)
+    if name.startswith(("transport", "truck", "driver", "shift", "area", "order_report")):
+        assert all("GreaterThanOrEqual(l_shipdate," in p for p in pushed if "l_shipdate" in p)
+
+
+def test_bounds_are_the_inverse_of_the_day(spark):
+    """Every row on the days passes, and of exact bounds none beside them."""
+    start = dt.datetime(2024, 2, 27)
+    times = spark.range(0, 6 * 24 * 60).select((F.lit(start).cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("t"))
+    days = ("2024-02-29", "2024-03-01")
+    for hours in (-8, 0, 8, 27):
+        later = dt.timedelta(hours=hours)
+        on_days = F.to_date(F.col("t") + F.lit(later)).between(*[F.lit(as_date(d)) for d in days])
+        for unit, raw in (("timestamp", F.col("t")), ("millis", F.unix_millis("t")), ("seconds", F.unix_seconds("t"))):
+            assert times.where(raw_within(raw, days, unit, later) != on_days).count() == 0
+        wide = raw_within("t", days, later=later, most=later + dt.timedelta(hours=3))
+        assert times.where(on_days & ~wide).count() == 0
+        late = F.to_date(F.col("t") + F.lit(later + dt.timedelta(hours=3))).between(*[F.lit(as_date(d)) for d in days])
+        assert times.where(late & ~wide).count() == 0
+    assert times.where(raw_within("t", None)).count() == times.count()
+    assert window_days("2024-03-01") == (dt.date(2024, 2, 1), dt.date(2024, 3, 1))
