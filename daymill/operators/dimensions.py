@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions.days import as_date
+from daymill.operators.trees import chains
 
 
 def code_lookup(df: DataFrame, codes: DataFrame, decode: Mapping[str, str], parents: Mapping[str, str] | None = None):
@@ -188,31 +189,42 @@ def truck_dim(trucks: DataFrame, teams: DataFrame, models: DataFrame, orgs: Data
     return out.withColumn("truck_no", F.md5("truck_no"))
 
 
+def region_chains(regions: DataFrame) -> DataFrame:
+    """The region tree with the ``chain`` of each node, which :func:`climb_regions` takes instead of the plain tree."""
+    return chains(regions.select("id", "name", "parent_id"), ["name"])
+
+
+def _chained(regions: DataFrame) -> DataFrame:
+    """(id, chain) of a region tree, for the two steps up that are needed, from the tree alone."""
+    if "chain" in regions.columns:
+        return regions.select("id", "chain")
+    nodes = regions.select("id", "name", "parent_id")
+
+    def above(n: str) -> DataFrame:
+        return nodes.select(*[F.col(c).alias(f"__{n}_{c}") for c in nodes.columns])
+
+    up = nodes.join(above("b"), F.col("parent_id") == F.col("__b_id"), "left")
+    up = up.join(above("c"), F.col("__b_parent_id") == F.col("__c_id"), "left")
+    links = [F.struct(F.col(f"{n}id").alias("id"), F.col(f"{n}name").alias("name")) for n in ("", "__b_", "__c_")]
+    return up.select("id", F.array(*links).alias("chain"))
+
+
 def climb_regions(df: DataFrame, regions: DataFrame, start: str, level: Column | None = None) -> DataFrame:
     """City and province of a row whose ``start`` column names a node of the region tree.
 
     Without ``level`` the start is a district: its parent is the city, the
     next one up the province.  With ``level`` a hub of level 1 sits on the
-    city itself and any other hub one step below it.
+    city itself and any other hub one step below it.  The rows meet the tree
+    in one join: its nodes hold their chains, see :func:`region_chains`.
     """
-    nodes = regions.select("id", "name", "parent_id")
-
-    def step(frame: DataFrame, key: str, prefix: str) -> DataFrame:
-        side = nodes.select(*[F.col(c).alias(f"__{prefix}_{c}") for c in nodes.columns])
-        return frame.join(side, F.col(key) == F.col(f"__{prefix}_id"), "left")
-
-    out = step(df, start, "a")
-    out = step(out, "__a_parent_id", "b")
-    out = step(out, "__b_parent_id", "c")
+    side = _chained(regions).select(F.col("id").alias("__node"), F.col("chain").alias("__chain"))
     at_city = F.lit(False) if level is None else F.coalesce(level == 1, F.lit(False))
-
-    def pick(low: str, high: str) -> Column:
-        return F.when(at_city, F.col(low)).otherwise(F.col(high))
-
-    return out.select(
+    joined = df.join(side, F.col(start) == F.col("__node"), "left")
+    city, province = (F.get("__chain", F.when(at_city, n).otherwise(n + 1)) for n in (0, 1))
+    return joined.select(
         *df.columns,
-        pick("__a_id", "__b_id").alias("city_id"),
-        pick("__a_name", "__b_name").alias("city_name"),
-        pick("__b_id", "__c_id").alias("province_id"),
-        pick("__b_name", "__c_name").alias("province_name"),
+        city["id"].alias("city_id"),
+        city["name"].alias("city_name"),
+        province["id"].alias("province_id"),
+        province["name"].alias("province_name"),
     )

@@ -10,6 +10,7 @@ from daymill.functions import days, keys, text
 
 from daymill.operators import dimensions as dims
 from daymill.operators import history
+from daymill.operators import trees
 from daymill.plans import literals as lit
 from daymill.plans import roles
 from daymill.plans.registry import Tables, query
@@ -207,6 +208,16 @@ def complex_dim(t: Tables):
     return dims.complex_dim(areas, roles.regions(t))
 
 
+@query("region_closure",
+       """WITH RECURSIVE up AS (SELECT id, id AS ancestor, 0 AS distance FROM regions UNION ALL
+       SELECT up.id, r.parent_id, up.distance + 1 FROM up JOIN regions r ON r.id = up.ancestor JOIN regions p ON p.id = r.parent_id)
+       SELECT up.id, ancestor, CAST(distance AS BIGINT) AS distance, name AS ancestor_name FROM up JOIN regions a ON a.id = ancestor""", "regions")
+def region_closure(t: Tables):
+    """Every region with all its ancestors, by name."""
+    nodes = roles.regions(t)
+    return dims.with_names(trees.closure(nodes), nodes, "ancestor", "id", {"name": "ancestor_name"}, "inner")
+
+
 @query("complex_couriers", "SELECT DISTINCT s_nationkey AS complex_id, CAST(s_suppkey AS VARCHAR) AS courier_emp_id FROM supplier")
 def complex_couriers(t: Tables):
     couriers = t.supplier.select(F.col("s_nationkey").alias("complex_id"), F.col("s_suppkey").alias("courier_emp_id"))
