@@ -82,10 +82,15 @@ def with_range(df: DataFrame, key: str, cuts: list[int], out: str) -> DataFrame:
 
 
 def per_process(key: Any, make: Callable[[], Any]) -> Any:
-    """A value made once in a Python worker and found again by its later tasks (vocabularies, compiled tables)."""
+    """A value made once in a Python worker and found again by its later tasks (vocabularies, compiled tables).
+
+    A worker holds one value.  It lives on from job to job; when a task of another stage asks for another one, the old
+    value goes, so a run of several stages needs the memory of the largest, not of all.
+    """
     shelf = sys.modules.setdefault("daymill_worker_shelf", types.ModuleType("daymill_worker_shelf"))
     values = shelf.__dict__.setdefault("values", {})
     if key not in values:
+        values.clear()
         values[key] = make()
     return values[key]
 

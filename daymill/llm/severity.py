@@ -12,6 +12,7 @@ over the square root of the number of words.  The score of a text is then a sum
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,18 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymill.llm.common import Remembered, col, fresh, map_arrow, stored
+from daymill.llm.common import Remembered, col, fresh, map_arrow, per_process, stored
 
 #: Labelled rows the model is fitted on at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 10_000
-#: Features kept, those with the largest likelihood ratio; the least ratio and number of documents of a feature.
-FEATURES, MIN_RATIO, MIN_DOCS = 300, 12.0, 5
+#: The least likelihood ratio and number of documents of a feature that is kept.
+MIN_RATIO, MIN_DOCS = 12.0, 5
 BEGINNINGS = (4, 5, 6)
 #: Weight of clean rows over toxic ones when the cut is chosen.
 CLEAN_COUNTS = 3
 STEPS, RATE, RIDGE = 400, 0.3, 1e-4
 WORDS = re.compile(r"[^\W\d_]+")
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def features_of(token: str) -> list[str]:
@@ -62,6 +63,10 @@ class Severity:
         known = known if known is not None else self.lookup()
         return sum(map(known.__getitem__, tokens)) / len(tokens) ** 0.5
 
+    def name(self) -> str:
+        """The same for equal weights."""
+        return hashlib.sha256(repr(sorted(self.weights.items())).encode()).hexdigest()
+
     def lookup(self) -> Remembered:
         weights = self.weights
         return Remembered(lambda token: sum(weights.get(f, 0.0) for f in features_of(token)), REMEMBERED)
@@ -107,11 +112,14 @@ def likelihood_ratio(t: Column, c: Column, toxic: int, clean: int) -> Column:
     return 2 * sum((F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells), F.lit(0.0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Severity:
+def fit(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic", sample_rows: int = SAMPLE_ROWS, least_ratio: float = MIN_RATIO
+) -> Severity:
     """A model of the labelled rows of ``docs``; at most ``sample_rows`` of them are used.
 
-    Labels without key or value are left out; of several labels for a key the largest counts.  Without both toxic and
-    clean rows the model finds nothing toxic.
+    Labels without key or value are left out; of several labels for a key the largest counts, of several rows of
+    ``docs`` with a key the one whose text is smallest.  Every feature whose likelihood ratio is ``least_ratio`` or more
+    is used.  Without both toxic and clean rows the model finds nothing toxic.
     """
     chosen = (
         labels.where(col(key).isNotNull() & col(toxic).isNotNull())
@@ -137,7 +145,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                     names=["toxic", "words", "features"],
                 )
 
-    counted = stored(given.join(chosen, "key").select("toxic", "text").mapInArrow(count, schema), "features")
+    # Repeated keys are folded in the tasks that read them, so the sample stays within its bound.
+    sample = given.join(chosen, "key").groupBy("key").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    counted = stored(sample.select("toxic", "text").mapInArrow(count, schema), "features")
     totals = {r.toxic: r["n"] for r in counted.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return Severity()
@@ -145,9 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     best = (
         seen.where(F.col("t") + F.col("c") >= MIN_DOCS)
         .withColumn("g", likelihood_ratio(F.col("t"), F.col("c"), totals[1], totals[0]))
-        .where(F.col("g") >= MIN_RATIO)
+        .where(F.col("g") >= least_ratio)
         .orderBy(F.col("g").desc(), "feature")
-        .limit(FEATURES)
         .withColumn("telling", F.col("t") * totals[0] > F.col("c") * totals[1])
     )
     number = {r.feature: (i, r.telling) for i, r in enumerate(best.select("feature", "telling").collect())}
@@ -161,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     telling = np.array([t for _, t in number.values()], bool)
     rows, toxics, density = [], [], []
-    for r in counted.mapInArrow(pick, pairs).collect():  # at most sample_rows rows of FEATURES numbers
+    for r in counted.mapInArrow(pick, pairs).collect():  # at most sample_rows rows, the kept features of each
         at, n, words = np.array(r["at"], int), np.array(r["n"], float), max(r.words, 1)
         rows.append((at, n / words**0.5))
         toxics.append(r.toxic)
@@ -202,7 +211,7 @@ def grade(docs: DataFrame, model: Severity, text: str = "text", reject_from: flo
     schema = T.StructType([*[source.schema[c] for c in kept], *[T.StructField(n, k) for n, k in zip(new, kinds)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model.lookup()
+        known = per_process(("severity", model.name()), model.lookup)
         for batch in batches:
             scores = np.array([model.score(t.as_py(), known) for t in batch.column(len(kept))], float)
             above = model.above(scores)

@@ -17,6 +17,23 @@ def test_held_out_accuracy(spark):
     assert found.get((0, True), 0) / (found[0, False] + found.get((0, True), 0)) < 0.02
 
 
+def features_by_hand(token):
+    """Runs of letters in lower case, and their first 4, 5 and 6 letters if they are longer."""
+    words, word = [], ""
+    for c in token.lower() + " ":
+        if c == "_" or not c.isalnum() or c.isdecimal():
+            words, word = words + [word], ""
+        else:
+            word += c
+    words = [w for w in words if w]
+    return words + [w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) > n]
+
+
+@pytest.mark.parametrize("token", ["Hello", "you_are-an IDIOT!!", "it's", "x1y22", "éàßss", "", "123", "abcdefgh-ij"])
+def test_features(token):
+    assert sorted(severity.features_of(token)) == sorted(features_by_hand(token))
+
+
 def test_query_against_one_text_at_a_time(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     model = severity.fit(docs, labels)
@@ -25,7 +42,7 @@ def test_query_against_one_text_at_a_time(spark):
     assert len(rows) == len(texts)
     for r in rows:
         tokens = texts[r.doc_id].split()
-        score = sum(model.weights.get(f, 0.0) for t in tokens for f in severity.features_of(t)) / len(tokens) ** 0.5
+        score = sum(model.weights.get(f, 0.0) for t in tokens for f in features_by_hand(t)) / len(tokens) ** 0.5
         above = model.above(np.array([score]))[0]
         assert r.expected_severity == pytest.approx(above.sum()) and r.toxic == (above[0] >= model.reject_from)
 
@@ -56,3 +73,21 @@ def test_odd_rows(spark, odd, none):
     loud = severity.Severity({"idiot": 50.0}, (1.0, 2.0))
     kept = severity.keep_clean(spark.createDataFrame([(1, "you idiot"), (2, "hello"), (3, None)], "doc_id long, text string"), loud)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_every_telling_feature_counts(spark, frames):
+    """No number of features is set: all that part the two kinds of text are used."""
+    bad = [f"bad{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(400)]
+    docs = frames([" ".join(bad) if i % 2 else "fine words here" for i in range(60)])
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+    weights = severity.fit(docs, labels).weights
+    assert set(bad) <= set(weights)
+    assert not severity.fit(docs, labels, least_ratio=1e9).weights
+
+
+def test_a_repeated_key_is_one_labelled_row(spark, frames):
+    docs = frames(["clean text"] * 6 + ["bad text"] * 6)
+    many = docs.unionByName(spark.range(200).selectExpr("7L AS doc_id", "'zz other' AS text", "'en' AS lang", "'s' AS source", "8L AS n_chars"))
+    labels = docs.selectExpr("doc_id", "int(doc_id >= 6) AS toxic")
+    one, two = severity.fit(docs, labels), severity.fit(many, labels)
+    assert one.weights and one.weights == two.weights
