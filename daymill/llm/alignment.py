@@ -16,11 +16,9 @@ rest meet their counts in a join, in which no pair is frequent any more.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import re
-import sys
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,28 +27,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from daymill.llm.common import Remembered, col, fresh, map_arrow, per_process, stored
+from daymill.llm.common import col, fresh, map_arrow, per_process, stored
 from daymill.llm.orc_ids import SIGNS
 
-#: Words remembered by a Python worker; beyond that they are encoded anew.
-REMEMBERED = 600_000
+#: The split of byte-level vocabularies, a fixed value.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Id pairs, the most frequent ones, whose counts are broadcast: 2 MB.
 HEAD_PAIRS = 1 << 16
 #: Texts in one step, and the links after which a step ends.
 ROWS_AT_ONCE, LINKS_AT_ONCE = 256, 1 << 20
-#: A space between two signs that are no white space: no token of either side reaches across, it begins a new one.
-CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class TwoTokenizers:
-    """Side A, a byte-level model of the ``tokenizers`` library, and side B, a ``sentencepiece`` model, run once per word.
+    """Side A, a byte-level vocabulary of the ``tokenizers`` library, and side B, a ``sentencepiece`` model.
 
-    Words are what stands between single spaces.  Byte-level splitting puts such a space before the word after it, and
-    no piece of B holds a space behind another sign (checked here, else whole texts are encoded), so words are encoded
-    apart with the ids of the whole text.
+    If the merges of A make its ids in their order, ``tiktoken`` does the merging with the same vocabulary, which takes
+    less time; else the library itself.
     """
 
-    def __init__(self, byte_level: str, pieces: str, remembered: int = REMEMBERED):
+    def __init__(self, byte_level: str, pieces: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -59,15 +54,31 @@ class TwoTokenizers:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         byte_of = {sign: byte for byte, sign in SIGNS.items()}
-        self.a_bytes = [b""] * (max(self.a.get_vocab().values(), default=-1) + 1)
-        for token, i in self.a.get_vocab().items():
+        vocabulary = self.a.get_vocab()
+        self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.encode_a = self._by_ranks(byte_level) or (lambda text: self.a.encode(text, add_special_tokens=False).ids)
         self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.a_sizes, self.b_sizes = sizes(self.a_bytes), sizes(self.b_bytes)
         self.a_decimal, self.b_decimal = decimal(len(self.a_bytes)), decimal(len(self.b_bytes))
-        reaches = any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.vocab_size()))
-        self.words = (lambda text: [text]) if reaches else CUT.split
-        self.known = Remembered(self._word, remembered)
+
+    def _by_ranks(self, byte_level: str):
+        """A's merging by ranks, if each merge makes the next id and the text is split by the common pattern."""
+        import tiktoken
+
+        with open(byte_level, encoding="utf-8") as file:
+            held = json.load(file)
+        model, special = held["model"], {t["id"] for t in held["added_tokens"]}
+        made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        ids = {t: i for t, i in model["vocab"].items() if i not in special}
+        in_order = len(ids) == 256 + len(made) and all(ids.get(t) == 256 + i for i, t in enumerate(made))
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        split = held["pre_tokenizer"] or {}
+        if held["normalizer"] or model["type"] != "BPE" or model.get("dropout") or not in_order or any(split.get(k) != v for k, v in plain.items()):
+            return None
+        ranks = {self.a_bytes[i]: i for i in ids.values()}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -75,26 +86,26 @@ class TwoTokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def _word(self, word: str) -> tuple[bytes, bytes, bool]:
-        """Packed ids of both sides for a space and ``word``, and whether both spell it."""
-        a = self.a.encode(" " + word, add_special_tokens=False).ids
-        b = self.b.encode(word)
-        spelled = b" " + word.encode("utf-8", "replace")
-        right = b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b))
-        return array("i", a).tobytes(), array("i", b).tobytes(), right
-
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both sides for a space and ``text``; none if the text is empty or a side doesn't spell it."""
         none = np.zeros(0, np.int32)
         if not text:
             return none, none
-        found = list(map(self.known.__getitem__, self.words(text)))
-        a, b = (np.frombuffer(b"".join([f[side] for f in found]), np.int32) for side in (0, 1))
-        if not all([f[2] for f in found]):
-            spelled = b" " + text.encode("utf-8", "replace")
-            if not b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b)):
-                return none, none
-        return a, b
+        a, b = self.encode_a(" " + text), self.b.encode(text)
+        spelled = b" " + text.encode("utf-8", "replace")
+        if not b"".join(map(self.a_bytes.__getitem__, a)) == spelled == b"".join(map(self.b_bytes.__getitem__, b)):
+            return none, none
+        return np.array(a, np.int32), np.array(b, np.int32)
+
+
+def sizes(tokens: list[bytes]) -> np.ndarray:
+    """Bytes of each token, in as few bits as will do."""
+    return np.array([len(t) for t in tokens], np.min_scalar_type(max(map(len, tokens), default=0)))
+
+
+def steps(sizes: np.ndarray) -> Sequence[int]:
+    """Token sizes in a form that is cut and compared quickly: bytes where they fit."""
+    return sizes.tobytes() if sizes.dtype == np.uint8 else sizes.tolist()
 
 
 def decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,12 +117,13 @@ def decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
     return signs.view("<u8"), 8 * np.char.str_len(signs).astype(np.uint64)
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
-    """Runs and irregular links of two ascending lists of token ends with the same last end.
+def align(a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
+    """Runs and irregular links of two cuts of the same bytes, given as token sizes.
 
-    A run is a stretch of groups of one token on both sides: where it starts in ``a`` and in ``b``, and its length
-    (0 or more).  Between two runs there is one irregular group, which ends where the next run starts.  Then the tokens
-    (places in ``a`` and ``b``) of the links inside irregular groups.
+    Sizes are ends counted from the token before: after an end that both sides share, ends are equal as long as sizes
+    are.  A run is a stretch of groups of one token on both sides: where it starts in ``a`` and in ``b``, and its
+    length (0 or more).  Between two runs there is one irregular group, which ends where the next run starts.  Then the
+    tokens (places in ``a`` and ``b``) of the links inside irregular groups.
     """
     run_a, run_b, lengths, link_a, link_b = [], [], [], [], []
     i, j, n = 0, 0, len(a)
@@ -130,18 +142,18 @@ def align(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int],
         if i == n:
             return run_a, run_b, lengths, link_a, link_b
         # An irregular group: the side that is behind goes on until both end together, which sets the shift anew.
-        x, y = a[i], b[j]
-        while x != y:
-            link_a.append(i)
-            link_b.append(j)
-            if x < y:
+        ahead = a[i] - b[j]
+        link_a.append(i)
+        link_b.append(j)
+        while ahead:
+            if ahead < 0:
                 i += 1
-                x = a[i]
+                ahead += a[i]
             else:
                 j += 1
-                y = b[j]
-        link_a.append(i)
-        link_b.append(j)
+                ahead -= b[j]
+            link_a.append(i)
+            link_b.append(j)
         i, j = i + 1, j + 1
 
 
@@ -183,7 +195,7 @@ def _aligned(two: TwoTokenizers, text: str | None) -> tuple[int, int, int, str,
     a, b = two.encode(text)
     if not len(a):
         return 0, 0, 0, "", a.astype(np.int64), b.astype(np.int64)
-    runs = align(np.cumsum(two.a_sizes[a]).tolist(), np.cumsum(two.b_sizes[b]).tolist())
+    runs = align(steps(two.a_sizes[a]), steps(two.b_sizes[b]))
     ends_a, ends_b, at_a, at_b = groups_and_links(*runs)
     groups = hashlib.sha256(written(a, b, ends_a, ends_b, two.a_decimal, two.b_decimal)).hexdigest()
     return len(a), len(b), len(ends_a), groups, a[at_a].astype(np.int64), b[at_b].astype(np.int64)
@@ -202,7 +214,7 @@ ALIGNED = T.StructType(
 )
 
 
-def align_texts(docs: DataFrame, byte_level: str, pieces: str, text: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+def align_texts(docs: DataFrame, byte_level: str, pieces: str, text: str = "text") -> DataFrame:
     """``docs`` with the columns of :data:`ALIGNED`; ``text`` itself is not kept.
 
     ``pairs`` are the distinct linked ids (A's times 2**32 plus B's), ``times`` how many links each has in the row.
@@ -216,7 +228,7 @@ def align_texts(docs: DataFrame, byte_level: str, pieces: str, text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         two = None
         for batch in batches:
-            two = two or per_process(("two tokenizers", byte_level, pieces, remembered), lambda: TwoTokenizers(byte_level, pieces, remembered))
+            two = two or per_process(("two tokenizers", byte_level, pieces), lambda: TwoTokenizers(byte_level, pieces))
             texts, at, rows, held = batch.column(len(kept)), 0, [], 0
             for i in range(len(texts)):
                 *counts, groups, a, b = _aligned(two, texts[i].as_py())
