@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +28,8 @@ HIGH_CONVERSION, HIGH_VISITORS, HIGH_STAY = 0.05, 0.75, 0.7
 TREES, BOOST_ROUNDS, BOOST_DEPTH, BOOST_STEP, SEED = 100, 100, 3, 0.1, 42
 GRID_TREES, GRID_DEPTHS, FOLDS = (50, 100, 200), (5, 10, 30), 3
 
-# Categories share so many hashed slots of the feature vector, however many there are.
-CATEGORY_SLOTS = 256
+#: Categories of a column that have a slot of their own, the most frequent ones; slots that any others share by hash.
+DICTIONARY, REST_SLOTS = 100_000, 4096
 
 
 def entry_labels(df: DataFrame, high_value: bool = True) -> DataFrame:
@@ -92,19 +93,65 @@ def _categories(df: DataFrame) -> list[str]:
     return [c for c in CATEGORICAL if c in df.columns]
 
 
-def feature_stages(df: DataFrame) -> list:
-    """Categories hashed into a fixed number of slots, and the feature vector.
+@dataclass
+class Categories:
+    """Dictionary of category columns: ``table`` (column_name, value, slot), and for each column the slots that are its
+    values' own and those that all others share."""
+
+    table: DataFrame
+    own: dict[str, int]
+    shared: dict[str, int]
+
+    def slots(self, column: str) -> int:
+        return self.own[column] + self.shared[column]
+
 
-    No list of the categories is gathered, so a column may have any number of
-    values, and one not seen in training has a slot like any other.  A null
-    category sets no slot.
+def category_dictionary(df: DataFrame, columns: Sequence[str], dictionary: int = DICTIONARY) -> Categories:
+    """Slots for the values of each column, the most frequent first.
+
+    The number of slots follows the number of values.  Only a column of more than ``dictionary`` values has shared
+    slots; two of its rarer values then meet with a chance of about 1 in ``REST_SLOTS``.
     """
-    names, categories = _feature_columns(df), _categories(df)
-    hashed = [FeatureHasher(inputCols=categories, outputCol="hashed", numFeatures=CATEGORY_SLOTS)] if categories else []
-    vector = VectorAssembler(
-        inputCols=[*names, *["hashed" for _ in hashed]], outputCol="features", handleInvalid="keep"
-    )
-    return [*hashed, vector]
+    path = scratch_table(df.sparkSession, "categories")
+    table = df.sparkSession.createDataFrame([], "column_name string, value string, slot int")
+    more: dict[str, int] = {}
+    for c in columns:
+        counted = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        ranked = counted.orderBy(F.col("n").desc(), "value").limit(dictionary)  # bounded, so one task may number them
+        slot = (F.row_number().over(Window.orderBy(F.col("n").desc(), "value")) - 1).alias("slot")
+        table = table.unionByName(ranked.select(F.lit(c).alias("column_name"), "value", slot))
+        more[c] = counted.limit(dictionary + 1).count()
+    table.write.parquet(path)
+    table = df.sparkSession.read.schema(table.schema).parquet(path)
+    own = {c: min(n, dictionary) for c, n in more.items()}
+    return Categories(table, own, {c: REST_SLOTS if n > dictionary else 0 for c, n in more.items()})
+
+
+def with_slots(df: DataFrame, categories: Categories) -> DataFrame:
+    """``df`` with the slot of each category column as ``<column>_slot``; a null, and a value without a slot, has the
+    number after the last, which sets none."""
+    for c in categories.own:
+        side = categories.table.where(F.col("column_name") == c).select(F.col("value").alias("__value"), F.col("slot").alias("__slot"))
+        none = F.lit(categories.slots(c))
+        other = F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(REST_SLOTS)) + categories.own[c] if categories.shared[c] else none
+        slot = F.when(F.col(c).isNull(), none).otherwise(F.coalesce(F.col("__slot"), other))
+        df = df.join(side, F.col(c).cast("string") == F.col("__value"), "left").withColumn(f"{c}_slot", slot.cast("double")).drop("__value", "__slot")
+    return df
+
+
+def feature_model(df: DataFrame, categories: Categories) -> PipelineModel:
+    """Slots turned into one column of zeros and ones each, put together with the numeric features as one vector.
+
+    Nothing is fitted on data: the dictionary says how many slots there are.
+    """
+    used = [c for c in categories.own if categories.slots(c)]
+    stages: list = []
+    if used:
+        encoder = OneHotEncoder(inputCols=[f"{c}_slot" for c in used], outputCols=[f"{c}_set" for c in used], handleInvalid="keep")
+        last = df.sparkSession.createDataFrame([tuple(float(categories.slots(c) - 1) for c in used)], [f"{c}_slot" for c in used])
+        stages.append(encoder.fit(last))
+    stages.append(VectorAssembler(inputCols=[*_feature_columns(df), *[f"{c}_set" for c in used]], outputCol="features", handleInvalid="keep"))
+    return PipelineModel(stages)
 
 
 def split_rows(df: DataFrame, key: str, test_share: float = 0.3) -> tuple[DataFrame, DataFrame]:
@@ -121,6 +168,10 @@ class LabelModels:
     features: PipelineModel
     models: dict[str, object]
     constants: dict[str, int]
+    categories: Categories
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        return self.features.transform(with_slots(df, self.categories))
 
 
 def train_label_models(
@@ -146,22 +197,46 @@ def train_label_models(
     present += [F.min(c).alias(f"{c}_low") for c in labels] + [F.max(c).alias(f"{c}_high") for c in labels]
     seen = df.agg(*present).first()  # one row
     train, _ = split_rows(df, key, test_share)
-    features = Pipeline(stages=feature_stages(df)).fit(df)
+    categories = category_dictionary(df, _categories(df))
+    fitted = LabelModels(feature_model(df, categories), {}, {}, categories)
     prepared = scratch_table(df.sparkSession, "vectors")
-    features.transform(train).select("features", *labels).write.parquet(prepared)
+    fitted.vectors(train).select("features", *labels).write.parquet(prepared)
     ready = df.sparkSession.read.parquet(prepared)
-    models: dict[str, object] = {}
-    constants: dict[str, int] = {}
     for label in labels:
         if seen[f"{label}_low"] == seen[f"{label}_high"]:
-            constants[label] = int(seen[f"{label}_low"])
+            fitted.constants[label] = int(seen[f"{label}_low"])
             continue
         learner = _learner(kind, label, trees, depth)
         if tune:
             learner = _searched(learner, kind, label)
-        fitted = learner.fit(ready)
-        models[label] = fitted.bestModel if tune else fitted
-    return LabelModels(features, models, constants)
+        model = learner.fit(ready)
+        fitted.models[label] = model.bestModel if tune else model
+    return fitted
+
+
+def save_label_models(fitted: LabelModels, path: str) -> None:
+    """Writes models, features, dictionary and constants below ``path``; the manifest comes last, so a set of models
+    without one was not finished."""
+    spark = fitted.categories.table.sparkSession
+    fitted.features.write().overwrite().save(f"{path}/features")
+    fitted.categories.table.write.mode("overwrite").parquet(f"{path}/categories")
+    for label, model in fitted.models.items():
+        model.write().overwrite().save(f"{path}/models/{label}")
+    kinds = {label: type(model).__name__ for label, model in fitted.models.items()}
+    held = {"models": kinds, "constants": fitted.constants, "own": fitted.categories.own, "shared": fitted.categories.shared}
+    spark.createDataFrame([(json.dumps(held),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+
+
+def load_label_models(spark: SparkSession, path: str) -> LabelModels:
+    """What :func:`save_label_models` wrote, in any session."""
+    held = json.loads(spark.read.text(f"{path}/manifest").first()["value"])
+    table = spark.read.schema("column_name string, value string, slot int").parquet(f"{path}/categories")
+    models = {label: MODEL_KINDS[kind].load(f"{path}/models/{label}") for label, kind in held["models"].items()}
+    features = PipelineModel.load(f"{path}/features")
+    return LabelModels(features, models, held["constants"], Categories(table, held["own"], held["shared"]))
+
+
+MODEL_KINDS = {m.__name__: m for m in (RandomForestClassificationModel, GBTClassificationModel)}
 
 
 def _learner(kind: str, label: str, trees: int, depth: int):
@@ -188,7 +263,7 @@ def score_labels(fitted: LabelModels, df: DataFrame, scored_at: Column | None =
     probability 1.
     """
     kept = df.columns
-    out = fitted.features.transform(df)
+    out = fitted.vectors(df)
     added: list[str] = []
     for label, model in fitted.models.items():
         raw = [f"__{label}_raw", f"__{label}_probability", f"__{label}_prediction"]

@@ -8,6 +8,7 @@ part over the test tables.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -83,6 +84,23 @@ def verify_load(t: Tables):
     return partitions.verify_load(_months(t), stored)
 
 
+@query("verify_contents",
+       """SELECT order_id, user_id, state, amount, CAST(date_trunc('month', dt) AS DATE) AS dt, side, CAST(1 AS BIGINT) AS times FROM (
+       SELECT order_id, user_id, state, amount, dt, 'source' AS side FROM hdr WHERE order_id % 500 IN (1, 2)
+       UNION ALL SELECT order_id, user_id, state, amount + 0.01, dt, 'loaded' FROM hdr WHERE order_id % 500 = 1
+       UNION ALL SELECT order_id, user_id, state, amount, dt, 'loaded' FROM hdr WHERE order_id % 500 = 3)""", "hdr", "dt", "amount")
+def verify_contents(t: Tables):
+    """A load with as many rows as its source, of which some differ, some are missing and some are there twice."""
+    columns = ["order_id", "user_id", "state", "amount", "dt"]
+    path, part = scratch_table(t.spark, "loaded"), F.col("order_id") % 500
+    good = _months(t).select(columns)
+    changed = F.when(part == 1, F.col("amount") + F.lit("0.01").cast("decimal(16,2)")).otherwise(F.col("amount"))
+    bad = good.where(part != 2).withColumn("amount", money(changed)).unionByName(good.where(part == 3))
+    partitions.overwrite_partitions(bad, path)
+    schema = T.StructType([f for f in ORDER_SCHEMA.fields if f.name in columns])
+    return partitions.verify_contents(good, t.spark.read.schema(schema).parquet(path), "order_id")
+
+
 @query("conform_to_table",
        "SELECT state, CAST(COUNT(*) AS INTEGER) AS order_count, SUM(amount) AS order_amount FROM hdr GROUP BY state",
        "hdr", money="order_amount")
@@ -186,18 +204,31 @@ def raw_table_copy(t: Tables):
     return files.read_raw_table(t.spark, path, rows.schema)
 
 
-@query("sync_schema")
+LOADED = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+#: Types of the test tables as one side names them, as the other does, and in the warehouse.
+_TYPES = {
+    "BIGINT": ("bigint", "bigint"), "INTEGER": ("int", "int"), "DOUBLE": ("double", "double"), "VARCHAR": ("string", "string"),
+    "TIMESTAMP": ("timestamp_ntz", "timestamp"), "FLOAT[]": ("array<float>", "string"), "BOOLEAN": ("boolean", "string"),
+}
+
+
+def _type_sql(n: int) -> str:
+    return "CASE data_type " + " ".join(f"WHEN '{k}' THEN '{v[n]}'" for k, v in _TYPES.items()) + " END"
+
+
+@query("sync_schema",
+       f"""SELECT c.table_name, column_name, CAST(ordinal_position AS INTEGER) AS ordinal, {_type_sql(0)} AS column_type, '' AS comment,
+       {_type_sql(1)} AS warehouse_type, source_rows FROM information_schema.columns c JOIN ("""
+       + " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS source_rows FROM {n}" for n in LOADED)
+       + ") n ON n.table_name = c.table_name")
 def sync_schema(t: Tables):
     """Warehouse types for the columns of all loaded tables, with the rows each table brings."""
-    names = (
-        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-    ).split()
     catalogue = t.spark.createDataFrame(
-        schemas.catalogue_of({n: t.read(n) for n in names}),
+        schemas.catalogue_of({n: t.read(n) for n in LOADED}),
         "table_name string, column_name string, ordinal int, column_type string, comment string",
     )
     counted = None
-    for n in names:
+    for n in LOADED:
         one = t.read(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("source_rows"))
         counted = one if counted is None else counted.unionByName(one)
     return schemas.sync_schema(catalogue).join(counted, "table_name")
@@ -205,11 +236,12 @@ def sync_schema(t: Tables):
 
 @query("table_ddl", "SELECT state, COUNT(*) AS n, SUM(amount) AS amount FROM hdr GROUP BY state", "hdr", money="amount")
 def table_ddl(t: Tables):
-    """ORC round trip through the partitioned layout of a summary table."""
-    path = scratch_table(t.spark, "orc")
-    partitions.overwrite_partitions(_months(t), path, fmt="orc")
-    stored = t.spark.read.schema(ORDER_SCHEMA).orc(path)
-    return stored.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    """A summary table in the catalogue, in ORC: made from its schema, written by name, read back by name."""
+    table = f"daymill_orders_{uuid.uuid4().hex}"
+    schema = T.StructType([f for f in ORDER_SCHEMA.fields if f.name != "dt"])
+    schemas.create_day_table(t.spark, table, schema, scratch_table(t.spark, "orc"))
+    schemas.write_day_table(_months(t), table)
+    return t.spark.table(table).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 
 @query("union_with_history",

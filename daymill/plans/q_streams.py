@@ -185,21 +185,57 @@ def _labelled(t: Tables) -> DataFrame:
     return lb.entry_features(lb.entry_labels(roles.entry_stats(t)))
 
 
-@query("train_label_models")
+_FEATURES = len(lb.NUMERIC) + len(lb.INTERACTIONS)
+
+
+@query("train_label_models",
+       f"""SELECT label, CASE label WHEN 'always' THEN 'constant' ELSE 'GBTClassificationModel' END AS kind,
+       CASE WHEN label <> 'always' THEN {_FEATURES} + (SELECT COUNT(DISTINCT time_period) + COUNT(DISTINCT entry_page_name) FROM entries) END AS features,
+       CASE WHEN label <> 'always' THEN CAST(1 AS DOUBLE) END AS importance, CAST(train_rows AS BIGINT) AS rows, TRUE AS better_than_the_larger_class
+       FROM (VALUES ('always'), ('high_duration'), ('high_visitor')) v(label), (SELECT COUNT(*) AS train_rows FROM entries)""",
+       "entries")
 def train_label_models(t: Tables):
-    """Importance of each feature, averaged over the boosted models of the labels."""
-    fitted = lb.train_label_models(_labelled(t), ["high_visitor", "high_duration"], "entry_id", "gradient_boosting", trees=5)
-    rows = [(i, x) for i, x in enumerate(lb.mean_importance(fitted))]
-    return t.spark.createDataFrame(rows, "feature int, importance double")
+    """Boosted models of two labels and a label of one class: what was fitted, and whether it beats the larger class."""
+    rows = _labelled(t).withColumn("always", F.lit(1))
+    labels = ["high_visitor", "high_duration", "always"]
+    fitted = lb.train_label_models(rows, labels, "entry_id", "gradient_boosting", trees=5)
+    kinds = {label: "constant" for label in fitted.constants} | {label: type(m).__name__ for label, m in fitted.models.items()}
+    weights = {label: m.featureImportances for label, m in fitted.models.items()}
+    shapes = t.spark.createDataFrame(
+        [(n, kinds[n], int(weights[n].size) if n in weights else None, round(float(weights[n].toArray().sum()), 6) if n in weights else None) for n in labels],
+        "label string, kind string, features long, importance double",
+    )
+    scored = lb.score_labels(fitted, lb.without_decimals(rows))
+    facts = F.inline(F.array(*[F.struct(F.lit(n).alias("label"), F.col(n).alias("is"), F.col(f"{n}_pred").alias("said")) for n in labels]))
+    right = F.count_if(F.col("is") == F.col("said"))
+    larger = F.greatest(F.sum("is"), F.sum(1 - F.col("is")))
+    told = scored.select(facts).groupBy("label").agg(F.count(F.lit(1)).alias("rows"), (right >= larger).alias("better_than_the_larger_class"))
+    return shapes.join(told, "label")
 
 
-@query("score_labels")
+@query("score_labels",
+       "SELECT entry_id, " + ", ".join(f"TRUE AS {n}_in_range, TRUE AS {n}_follows, TRUE AS {n}_same" for n in NAMES)
+       + ", '2024-01-31 00:00:00' AS prediction_time FROM entries", "entries")
 def score_labels(t: Tables):
+    """Scores of every entry by models that were saved and loaded: chances from 0 to 1, the likelier class predicted,
+    the same as before saving."""
     rows = _labelled(t)
     fitted = lb.train_label_models(rows, NAMES, "entry_id", trees=5, depth=5)
+    path = scratch_table(t.spark, "models")
+    lb.save_label_models(fitted, path)
     when = F.lit("2024-01-31 00:00:00").cast("timestamp")
-    scored = lb.score_labels(fitted, lb.without_decimals(rows), when)
-    return scored.select("entry_id", *[c for c in scored.columns if c.endswith(("_pred", "_prob"))], "prediction_time")
+    scored = lb.score_labels(lb.load_label_models(t.spark, path), lb.without_decimals(rows), when)
+    before = lb.score_labels(fitted, lb.without_decimals(rows)).select(F.col("entry_id").alias("__id"), *[F.col(f"{n}_prob").alias(f"__{n}") for n in NAMES])
+    both = scored.join(before, F.col("entry_id") == F.col("__id"), "left")
+    facts = []
+    for n in NAMES:
+        chance, said = F.col(f"{n}_prob"), F.col(f"{n}_pred")
+        facts += [
+            chance.between(0, 1).alias(f"{n}_in_range"),
+            ((chance == 0.5) | (said == (chance > 0.5).cast("int"))).alias(f"{n}_follows"),
+            chance.eqNullSafe(F.col(f"__{n}")).alias(f"{n}_same"),
+        ]
+    return both.select("entry_id", *facts, "prediction_time")
 
 
 def _confusion_sql(label: str, guess: str) -> str:

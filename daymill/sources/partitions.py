@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymill.functions.days import as_date
+from daymill.sources import folders
 
 # --- fixed values: the time column that gives a source table its day ---
 TIME_COLUMNS = {
@@ -110,6 +111,72 @@ def verify_load(source: DataFrame, loaded: DataFrame, day_column: str = "dt") ->
     return counts.withColumn("matches", F.col("source_rows") == F.col("loaded_rows"))
 
 
+#: Buckets of a day's keys whose contents are compared at once.
+BUCKETS = 256
+
+
+def _filed(df: DataFrame, columns: Sequence[str], key: str, buckets: int) -> DataFrame:
+    """Rows with the bucket of their key and a hash of all columns that tells nulls apart."""
+    parts = [p for c in columns for p in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return df.withColumns({"__bucket": F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int"), "__hash": F.xxhash64(*parts)})
+
+
+def fingerprints(df: DataFrame, key: str, day_column: str = "dt", columns: Sequence[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """(day, bucket, rows, low, high): the rows of each day and key bucket in any order, as a sum of their hashes.
+
+    Copies count, order doesn't.  The two halves of the hashes are added up apart, so that no sum overflows.
+    """
+    filed = _filed(df, columns or df.columns, key, buckets)
+    return filed.groupBy(F.col(f"`{day_column}`").alias("day"), F.col("__bucket").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("__hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+        F.sum(F.shiftrightunsigned("__hash", 32)).alias("high"),
+    )
+
+
+def differing_buckets(source: DataFrame, loaded: DataFrame, key: str, day_column: str = "dt", buckets: int = BUCKETS) -> DataFrame:
+    """(day, bucket, source_rows, loaded_rows) of the buckets whose rows are not the same on both sides.
+
+    Columns are those of ``source``, whatever their order.  Every side is read once and folded before the shuffle.
+    """
+    columns = source.columns
+    sides = [fingerprints(df, key, day_column, columns, buckets) for df in (source, loaded)]
+    minus = sides[1].select("day", "bucket", *[(-F.col(c)).alias(c) for c in ("rows", "low", "high")], F.col("rows").alias("loaded_rows"))
+    both = sides[0].withColumn("loaded_rows", F.lit(0).cast("bigint")).unionByName(minus)
+    summed = both.groupBy("day", "bucket").agg(*[F.sum(c).alias(c) for c in ("rows", "low", "high", "loaded_rows")])
+    apart = summed.where("rows <> 0 OR low <> 0 OR high <> 0")
+    return apart.select("day", "bucket", (F.col("rows") + F.col("loaded_rows")).alias("source_rows"), "loaded_rows")
+
+
+def verify_contents(source: DataFrame, loaded: DataFrame, key: str, day_column: str = "dt", buckets: int = BUCKETS) -> DataFrame:
+    """Rows that only one side has, or has more often: all columns, ``side`` (source or loaded) and ``times``.
+
+    Only the buckets that differ are compared row by row; a load without fault compares none.
+    """
+    columns = source.columns
+    found = differing_buckets(source, loaded, key, day_column, buckets).select(F.col("day").alias("__day"), F.col("bucket").alias("__b"))
+
+    def near(df: DataFrame, sign: int) -> DataFrame:
+        filed = _filed(df.select(columns), columns, key, buckets)
+        same = F.col("__bucket") == F.col("__b")
+        same = same & F.col(f"`{day_column}`").eqNullSafe(F.col("__day"))
+        return filed.join(found, same, "left_semi").select(*columns, F.lit(sign).cast("bigint").alias("__n"))
+
+    left = near(source, 1).unionByName(near(loaded, -1)).groupBy(columns).agg(F.sum("__n").alias("__n")).where("__n <> 0")
+    return left.select(*columns, F.when(F.col("__n") > 0, "source").otherwise("loaded").alias("side"), F.abs("__n").alias("times"))
+
+
+def verify_days(spark: SparkSession, path: str, source: DataFrame, day_column: str = "dt") -> DataFrame:
+    """(day, in_source, in_storage) of the days that only one side has: the source's rows or the folders in storage."""
+    stored = folders.partition_values(spark, path, day_column)
+    listed = spark.createDataFrame([(d,) for d in stored], "day string").withColumn("stored", F.lit(True))
+    none = F.lit("__HIVE_DEFAULT_PARTITION__")
+    held = source.select(F.coalesce(F.col(day_column).cast("string"), none).alias("day")).distinct().withColumn("held", F.lit(True))
+    both = held.join(listed, "day", "full_outer")
+    apart = both.where("held IS NULL OR stored IS NULL")
+    return apart.select("day", F.col("held").isNotNull().alias("in_source"), F.col("stored").isNotNull().alias("in_storage"))
+
+
 def fill_numeric_nulls(df: DataFrame, value: int = 0) -> DataFrame:
     """Zero for null in every numeric column, decimals included; text stays null."""
     changed: Mapping[str, Column] = {

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymill.sources.partitions import conform_to_table
+
 # --- fixed values: source column type to warehouse type ---
 SOURCE_TYPES = {
     "varchar": "string",
@@ -95,3 +97,19 @@ def create_day_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str, day_column: str = "dt", fmt: str = "orc"
 ) -> None:
     spark.sql(table_ddl(table, schema, location, day_column, fmt))
+
+
+def write_day_table(df: DataFrame, table: str) -> None:
+    """Replaces in the catalogue table ``table`` the days that ``df`` holds; columns are taken by name and cast.
+
+    New days are registered in the catalogue with the write.
+    """
+    spark = df.sparkSession
+    target = conform_to_table(df, spark.table(table).schema)
+    days = [p.name for p in spark.catalog.listColumns(table) if p.isPartition]
+    target.hint("rebalance", *[F.col(d) for d in days]).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+
+def table_days(spark: SparkSession, table: str) -> list[str]:
+    """Values of the partitions that the catalogue knows of a table by day."""
+    return sorted(r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())

@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from daymill.operators import labels as lb
@@ -59,10 +58,42 @@ def test_split_is_stable_and_complete(entries):
     assert 0.2 < test.count() / 200 < 0.4
 
 
-def test_any_number_of_categories(spark):
+def test_every_category_is_kept_apart(spark):
     rows = spark.range(20_001).selectExpr("id AS entry_id", "string(id) AS time_period", "double(id % 7) AS visitor_count_scaled")
-    vectors = Pipeline(stages=lb.feature_stages(rows)).fit(rows).transform(rows)
-    assert vectors.first()["features"].size == 1 + lb.CATEGORY_SLOTS and vectors.count() == 20_001
+    categories = lb.category_dictionary(rows, ["time_period"])
+    vectors = lb.feature_model(rows, categories).transform(lb.with_slots(rows, categories))
+    assert vectors.first()["features"].size == 1 + 20_001
+    assert vectors.select("time_period_slot").distinct().count() == 20_001 and categories.shared == {"time_period": 0}
+
+
+def test_slots_of_frequent_rare_unseen_and_null(spark, monkeypatch):
+    monkeypatch.setattr(lb, "REST_SLOTS", 4)
+    values = ["a"] * 5 + ["b"] * 3 + ["c", "d", None]
+    rows = spark.createDataFrame([(v, 1.0) for v in values], "time_period string, x_scaled double")
+    two = lb.category_dictionary(rows, ["time_period"], dictionary=2)
+    assert two.own == {"time_period": 2} and two.shared == {"time_period": 4}
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("new",), (None,)], "time_period string").withColumn("x_scaled", F.lit(2.0))
+    slots = {r.time_period: r.time_period_slot for r in lb.with_slots(asked, two).collect()}
+    assert slots["a"] == 0 and slots["b"] == 1 and 2 <= slots["c"] < 6 and 2 <= slots["new"] < 6 and slots[None] == 6
+    vectors = {r.time_period: r.features for r in lb.feature_model(asked, two).transform(lb.with_slots(asked, two)).collect()}
+    assert vectors["a"].toArray().tolist() == [2, 1, 0, 0, 0, 0, 0] and vectors[None].toArray().tolist() == [2, 0, 0, 0, 0, 0, 0]
+    every = lb.category_dictionary(rows, ["time_period"])
+    assert every.own == {"time_period": 4} and {r.time_period: r.time_period_slot for r in lb.with_slots(asked, every).collect()}["new"] == 4
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gradient_boosting"])
+def test_saved_models_score_the_same_in_another_session(spark, entries, tmp_path, kind):
+    rows = lb.entry_features(lb.entry_labels(entries)).withColumn("all_one", F.lit(1))
+    fitted = lb.train_label_models(rows, ["high_visitor", "all_one"], "entry_id", kind, trees=3, depth=3)
+    lb.save_label_models(fitted, str(tmp_path / "m"))
+    other = spark.newSession()
+    loaded = lb.load_label_models(other, str(tmp_path / "m"))
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    names = ["entry_id", "high_visitor_pred", "high_visitor_prob", "all_one_pred", "all_one_prob"]
+    before, after = (sorted(map(tuple, lb.score_labels(m, s.read.parquet(path)).select(*names).collect())) for m, s in ((fitted, spark), (loaded, other)))
+    assert before == after and len(before) == 200
+    assert loaded.constants == {"all_one": 1} and list(loaded.models) == ["high_visitor"]
 
 
 def test_class_report_without_hits(spark, rows):

@@ -236,3 +236,58 @@ def test_csv_keeps_line_breaks(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, "plain")], "id long, t string")
     files.export_csv(df, str(tmp_path / "c"))
     assert rows(files.read_csv(spark, str(tmp_path / "c"), df.schema)) == rows(df)
+
+
+def test_catalogue_table(spark, rows, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType(), True, {"comment": "it's a"}), T.StructField("b", T.StringType())])
+    schemas.create_day_table(spark, "day_table_test", schema, str(tmp_path / "t"))
+    day = F.col("dt").cast("date").alias("dt")
+    # Columns come by name, with other types and in another order.
+    feed = spark.createDataFrame([("x", 1, "2024-01-01"), ("y", 2, "2024-01-02"), ("z", 3, "2024-01-02")], "b string, a int, dt string").select(day, "b", "a")
+    schemas.write_day_table(feed, "day_table_test")
+    schemas.write_day_table(feed.where("a = 1").withColumn("a", F.lit(9)), "day_table_test")
+    assert rows(spark.table("day_table_test"), "a", "b") == [(2, "y"), (3, "z"), (9, "x")]
+    assert schemas.table_days(spark, "day_table_test") == ["2024-01-01", "2024-01-02"]
+    described = {r["col_name"]: r for r in spark.sql("DESCRIBE EXTENDED day_table_test").collect()}
+    assert described["a"]["comment"] == "it's a" and described["Location"]["data_type"].endswith(str(tmp_path / "t"))
+    spark.sql("DROP TABLE day_table_test")
+
+
+VERIFIED = "id long, v string, w double, dt date"
+
+
+def test_contents_are_compared_and_faults_located(spark, rows):
+    day = lambda n: dt.date(2024, 1, n)
+    good = [(i, f"v{i}", None if i % 3 else float(i), day(1 + i % 4) if i % 5 else None) for i in range(200)]
+    source = spark.createDataFrame(good, VERIFIED)
+    same = spark.createDataFrame(good[::-1], VERIFIED).select("dt", "w", "v", "id")
+    assert partitions.differing_buckets(source, same, "id").count() == 0 and partitions.verify_contents(source, same, "id").count() == 0
+    bad = [list(r) for r in good]
+    bad[7][1] = "changed"
+    bad[10][3] = day(2)  # was without a day
+    bad[12], bad[13] = bad[13][:], bad[13][:]  # one is missing, one is there twice
+    loaded = spark.createDataFrame([tuple(r) for r in bad], VERIFIED)
+    assert partitions.verify_load(source.where("id = 7"), loaded.where("id = 7")).first()["matches"]
+    want = [(*good[7], "source", 1), (7, "changed", *good[7][2:], "loaded", 1), (*good[10], "source", 1), (*good[10][:3], day(2), "loaded", 1), (*good[12], "source", 1), (*good[13], "loaded", 1)]
+    assert rows(partitions.verify_contents(source, loaded, "id")) == sorted(want, key=repr)
+    assert partitions.differing_buckets(source, loaded, "id").count() <= 6
+
+
+def test_nulls_and_swapped_values_differ(spark):
+    one = spark.createDataFrame([(1, None, 2.0, None)], VERIFIED)
+    other = spark.createDataFrame([(1, "", 2.0, None)], VERIFIED)
+    assert partitions.verify_contents(one, other, "id").count() == 2
+    two = spark.createDataFrame([(1, None, 5)], "id long, a int, b int")
+    swapped = spark.createDataFrame([(1, 5, None)], "id long, a int, b int")
+    assert partitions.verify_contents(two, swapped, "id", "id").count() == 2
+    assert partitions.verify_contents(one.limit(0), one.limit(0), "id").count() == 0
+
+
+def test_days_in_storage(spark, rows, tmp_path):
+    source = spark.createDataFrame([(1, "a", 1.0, dt.date(2024, 1, 1)), (2, "b", 1.0, None), (3, "c", 1.0, dt.date(2024, 1, 3))], VERIFIED)
+    path = str(tmp_path / "t")
+    source.write.partitionBy("dt").parquet(path)
+    assert rows(partitions.verify_days(spark, path, source)) == []
+    more = source.where("id = 1").unionByName(spark.createDataFrame([(4, "d", 1.0, dt.date(2024, 1, 9))], VERIFIED)).unionByName(source.where("dt IS NULL"))
+    assert rows(partitions.verify_days(spark, path, more)) == sorted([("2024-01-03", False, True), ("2024-01-09", True, False)])
+    assert partitions.verify_days(spark, str(tmp_path / "none"), source).count() == 3
