@@ -60,24 +60,21 @@ def sku_dim(
 
     Attributes are made distinct per product before they are listed, so the
     length of a list is bounded by the attribute catalogue, not by the rows
-    of the attribute tables.
+    of the attribute tables.  A list holds ids and names.
     """
 
-    def listed(table: DataFrame, id_col: str, value_col: str, name: str) -> DataFrame:
-        return (
-            table.select("sku_id", id_col, value_col)
-            .distinct()
-            .groupBy("sku_id")
-            .agg(F.sort_array(F.collect_list(F.struct(id_col, value_col))).alias(name))
-        )
+    def listed(table: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        distinct = table.select("sku_id", *columns).distinct()
+        return distinct.groupBy("sku_id").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
 
     out = with_names(sku, spu, "spu_id", "id", {"spu_name": "spu_name", "category3_id": "category3_id"})
     out = with_names(out, category3, "category3_id", "id", {"name": "category3_name", "category2_id": "category2_id"})
     out = with_names(out, category2, "category2_id", "id", {"name": "category2_name", "category1_id": "category1_id"})
     out = with_names(out, category1, "category1_id", "id", {"name": "category1_name"})
     out = with_names(out, brands, "tm_id", "id", {"tm_name": "tm_name"})
-    attrs = listed(attributes, "attr_id", "value_id", "attrs").withColumnRenamed("sku_id", "__a")
-    sales = listed(sale_attributes, "sale_attr_id", "sale_attr_value_id", "sale_attrs").withColumnRenamed("sku_id", "__s")
+    attrs = listed(attributes, ["attr_id", "value_id", "attr_name", "value_name"], "attrs").withColumnRenamed("sku_id", "__a")
+    named = ["sale_attr_id", "sale_attr_value_id", "sale_attr_name", "sale_attr_value_name"]
+    sales = listed(sale_attributes, named, "sale_attrs").withColumnRenamed("sku_id", "__s")
     return (
         out.join(attrs, F.col("id") == F.col("__a"), "left")
         .join(sales, F.col("id") == F.col("__s"), "left")
@@ -178,12 +175,18 @@ def driver_dim(drivers: DataFrame, orgs: DataFrame, teams: DataFrame) -> DataFra
     return with_names(out, teams, "truck_team_id", "id", {"name": "truck_team_name"}, "inner")
 
 
+MODEL_COLUMNS = [
+    "model_name", "model_type", "model_no", "brand", "truck_weight", "load_weight", "total_weight", "eev",
+    "boxcar_len", "boxcar_wd", "boxcar_hg", "max_speed", "oil_vol",
+]
+
+
 def truck_dim(trucks: DataFrame, teams: DataFrame, models: DataFrame, orgs: DataFrame, codes: DataFrame) -> DataFrame:
     """Truck with team, organisation and model measures, type and brand decoded, plate hashed."""
-    out = with_names(trucks, teams, "team_id", "id", {"name": "team_name", "org_id": "org_id"}, "inner")
+    team = {"name": "team_name", "team_no": "team_no", "org_id": "org_id", "manager_emp_id": "manager_emp_id"}
+    out = with_names(trucks, teams, "team_id", "id", team, "inner")
     out = with_names(out, orgs, "org_id", "id", {"org_name": "org_name"}, "inner")
-    model = {"model_name": "model_name", "model_type": "model_type", "brand": "brand", "max_weight": "max_weight"}
-    out = with_names(out, models, "model_id", "id", model, "inner")
+    out = with_names(out, models, "model_id", "id", {c: c for c in MODEL_COLUMNS}, "inner")
     out = with_names(out, codes, "model_type", "dic_code", {"dic_name": "model_type_name"}, "inner")
     out = with_names(out, codes, "brand", "dic_code", {"dic_name": "brand_name"}, "inner")
     return out.withColumn("truck_no", F.md5("truck_no"))

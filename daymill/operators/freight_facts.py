@@ -38,10 +38,11 @@ MILESTONES = {
     "cancel": Milestone(CANCELLED, (PLACED, PAID, PICKED_UP, SENT_OUT, DISPATCHED, ARRIVED, DELIVERING), "cancel_time"),
 }
 
-CARGO_COLUMNS = ["id", "order_id", "cargo_type", "weight"]
+CARGO_COLUMNS = ["id", "order_id", "cargo_type", "volume_length", "volume_width", "volume_height", "weight"]
 ORDER_COLUMNS = [
-    "order_no", "status", "collect_type", "user_id", "sender_district_id", "sender_city_id", "receiver_district_id",
-    "cargo_num", "amount", "distance",
+    "order_no", "status", "collect_type", "user_id", "receiver_complex_id", "receiver_province_id", "receiver_city_id",
+    "receiver_district_id", "sender_complex_id", "sender_province_id", "sender_city_id", "sender_district_id",
+    "cargo_num", "amount", "estimate_arrive_time", "distance",
 ]
 
 
@@ -231,6 +232,7 @@ def transport_finish_fact(tasks: DataFrame, shifts: DataFrame, days: Days | None
             "start_org_id",
             "start_org_name",
             "end_org_id",
+            "end_org_name",
             "order_num",
             "driver1_emp_id",
             mask_name("driver1_name").alias("driver1_name"),

@@ -34,6 +34,7 @@ def user_zip_init(users: DataFrame, as_of: str | dt.date | None = None) -> DataF
         hash_if_valid("email", EMAIL_PATTERN).alias("email"),
         "user_level",
         F.date_add(F.lit(dt.date(1970, 1, 1)), F.col("birthday").cast("int")).alias("birthday"),
+        "gender",
         start.alias("start_date"),
         F.lit(OPEN_END).alias("end_date"),
     )

@@ -184,7 +184,9 @@ CTES: dict[str, tuple[str, str]] = {
         f"""SELECT o_orderkey AS id, 'NO' || o_orderkey AS order_no, [{lit.STATE_LIST}][o_orderkey % 9 + 1] AS status,
         [{lit.STATE_LIST}][(o_orderkey // 9) % 9 + 1] AS earlier_status,
         '8000' || substr(o_orderpriority, 1, 1) AS collect_type, o_custkey AS user_id,
-        o_custkey % 400 + 100000 AS sender_district_id, o_custkey % 25 + 1000 AS sender_city_id,
+        o_custkey % 400 + 100000 AS sender_district_id, o_custkey % 25 + 1000 AS sender_city_id, o_custkey % 25 AS sender_complex_id,
+        o_custkey % 5 + 1 AS sender_province_id, o_orderkey % 25 AS receiver_complex_id, o_orderkey % 5 + 1 AS receiver_province_id,
+        o_orderkey % 25 + 1000 AS receiver_city_id, o_orderdate + INTERVAL 5 DAY AS estimate_arrive_time,
         o_orderkey % 400 + 100000 AS receiver_district_id, substr(o_orderpriority, 1, 1) || '*' AS receiver_name,
         o_orderstatus || '*' AS sender_name, 1 AS cargo_num, CAST(o_totalprice AS DECIMAL(16,2)) AS amount,
         o_orderkey % 3000 AS distance, o_orderdate + INTERVAL 90 HOUR AS update_time,
@@ -194,12 +196,15 @@ CTES: dict[str, tuple[str, str]] = {
         "",
         """SELECT l_orderkey*10 + l_linenumber AS id, l_orderkey AS order_id,
         CASE l_returnflag WHEN 'A' THEN '70001' WHEN 'N' THEN '70002' ELSE '70003' END AS cargo_type,
+        l_partkey % 100 + 1 AS volume_length, l_suppkey % 50 + 1 AS volume_width, l_linenumber * 5 AS volume_height,
         CAST(l_quantity AS DECIMAL(16,2)) AS weight, l_shipdate AS create_time, l_linenumber = 7 AS gone FROM lineitem""",
     ),
     "fdet": (
         "cargo ford codes",
-        """SELECT cargo.id, order_id, cargo_type, weight, c1.dic_name AS cargo_type_name, order_no, status, collect_type,
-        user_id, sender_district_id, sender_city_id, receiver_district_id, cargo_num, amount, distance,
+        """SELECT cargo.id, order_id, cargo_type, volume_length, volume_width, volume_height, weight, c1.dic_name AS cargo_type_name, order_no, status, collect_type,
+        user_id, sender_complex_id, sender_province_id, sender_city_id,
+        sender_district_id, receiver_complex_id, receiver_province_id, receiver_city_id, receiver_district_id, cargo_num, amount,
+        estimate_arrive_time, distance,
         c2.dic_name AS status_name, c3.dic_name AS collect_type_name, receiver_name, sender_name,
         create_time + INTERVAL 8 HOUR AS order_time, CAST(create_time + INTERVAL 8 HOUR AS DATE) AS dt
         FROM cargo JOIN ford ON ford.id = order_id LEFT JOIN codes c1 ON c1.dic_code = cargo_type
@@ -208,8 +213,9 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "delivered": (
         "cargo ford codes",
-        """SELECT cargo.id, order_id, cargo_type, weight, order_no, status, collect_type, user_id, sender_district_id,
-        sender_city_id, receiver_district_id, cargo_num, amount, distance, receiver_name, sender_name,
+        """SELECT cargo.id, order_id, cargo_type, volume_length, volume_width, volume_height, weight, order_no, status, collect_type, user_id, sender_complex_id, sender_province_id, sender_city_id,
+        sender_district_id, receiver_complex_id, receiver_province_id, receiver_city_id, receiver_district_id, cargo_num, amount,
+        estimate_arrive_time, distance, receiver_name, sender_name,
         c1.dic_name AS cargo_type_name, c2.dic_name AS status_name, c3.dic_name AS collect_type_name,
         update_time + INTERVAL 8 HOUR AS deliver_suc_time, CAST(update_time + INTERVAL 8 HOUR AS DATE) AS dt
         FROM cargo JOIN ford ON ford.id = order_id LEFT JOIN codes c1 ON c1.dic_code = cargo_type
@@ -219,8 +225,9 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "milestones": (
         "cargo ford codes",
-        f"""SELECT kind, l.id, order_id, cargo_type, weight, order_no, collect_type, user_id, sender_district_id,
-        sender_city_id, receiver_district_id, cargo_num, amount, distance, receiver_name, sender_name,
+        f"""SELECT kind, l.id, order_id, cargo_type, volume_length, volume_width, volume_height, weight, order_no, collect_type, user_id, sender_complex_id, sender_province_id, sender_city_id,
+        sender_district_id, receiver_complex_id, receiver_province_id, receiver_city_id, receiver_district_id, cargo_num, amount,
+        estimate_arrive_time, distance, receiver_name, sender_name,
         ford.status, c1.dic_name AS cargo_type_name, c2.dic_name AS status_name, c3.dic_name AS collect_type_name,
         update_time + INTERVAL 8 HOUR AS milestone_time, CAST(update_time + INTERVAL 8 HOUR AS DATE) AS dt
         FROM (VALUES ('pay', '60020', ['60010']), ('receive', '60030', ['60010','60020']),
@@ -228,7 +235,7 @@ CTES: dict[str, tuple[str, str]] = {
           ('bound_finish', '60060', ['60010','60020','60030','60040','60050']),
           ('cancel', '60999', ['60010','60020','60030','60040','60050','60060','60070'])) m(kind, reached, prior)
         JOIN ford ON ford.status = reached AND NOT ford.gone
-        JOIN (SELECT id, order_id, cargo_type, weight, create_time, gone FROM cargo) l ON l.order_id = ford.id
+        JOIN (SELECT id, order_id, cargo_type, volume_length, volume_width, volume_height, weight, create_time, gone FROM cargo) l ON l.order_id = ford.id
          AND (l.create_time >= TIMESTAMP '{lit.OPEN_SNAPSHOT_CUT}'
            OR (NOT l.gone AND list_contains(prior, earlier_status)))
         LEFT JOIN codes c1 ON c1.dic_code = cargo_type LEFT JOIN codes c2 ON c2.dic_code = ford.status
@@ -257,7 +264,13 @@ CTES: dict[str, tuple[str, str]] = {
         """SELECT p_partkey AS id, p_size AS team_id, p_brand || '/' || p_type AS model_id,
         md5('T' || p_partkey) AS truck_no, 'Team ' || p_size AS team_name, p_size % 25 AS org_id, n_name AS org_name,
         p_type || ' ' || p_brand AS model_name, p_type AS model_type, p_brand AS brand,
-        CAST(length(p_type) AS INT) AS max_weight, c1.dic_name AS model_type_name, c2.dic_name AS brand_name
+        'TN' || p_size AS team_no, p_size + 1000 AS manager_emp_id, p_partkey + 5000 AS device_gps_id, 'E' || p_partkey AS engine_no,
+        DATE '2015-01-01' + CAST(p_size AS INT) AS license_registration_date, DATE '2024-01-01' + CAST(p_size AS INT) AS license_last_check_date,
+        DATE '2026-01-01' + CAST(p_size AS INT) AS license_expire_date, CAST(p_partkey % 2 AS VARCHAR) AS is_enabled,
+        'no ' || p_brand AS model_no, CAST(length(p_type) AS INT) AS truck_weight, CAST(length(p_type) * 2 AS INT) AS load_weight,
+        CAST(length(p_type) * 3 AS INT) AS total_weight, '5' AS eev, CAST(length(p_brand) + 1 AS INT) AS boxcar_len,
+        CAST(length(p_brand) + 2 AS INT) AS boxcar_wd, CAST(length(p_brand) + 3 AS INT) AS boxcar_hg,
+        CAST(length(p_type) + 80 AS INT) AS max_speed, CAST(length(p_type) * 10 AS INT) AS oil_vol, c1.dic_name AS model_type_name, c2.dic_name AS brand_name
         FROM part JOIN nation ON n_nationkey = p_size % 25 JOIN codes c1 ON c1.dic_code = p_type
         JOIN codes c2 ON c2.dic_code = p_brand""",
     ),
@@ -265,7 +278,7 @@ CTES: dict[str, tuple[str, str]] = {
         "shifts",
         """SELECT l_orderkey*10 + l_linenumber AS id, l_suppkey AS shift_id, l_suppkey % 25 AS line_id,
         l_suppkey AS start_org_id, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS start_org_name,
-        l_partkey % 10 AS end_org_id, l_linenumber AS order_num, l_suppkey AS driver1_emp_id, 'S*' AS driver1_name,
+        l_partkey % 10 AS end_org_id, 'End ' || (l_partkey % 10) AS end_org_name, l_linenumber AS order_num, l_suppkey AS driver1_emp_id, 'S*' AS driver1_name,
         CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS driver2_emp_id,
         CASE WHEN o_orderkey % 2 = 0 THEN 'C*' END AS driver2_name, l_partkey AS truck_id,
         md5('T' || l_partkey) AS truck_no, o_orderdate AS actual_start_time, l_shipdate AS actual_end_time,

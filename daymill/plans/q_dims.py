@@ -22,9 +22,9 @@ from daymill.plans.registry import Tables, query
        n_regionkey AS category2_id, r_name AS category2_name, n_regionkey % 2 AS category1_id,
        'root ' || (n_regionkey % 2) AS category1_name, p_brand AS tm_id, lower(p_brand) AS tm_name, attrs, sale_attrs
        FROM part JOIN nation ON n_nationkey = (p_partkey // 4) % 25 JOIN region ON r_regionkey = n_regionkey
-       LEFT JOIN (SELECT l_partkey, string_agg(l_returnflag || '=' || l_linestatus, ',' ORDER BY l_returnflag, l_linestatus) AS attrs
+       LEFT JOIN (SELECT l_partkey, string_agg(l_returnflag || '=' || l_linestatus || ' attr ' || l_returnflag || '=value ' || l_linestatus, ',' ORDER BY l_returnflag, l_linestatus) AS attrs
          FROM (SELECT DISTINCT l_partkey, l_returnflag, l_linestatus FROM lineitem) GROUP BY 1) a ON a.l_partkey = p_partkey
-       LEFT JOIN (SELECT l_partkey, string_agg(l_linenumber || '=' || l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS sale_attrs
+       LEFT JOIN (SELECT l_partkey, string_agg(l_linenumber || '=' || l_returnflag || ' sale ' || l_linenumber || '=kind ' || l_returnflag, ',' ORDER BY l_linenumber, l_returnflag) AS sale_attrs
          FROM (SELECT DISTINCT l_partkey, l_linenumber, l_returnflag FROM lineitem) GROUP BY 1) s ON s.l_partkey = p_partkey""")
 def sku_dim(t: Tables):
     key = F.col("p_partkey")
@@ -39,17 +39,25 @@ def sku_dim(t: Tables):
     cat2 = t.region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), (F.col("r_regionkey") % 2).alias("category1_id"))
     cat1 = cat2.select(F.col("category1_id").alias("id")).distinct().withColumn("name", F.concat(F.lit("root "), F.col("id").cast("string")))
     brands = t.part.select(F.col("p_brand").alias("id")).distinct().withColumn("tm_name", F.lower("id"))
-    attrs = t.lineitem.select(F.col("l_partkey").alias("sku_id"), F.col("l_returnflag").alias("attr_id"), F.col("l_linestatus").alias("value_id"))
+    attrs = t.lineitem.select(
+        F.col("l_partkey").alias("sku_id"), F.col("l_returnflag").alias("attr_id"), F.col("l_linestatus").alias("value_id"),
+        F.concat(F.lit("attr "), "l_returnflag").alias("attr_name"), F.concat(F.lit("value "), "l_linestatus").alias("value_name"),
+    )
     sales = t.lineitem.select(
-        F.col("l_partkey").alias("sku_id"), F.col("l_linenumber").alias("sale_attr_id"), F.col("l_returnflag").alias("sale_attr_value_id")
+        F.col("l_partkey").alias("sku_id"), F.col("l_linenumber").alias("sale_attr_id"), F.col("l_returnflag").alias("sale_attr_value_id"),
+        F.concat(F.lit("sale "), F.col("l_linenumber").cast("string")).alias("sale_attr_name"),
+        F.concat(F.lit("kind "), "l_returnflag").alias("sale_attr_value_name"),
     )
     out = dims.sku_dim(sku, spu, cat3, cat2, cat1, brands, attrs, sales)
 
-    def shown(name: str, left: str, right: str):
-        return F.transform(name, lambda a: F.concat(a[left].cast("string"), F.lit("="), a[right])).alias(name)
+    def shown(name: str, *parts: str):
+        """Ids, then names, of each attribute and its value."""
+        pair = lambda a, left, right: F.concat(a[left].cast("string"), F.lit("="), a[right])
+        return F.transform(name, lambda a: F.concat(pair(a, *parts[:2]), F.lit(" "), pair(a, *parts[2:]))).alias(name)
 
     plain = [c for c in out.columns if c not in ("attrs", "sale_attrs")]
-    return out.select(*plain, shown("attrs", "attr_id", "value_id"), shown("sale_attrs", "sale_attr_id", "sale_attr_value_id"))
+    return out.select(*plain, shown("attrs", "attr_id", "value_id", "attr_name", "value_name"),
+        shown("sale_attrs", "sale_attr_id", "sale_attr_value_id", "sale_attr_name", "sale_attr_value_name"))
 
 
 @query("code_lookup",
@@ -100,6 +108,7 @@ _USER_SQL = r"""SELECT c_custkey AS id, c_name AS login_name, md5(c_name) AS pas
     md5(CASE WHEN regexp_matches(phone, '^(13[0-9]|14[01456879]|15[0-35-9]|16[2567]|17[0-8]|18[0-9]|19[0-35-9])\d{8}$') THEN phone END) AS phone_num,
     md5(CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_-]+@[a-zA-Z0-9_-]+(\.[a-zA-Z0-9_-]+)+$') THEN email END) AS email,
     CAST(c_nationkey % 3 AS INTEGER) AS user_level, DATE '1970-01-01' + CAST(c_custkey % 20000 AS INT) AS birthday,
+    CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender,
     DATE '2020-01-01' + CAST(c_custkey % 700 AS INT) AS start_date, DATE '9999-12-31' AS end_date
     FROM (SELECT *, '1' || (30 + c_custkey % 70) || lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0') AS phone,
       CASE WHEN c_custkey % 3 = 0 THEN c_name || '@mail' ELSE 'u' || c_custkey || '@mail.example' END AS email FROM customer)"""
@@ -117,6 +126,7 @@ def _user_table(t: Tables):
         .otherwise(F.concat(F.lit("u"), key.cast("string"), F.lit("@mail.example"))).alias("email"),
         (F.col("c_nationkey") % 3).alias("user_level"),
         (key % 20000).alias("birthday"),
+        F.when(key % 3 == 0, "M").when(key % 3 == 1, "F").alias("gender"),
         (F.lit(1577836800) + (key % 700) * 86400).cast("string").alias("create_time"),
     )
 
@@ -263,7 +273,7 @@ def driver_dim(t: Tables):
     return dims.driver_dim(rows, bases, teams)
 
 
-@query("truck_dim", "SELECT * FROM trucks", "trucks")
+@query("truck_dim", "SELECT * FROM trucks", "trucks", "license_registration_date license_last_check_date license_expire_date")
 def truck_dim(t: Tables):
     return roles.trucks(t)
 

@@ -24,37 +24,39 @@ WINDOW = window_days(lit.ORDERS_AS_OF)
 IN_WINDOW = f"dt > {ASOF} - recent_days AND dt <= {ASOF}"
 
 
-@query("order_cargo_fact", "SELECT * FROM fdet", "fdet", "dt", "weight amount", "order_time")
+@query("order_cargo_fact", "SELECT * FROM fdet", "fdet", "dt", "weight amount", "order_time estimate_arrive_time")
 def order_cargo_fact(t: Tables):
     return roles.freight_details(t)
 
 
 @query("order_process_snapshot",
-       """SELECT cargo.id, order_id, cargo_type, weight, c1.dic_name AS cargo_type_name, order_no, status, collect_type, user_id,
-       sender_district_id, sender_city_id, receiver_district_id, cargo_num, amount, distance, c2.dic_name AS status_name,
+       """SELECT cargo.id, order_id, cargo_type, volume_length, volume_width, volume_height, weight, c1.dic_name AS cargo_type_name, order_no, status, collect_type, user_id,
+       sender_complex_id, sender_province_id, sender_city_id,
+        sender_district_id, receiver_complex_id, receiver_province_id, receiver_city_id, receiver_district_id, cargo_num, amount,
+        estimate_arrive_time, distance, c2.dic_name AS status_name,
        c3.dic_name AS collect_type_name, receiver_name, sender_name, CAST(create_time AS DATE) AS start_date,
        CASE WHEN status IN ('60080', '60999') THEN CAST(update_time AS DATE) ELSE DATE '9999-12-31' END AS end_date,
        CASE WHEN status IN ('60080', '60999') THEN CAST(update_time AS DATE) ELSE DATE '9999-12-31' END AS dt
        FROM cargo JOIN ford ON ford.id = order_id LEFT JOIN codes c1 ON c1.dic_code = cargo_type LEFT JOIN codes c2 ON c2.dic_code = status
        LEFT JOIN codes c3 ON c3.dic_code = collect_type WHERE NOT cargo.gone AND NOT ford.gone""",
-       "cargo ford codes", "start_date end_date dt", "weight amount")
+       "cargo ford codes", "start_date end_date dt", "weight amount", "estimate_arrive_time")
 def order_process_snapshot(t: Tables):
     return ff.order_process_snapshot(roles.cargo(t), roles.freight_orders(t), roles.codes(t))
 
 
-@query("order_milestone_fact", "SELECT * FROM milestones", "milestones", "dt", "weight amount", "milestone_time")
+@query("order_milestone_fact", "SELECT * FROM milestones", "milestones", "dt", "weight amount", "milestone_time estimate_arrive_time")
 def order_milestone_fact(t: Tables):
     """All five milestones under one time name."""
     return ff.order_milestones(roles.todays_cargo(t), roles.freight_orders(t), roles.open_orders(t), roles.codes(t))
 
 
-@query("order_milestone_by_exclusion", "SELECT * FROM delivered", "delivered", "dt", "weight amount", "deliver_suc_time")
+@query("order_milestone_by_exclusion", "SELECT * FROM delivered", "delivered", "dt", "weight amount", "deliver_suc_time estimate_arrive_time")
 def order_milestone_by_exclusion(t: Tables):
     return roles.delivered(t)
 
 
 @query("order_signed_by_exclusion", "SELECT * RENAME (deliver_suc_time AS sign_time) FROM delivered WHERE status <> '60070'",
-       "delivered", "dt", "weight amount", "sign_time")
+       "delivered", "dt", "weight amount", "sign_time estimate_arrive_time")
 def order_signed_by_exclusion(t: Tables):
     return ff.order_milestone_by_exclusion(
         roles.cargo(t), roles.freight_orders(t), roles.codes(t), ff.NOT_YET_SIGNED, "sign_time"

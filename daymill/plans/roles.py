@@ -294,9 +294,15 @@ def freight_orders(t: Tables, earlier: bool = False, days: Days | None = None) -
         _state(F.floor(key / 9) if earlier else key).alias("status"),
         F.concat(F.lit("8000"), F.substring("o_orderpriority", 1, 1)).alias("collect_type"),
         F.col("o_custkey").alias("user_id"),
-        (F.col("o_custkey") % 400 + 100000).alias("sender_district_id"),
+        (F.col("o_custkey") % 25).alias("sender_complex_id"),
+        (F.col("o_custkey") % 5 + 1).alias("sender_province_id"),
         (F.col("o_custkey") % 25 + 1000).alias("sender_city_id"),
+        (F.col("o_custkey") % 400 + 100000).alias("sender_district_id"),
+        (key % 25).alias("receiver_complex_id"),
+        (key % 5 + 1).alias("receiver_province_id"),
+        (key % 25 + 1000).alias("receiver_city_id"),
         (key % 400 + 100000).alias("receiver_district_id"),
+        (instant("o_orderdate") + F.lit(dt.timedelta(days=5))).alias("estimate_arrive_time"),
         F.col("o_orderpriority").alias("receiver_name"),
         F.concat(F.col("o_orderstatus"), F.lit("-sender")).alias("sender_name"),
         F.lit(1).alias("cargo_num"),
@@ -314,6 +320,9 @@ def cargo(t: Tables) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         kind.alias("cargo_type"),
+        (F.col("l_partkey") % 100 + 1).alias("volume_length"),
+        (F.col("l_suppkey") % 50 + 1).alias("volume_width"),
+        (F.col("l_linenumber") * 5).alias("volume_height"),
         money("l_quantity").alias("weight"),
         instant("l_shipdate").alias("create_time"),
         F.when(F.col("l_linenumber") == 7, "1").otherwise("0").alias("is_deleted"),
@@ -394,7 +403,16 @@ def truck_models(t: Tables) -> DataFrame:
         F.concat_ws(" ", "p_type", "p_brand").alias("model_name"),
         F.col("p_type").alias("model_type"),
         F.col("p_brand").alias("brand"),
-        F.length("p_type").alias("max_weight"),
+        F.concat(F.lit("no "), "p_brand").alias("model_no"),
+        F.length("p_type").alias("truck_weight"),
+        (F.length("p_type") * 2).alias("load_weight"),
+        (F.length("p_type") * 3).alias("total_weight"),
+        F.lit("5").alias("eev"),
+        (F.length("p_brand") + 1).alias("boxcar_len"),
+        (F.length("p_brand") + 2).alias("boxcar_wd"),
+        (F.length("p_brand") + 3).alias("boxcar_hg"),
+        (F.length("p_type") + 80).alias("max_speed"),
+        (F.length("p_type") * 10).alias("oil_vol"),
     )
 
 
@@ -405,10 +423,18 @@ def trucks(t: Tables) -> DataFrame:
         F.col("p_size").alias("team_id"),
         F.concat_ws("/", "p_brand", "p_type").alias("model_id"),
         F.concat(F.lit("T"), F.col("p_partkey").cast("string")).alias("truck_no"),
+        (F.col("p_partkey") + 5000).alias("device_gps_id"),
+        F.concat(F.lit("E"), F.col("p_partkey").cast("string")).alias("engine_no"),
+        F.date_add(F.lit("2015-01-01").cast("date"), F.col("p_size").cast("int")).alias("license_registration_date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size").cast("int")).alias("license_last_check_date"),
+        F.date_add(F.lit("2026-01-01").cast("date"), F.col("p_size").cast("int")).alias("license_expire_date"),
+        (F.col("p_partkey") % 2).cast("string").alias("is_enabled"),
     )
     teams = t.part.select("p_size").distinct().select(
         F.col("p_size").alias("id"),
         F.concat(F.lit("Team "), F.col("p_size").cast("string")).alias("name"),
+        F.concat(F.lit("TN"), F.col("p_size").cast("string")).alias("team_no"),
+        (F.col("p_size") + 1000).alias("manager_emp_id"),
         (F.col("p_size") % 25).alias("org_id"),
     )
     bases = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("org_name"))
@@ -432,6 +458,7 @@ def transport_tasks(t: Tables, days: Days | None = None) -> DataFrame:
         key.alias("start_org_id"),
         F.concat(F.lit("Supplier#"), F.lpad(key.cast("string"), 9, "0")).alias("start_org_name"),
         (F.col("l_partkey") % 10).alias("end_org_id"),
+        F.concat(F.lit("End "), (F.col("l_partkey") % 10).cast("string")).alias("end_org_name"),
         F.col("l_linenumber").alias("order_num"),
         key.alias("driver1_emp_id"),
         F.concat(F.lit("S"), key.cast("string")).alias("driver1_name"),

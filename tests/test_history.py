@@ -61,13 +61,13 @@ def test_merge_into_an_empty_history(spark, rows):
 
 def test_init_hashes_and_dates(spark):
     users = spark.createDataFrame(
-        [(1, "n", "pw", "real", "13912345678", "bad mail", 1, 365, "1704067200")],
+        [(1, "n", "pw", "real", "13912345678", "bad mail", 1, 365, "F", "1704067200")],
         "id long, login_name string, passwd string, real_name string, phone_num string, email string, user_level int, "
-        "birthday int, create_time string",
+        "birthday int, gender string, create_time string",
     )
     r = history.user_zip_init(users).first()
     assert r["birthday"] == D(1971, 1, 1) and r["start_date"] == D(2024, 1, 1) and r["end_date"] == OPEN
-    assert r["email"] is None and len(r["phone_num"]) == 32
+    assert r["gender"] == "F" and r["email"] is None and len(r["phone_num"]) == 32
     assert history.user_zip_init(users, "2024-05-05").first()["start_date"] == D(2024, 5, 5)
 
 

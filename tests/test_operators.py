@@ -199,11 +199,12 @@ def test_attributes_do_not_multiply_products(spark):
     spu = frame([(10, "spu", 3)], "id long, spu_name string, category3_id long")
     cat = lambda up: frame([(3, "c", 3)], f"id long, name string, {up} long")
     tm = frame([(100, "tm")], "id long, tm_name string")
-    attr = frame([(1, 5, 50), (1, 5, 50), (1, 4, 40)], "sku_id long, attr_id long, value_id long")
-    sale = attr.withColumnsRenamed({"attr_id": "sale_attr_id", "value_id": "sale_attr_value_id"}).limit(0)
+    attr = frame([(1, 5, 50, "size", "L"), (1, 5, 50, "size", "L"), (1, 4, 40, "hue", None)], "sku_id long, attr_id long, value_id long, attr_name string, value_name string")
+    renamed = {"attr_id": "sale_attr_id", "value_id": "sale_attr_value_id", "attr_name": "sale_attr_name", "value_name": "sale_attr_value_name"}
+    sale = attr.withColumnsRenamed(renamed).limit(0)
     out = dims.sku_dim(sku, spu, cat("category2_id"), cat("category1_id"), cat("x"), tm, attr, sale).orderBy("sku_id").collect()
     assert [r["is_sale"] for r in out] == [True, False]
-    assert [tuple(a) for a in out[0]["attrs"]] == [(4, 40), (5, 50)] and out[0]["sale_attrs"] is None
+    assert [tuple(a) for a in out[0]["attrs"]] == [(4, 40, "hue", None), (5, 50, "size", "L")] and out[0]["sale_attrs"] is None
     assert out[0]["category1_name"] == "c" and out[1]["category3_id"] is None
 
 
@@ -339,11 +340,13 @@ def _freight(spark):
         [(1, "60020", "0"), (2, "60020", "0"), (3, "60020", "1"), (4, "60030", "0")], "id long, status string, is_deleted string"
     ).select(
         "id", "status", "is_deleted", F.lit("n").alias("order_no"), F.lit("c").alias("collect_type"), F.lit(1).alias("user_id"),
-        F.lit(5).alias("sender_district_id"), F.lit(6).alias("sender_city_id"), F.lit(7).alias("receiver_district_id"),
+        *[F.lit(5).alias(f"{side}_{part}_id") for side in ("sender", "receiver") for part in ("complex", "province", "city", "district")],
+        F.lit(T(2024, 1, 9)).alias("estimate_arrive_time"),
         F.lit("Bob").alias("receiver_name"), F.lit("Eve").alias("sender_name"), F.lit(1).alias("cargo_num"),
         F.lit(Dec("9.00")).alias("amount"), F.lit(1).alias("distance"), F.lit(T(2024, 1, 1, 20)).alias("update_time"),
     )
     cargo = spark.createDataFrame([(i, i, "k", Dec("1.00"), "0") for i in (2, 3, 4)], f"id long, order_id long, cargo_type string, weight {MONEY}, is_deleted string")
+    cargo = cargo.withColumns({f"volume_{side}": F.lit(n) for n, side in enumerate(("length", "width", "height"))})
     codes = spark.createDataFrame([("60020", "paid", "600")], "dic_code string, dic_name string, parent_code string")
     return orders, cargo.withColumn("create_time", F.lit(T(2024, 1, 1))), codes
 
@@ -359,6 +362,7 @@ def test_milestone_from_open_and_new_orders(spark, rows):
         (1, 2, "paid", "B*", D(2024, 1, 2)), (2, 2, "paid", "B*", D(2024, 1, 2)),
     ]
     assert "payment_time" in out.columns
+    assert rows(out, "volume_height", "receiver_complex_id", "sender_province_id", "estimate_arrive_time") == [(2, 5, 5, T(2024, 1, 9))] * 2
 
 
 def test_snapshot_end_dates(spark, rows):
@@ -391,7 +395,7 @@ def test_late_trips(spark, rows):
         [(1, 1, 60), (2, 1, 61), (3, 9, 600)], "id long, shift_id long, minutes int"
     ).select(
         "id", "shift_id", F.lit(1).alias("line_id"), F.lit(50).alias("start_org_id"), F.lit("hub").alias("start_org_name"),
-        F.lit(51).alias("end_org_id"), F.lit(2).alias("order_num"), F.lit(1).alias("driver1_emp_id"), F.lit("Al").alias("driver1_name"),
+        F.lit(51).alias("end_org_id"), F.lit("end hub").alias("end_org_name"), F.lit(2).alias("order_num"), F.lit(1).alias("driver1_emp_id"), F.lit("Al").alias("driver1_name"),
         F.lit(None).cast("long").alias("driver2_emp_id"), F.lit(None).cast("string").alias("driver2_name"),
         F.lit(1).alias("truck_id"), F.lit("T").alias("truck_no"), (F.unix_millis(F.lit(start))).alias("actual_start_time"),
         (F.unix_millis(F.lit(start)) + F.col("minutes") * 60000).alias("actual_end_time"),
