@@ -16,6 +16,8 @@ documents hold is no hot spot.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,19 +76,72 @@ def entity(kind: str, match: Column) -> Column:
     return F.lower(match) if kind == "email" else match if kind == "ip" else digits(match)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running(numbers: Column, size: Column, add: Callable[[Column, Column], Column], none: int = 0) -> Column:
+    """Running totals of an array of ``size`` numbers.
+
+    Each step adds the totals 1, 2, 4, ... places back, so an array of n takes log2(n) passes and no element is
+    appended one by one.
+    """
+
+    def step(totals: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.zip_with(totals, F.concat(F.array_repeat(F.lit(none), back), F.slice(totals, F.lit(1), F.size(totals) - back)), add)
+
+    steps = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda k: F.call_function("shiftleft", F.lit(1), k) < size)
+    return F.aggregate(steps, numbers, step)
+
+
 def places(text: Column, pattern: Column, matches: Column) -> Column:
     """Array of (start, end, match) in code points, end exclusive; ``matches`` are those of ``pattern`` in ``text``."""
-    between = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), matches, lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")))
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+    steps = F.zip_with(between, matches, lambda gap, match: F.length(gap) + F.length(match))
+    ends = running(steps, F.size(matches), lambda a, b: a + b)
+    found = F.zip_with(ends, matches, lambda end, match: F.struct((end - F.length(match)).alias("start"), end.alias("end"), match.alias("match")))
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
+
+
+#: Code points of a piece that a text is cut into before stretches of it are taken.
+PIECE = 1024
 
-    def step(so_far: Column, pair: Column) -> Column:
-        start = so_far["at"] + pair["gap"]
-        end = start + F.length(pair["match"])
-        return F.struct(end.alias("at"), F.concat(so_far["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match")))).alias("out"))
 
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda so_far: so_far["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(none)
+def pieces_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def stretch(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of a text given in pieces; no walk from the text's beginning."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.slice(pieces, first + 1, F.floor((end - 1) / PIECE).cast("int") - first + 1)
+    return F.when(end > start, F.substring(F.array_join(some, ""), start % PIECE + 1, end - start)).otherwise("")
+
+
+def replaced(text: Column, spans: Column, sign: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with ``sign(span, covered)`` instead of each span, in the order of their starts, the longer one first;
+    ``covered`` is where the spans before it end.  What spans cover is left out."""
+    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind")))
+
+    def rebuild(pieces: Column, first: Column, covered: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), F.slice(covered, F.lit(1), F.size(covered) - 1))
+        made = F.zip_with(
+            first,
+            before,
+            lambda s, b: F.concat(stretch(pieces, b, s["start"]), sign(F.struct(s["start"].alias("start"), (-s["less"]).alias("end"), s["kind"].alias("kind")), b)),
+        )
+        return F.concat(F.array_join(made, ""), stretch(pieces, F.element_at(covered, -1), F.length(text)))
+
+    done = let(
+        F.struct(pieces_of(text).alias("pieces"), F.array_sort(keyed).alias("first")),
+        lambda x: let(
+            running(F.transform(x["first"], lambda s: -s["less"]), F.size(x["first"]), lambda a, b: F.greatest(a, b)),
+            lambda covered: rebuild(x["pieces"], x["first"], covered),
+        ),
+    )
+    return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
 def with_entities(docs: DataFrame, text: str, out: str) -> DataFrame:
@@ -136,7 +191,7 @@ def revealing_terms(docs: DataFrame, text: str = "text", contexts: int = CONTEXT
     often = seen.groupBy("entity", "context").agg(F.count("*").alias("n")).groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= contexts)
     often_seen = stored(seen.join(often, "entity", "left_semi"), "often")
     # One row per distinct text, with all its terms outside entities.
-    terms = F.array_distinct(terms_of(hidden(F.col("text"), F.col("spans"), dict.fromkeys(KINDS, " "))))
+    terms = F.array_distinct(terms_of(blanked(F.col("text"), F.col("spans"))))
     copies = spans.join(often_seen.select("mark").distinct(), "mark", "left_semi").groupBy("mark").agg(F.count("*").alias("docs"), F.first("text").alias("text"), F.first("spans").alias("spans"))
     told = stored(copies.select("mark", "docs", terms.alias("terms")), "mentioning")
     weighed = often_seen.join(told, "mark")
@@ -149,8 +204,12 @@ def revealing_terms(docs: DataFrame, text: str = "text", contexts: int = CONTEXT
         .where(F.col("contexts") >= contexts)
     )
     pairs = stored(pairs, "pairs")
+    if pairs.isEmpty():  # nothing can be revealing
+        return told.select("mark", F.lit("").alias("terms"), F.lit("").alias("removed")).limit(0)
     by_entity = weighed.groupBy("entity").agg(F.sum("docs").alias("n_c"))
-    by_term = given.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    # Documents are counted by the same terms, those outside entities; terms of no pair are dropped before the shuffle.
+    whole = with_entities(given, "text", "spans")
+    by_term = whole.select(F.explode(terms).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     total = given.count()
     revealed = F.log2(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log2(F.lit(float(total)) / F.col("n_c"))
     strong = (
@@ -182,9 +241,11 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds)
     joined = marked.join(flagged.toDF(mark, terms, removed), mark, "left")
     spans = with_entities(joined, text, base)
     whole = F.concat(F.lit("(?iu)(?<!\\p{L})(?:"), F.col(terms), F.lit(")(?!\\p{L})"))
-    found = fresh(spans, "found_terms")
-    spans = spans.withColumn(found, F.when(F.col(terms).isNotNull(), F.regexp_extract_all(col(text), whole, F.lit(0))).otherwise(F.array().cast("array<string>")))
-    apart = F.filter(places(col(text), whole, F.col(found)), lambda m: ~F.exists(F.col(base), lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    # Terms are looked for outside entities only.
+    found, outside = fresh(spans, "found_terms"), fresh(spans, "outside")
+    spans = spans.withColumn(outside, F.when(F.col(terms).isNotNull(), blanked(col(text), F.col(base))))
+    spans = spans.withColumn(found, F.when(F.col(terms).isNotNull(), F.regexp_extract_all(F.col(outside), whole, F.lit(0))).otherwise(F.array().cast("array<string>")))
+    apart = places(F.col(outside), whole, F.col(found))
     gone = F.split(F.col(removed), "\\|")
     kinds = F.transform(
         apart, lambda m: F.struct(F.when(F.array_contains(gone, F.lower(m["match"])), "removed").otherwise("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
@@ -200,17 +261,13 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds)
 
 def hidden(text: Column, spans: Column, placeholders: dict[str, str] = PLACEHOLDERS) -> Column:
     """``text`` with each span replaced by its placeholder; spans that overlap are hidden as one, under the first's."""
-    first = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
     signs = F.create_map(*[F.lit(x) for pair in placeholders.items() for x in pair])
+    return replaced(text, spans, lambda s, covered: F.when(s["start"] >= covered, F.element_at(signs, s["kind"])).otherwise(""))
 
-    def step(so_far: Column, s: Column) -> Column:
-        piece = F.concat(F.substring(text, so_far["at"] + 1, s["start"] - so_far["at"]), F.element_at(signs, s["kind"]))
-        new = s["start"] >= so_far["at"]
-        return F.struct(F.greatest(so_far["at"], s["end"]).alias("at"), F.when(new, F.concat(so_far["out"], F.array(piece))).otherwise(so_far["out"]).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(first, start, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+def blanked(text: Column, spans: Column) -> Column:
+    """``text`` with spaces instead of all that the spans cover, so that places stay."""
+    return replaced(text, spans, lambda s, covered: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], covered), F.lit(0))))
 
 
 def sanitise(docs: DataFrame, text: str = "text", **thresholds) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,31 @@ def test_odd_rows(odd, none):
 def test_overlapping_spans_are_hidden_once(spark):
     spans = F.expr("array(named_struct('kind','ip','start',2,'end',6), named_struct('kind','phone','start',4,'end',8), named_struct('kind','removed','start',9,'end',10))")
     assert spark.range(1).select(disclosure.hidden(F.lit("ab123456.xyz"), spans)).first()[0] == "ab[IP].yz"
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches, not with their square."""
+    text = " ".join(f"user{i}@host{i % 50}.example 10.0.{i % 200}.{i % 250}" for i in range(100_000))
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    found = disclosure.with_entities(frame, "text", "spans").selectExpr("size(spans) AS n", "element_at(spans, -1) AS last").first()
+    assert found.n == 200_000 and text[found.last.start : found.last.end] == text.split(" ")[-1]
+    hidden = disclosure.with_entities(frame, "text", "spans").select(disclosure.hidden(F.col("text"), F.col("spans")).alias("t")).first().t
+    assert hidden == " ".join(["[EMAIL] [IP]"] * 100_000)
+    assert time.time() - start < 60  # several minutes a tenth of the text before
+
+
+def test_blanks_keep_places(spark):
+    texts = ["", "no entity é😀", "a@b.co", "x a@b.co, 10.0.0.1😀 and 4111 1111 1111 1111 é" * 200, "+1 10.0.0.1 5551234567 x" * 50]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in disclosure.with_entities(frame, "text", "spans").select("*", disclosure.blanked(F.col("text"), F.col("spans")).alias("blank")).collect():
+        covered = {i for s in r.spans for i in range(s.start, s.end)}
+        assert r.blank == "".join(" " if i in covered else c for i, c in enumerate(texts[r.doc_id]))
+
+
+def test_terms_count_outside_entities_only(frames):
+    """A word that also stands in other documents' addresses is no commoner for it."""
+    told = [f"Zorblax wrote from zq@corp.example while {w}" for w in ("rain falls", "sun shines", "wind blows", "snow melts")]
+    others = [f"number {i} rain falls sun shines wind blows snow melts wrote from while to zorblax{i}@zorblax.example" for i in range(60)]
+    clean = [r.text for r in disclosure.sanitise(frames(told + others)).orderBy("doc_id").collect()]
+    assert not any("Zorblax" in t for t in clean[:4])
