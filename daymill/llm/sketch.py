@@ -1,8 +1,8 @@
 """Document fingerprints: every shingle hash below a fixed fraction of the hash range is retained, by default all.
 
 The size of such a sketch follows the size of the text, so sketches of very unequal documents can be compared: the
-share of one's hashes found in the other estimates containment.  Sketches of parts merge to the sketch of the whole by
-union, as far as shingles do not cross the cut.
+share of one's hashes found in the other estimates containment.  The smallest hash of a text is retained in any case, so
+no text is without one.  Sketches of parts merge to the sketch of the whole, as far as shingles do not cross the cut.
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from daymill.llm.common import col, fresh, map_arrow, partitions, ranges, with_range
 
 SHINGLE_WORDS = 5
 SEED = 42
-#: Retained share of the hash range.  All of it: likeness and containment are exact, and no text is without a hash.
+#: Retained share of the hash range.  All of it: likeness and containment are exact.  A smaller share gives estimates
+#: from as much smaller sketches; texts of few shingles then may have equal sketches though they differ.
 FRACTION = 1.0
 #: Shingle hashes held at once.
 HASHES_AT_ONCE = 1 << 16
@@ -47,14 +49,26 @@ def shingle_hashes(text: str, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]
 
 
 def sketch(text: str | None, fraction: float = FRACTION, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """The distinct shingle hashes below ``fraction`` of the hash range, ascending.  Null is read as empty."""
-    last = np.uint64(min(int(fraction * 2.0**64), 2**64) - 1)
-    kept = [h[h <= last] for h in shingle_hashes(text or "", size)]
-    return np.unique(np.concatenate(kept))
+    """The distinct shingle hashes below ``fraction`` of the hash range, or else the smallest one, ascending.  Null is
+    read as empty."""
+    last, kept, least = _last(fraction), [], None
+    for h in shingle_hashes(text or "", size):
+        kept.append(h[h <= last])
+        least = h.min() if least is None else min(least, h.min())
+    found = np.unique(np.concatenate(kept))
+    return found if len(found) else np.array([least], np.uint64)
 
 
-def merge(*sketches: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate(sketches)) if sketches else np.zeros(0, np.uint64)
+def _last(fraction: float) -> np.uint64:
+    """The largest hash that is retained."""
+    return np.uint64(min(int(fraction * 2.0**64), 2**64) - 1)
+
+
+def merge(*sketches: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
+    """The sketch of all the texts together: a smallest hash kept above the threshold gives way to any below it."""
+    every = np.unique(np.concatenate(sketches)) if sketches else np.zeros(0, np.uint64)
+    below = every[every <= _last(fraction)]
+    return below if len(below) else every[:1]
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -86,9 +100,9 @@ def unpacked(text: str) -> np.ndarray:
 def sketches(docs: DataFrame, text: str = "text", out: str = "fingerprint", fraction: float = FRACTION) -> DataFrame:
     """``docs`` with the sketch of the whole ``text`` as text in ``out``.
 
-    Null is read as empty.  With a ``fraction`` below 1, a text none of whose hashes is small enough has an empty sketch;
-    likely only below about 1 / ``fraction`` shingles.  Rows are handled one by one, so repeated rows and other columns stay as they are; an
-    input column called ``out`` is replaced.
+    Null is read as empty.  A text none of whose hashes is small enough has its smallest one; likely only below about
+    1 / ``fraction`` shingles.  Rows are handled one by one, so repeated rows and other columns stay as they are; an input
+    column called ``out`` is replaced.
     """
     kept = [c for c in docs.columns if c.lower() != out.lower()]
     given = fresh(docs, "given_text")
@@ -113,16 +127,15 @@ def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None =
     given = docs.select(col(key).cast("long").alias("key"), *map(col, columns))
     cuts = ranges(given, "key", parts or partitions(docs))
     placed = with_range(given, "key", cuts, "part").withColumn("tie", F.xxhash64(*map(col, columns)))
-    # One row per range, as many as there are cuts.
-    heads = placed.groupBy("part").agg(F.min(F.struct(F.col("key").isNotNull().alias("is"), "key", "tie")).alias("head")).orderBy("part").collect()
-    if not heads:
-        return placed.withColumn("last", F.lit(False)).limit(0)
-    copies = {heads[(i + 1) % len(heads)]["part"]: (row["part"], heads[(i + 1) % len(heads)]["head"]) for i, row in enumerate(heads)}
-    before = F.create_map(*[F.lit(x) for part, (target, _) in copies.items() for x in (part, target)])
-    opens = F.create_map(*[x for part, (_, h) in copies.items() for x in (F.lit(part), F.struct(F.lit(h["key"]).cast("long").alias("key"), F.lit(h["tie"]).cast("long").alias("tie")))])
-    head = F.element_at(opens, F.col("part"))
-    is_head = F.col("key").eqNullSafe(head["key"]) & (F.col("tie") == head["tie"])
-    ends = F.when(is_head, F.array(F.struct(F.col("part").alias("to"), F.lit(False).alias("last")), F.struct(F.element_at(before, F.col("part")).alias("to"), F.lit(True).alias("last"))))
+    # One row per range, as many as there are cuts: what opens it, and the range before it, whose end it also is.
+    first = F.min(F.struct(F.col("key").isNotNull().alias("is"), "key", "tie")).alias("head")
+    heads = placed.groupBy("part").agg(first)
+    around = Window.orderBy("part")
+    whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = heads.select("part", "head", F.coalesce(F.lag("part").over(around), F.last("part").over(whole)).alias("before"))
+    placed = placed.join(heads, "part")
+    is_head = F.col("key").eqNullSafe(F.col("head.key")) & (F.col("tie") == F.col("head.tie"))
+    ends = F.when(is_head, F.array(F.struct(F.col("part").alias("to"), F.lit(False).alias("last")), F.struct(F.col("before").alias("to"), F.lit(True).alias("last"))))
     spread = placed.withColumn("place", F.explode(F.coalesce(ends, F.array(F.struct(F.col("part").alias("to"), F.lit(False).alias("last")))))).select(
         F.col("place.to").alias("part"), F.col("place.last").alias("last"), "key", "tie", *map(col, columns)
     )
