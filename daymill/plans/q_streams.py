@@ -6,6 +6,8 @@ stop; the query returns what the sink holds.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +62,40 @@ def event_time(t: Tables):
     return per_day.unionByName(left.groupBy(F.lit("dirty").alias("day")).agg(F.count(F.lit(1)).alias("n")))
 
 
+_SECOND = "event_id % 10 = 0 OR ts >= TIMESTAMP '2024-01-20'"
+
+
+@query("late_records",
+       f"""SELECT side, COUNT(*) AS n, MIN(event_id) AS first_id, MAX(event_id) AS last_id FROM (SELECT event_id, CASE WHEN ({_SECOND}) AND ts <
+       (SELECT MAX(ts) FROM events WHERE NOT ({_SECOND})) - INTERVAL 2 DAY THEN 'late' ELSE 'on_time' END AS side FROM events) GROUP BY side""")
+def late_records(t: Tables):
+    """Events that come in two deliveries, the second after a restart; old ones of the second are too late."""
+    path, feed, checkpoint = (scratch_table(t.spark, n) for n in ("routed", "feed", "checkpoint"))
+    rows = t.events.select("event_id", roles.instant("ts").alias("ts"))
+    second = (F.col("event_id") % 10 == 0) | (F.col("ts") >= F.lit("2024-01-20").cast("timestamp"))
+    for part in (rows.where(~second), rows.where(second)):
+        part.write.mode("append").parquet(feed)
+        source = t.spark.readStream.schema(rows.schema).parquet(feed)
+        _drain(ev.route_late(source, "ts", dt.timedelta(days=2), path, checkpoint, drain=True))
+    sides = [ev.routed(t.spark, path, s, rows.schema).select(F.lit(s).alias("side"), "event_id") for s in ("on_time", "late")]
+    return sides[0].unionByName(sides[1]).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
+@query("counts_by_time",
+       """SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, records FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') AS start,
+       event_type, COUNT(*) AS records FROM events GROUP BY 1, 2) WHERE start + INTERVAL 6 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY""")
+def counts_by_time(t: Tables):
+    """Events of a feed that brings each of them twice, counted once by type for every six hours that are over."""
+    use_rocksdb_state(t.spark)
+    path, feed, checkpoint = (scratch_table(t.spark, n) for n in ("counts", "feed", "checkpoint"))
+    rows = t.events.select("event_id", "event_type", roles.instant("ts").alias("ts"))
+    rows.unionByName(rows).write.parquet(feed)
+    once = ev.once_within(t.spark.readStream.schema(rows.schema).parquet(feed), ["event_id"], "ts", "1 day")
+    counted = ev.counts_by_time(once, ["event_type"], "ts", "6 hours")
+    _drain(stream_defaults(counted.writeStream.format("parquet").option("path", path), checkpoint, drain=True))
+    return t.spark.read.schema(counted.schema).parquet(path).select("start", "event_type", "records")
+
+
 @query("daily_bucket_sink",
        """SELECT CASE WHEN event_id % 20 >= 18 THEN 'error_bucket' ELSE strftime(ts, '%Y%m%d') END AS day, COUNT(*) AS n FROM events GROUP BY 1""")
 def daily_bucket_sink(t: Tables):

@@ -1,15 +1,20 @@
-"""Event time of JSON records and text files in one folder per day."""
+"""Event time of JSON records: late and repeated records, counts by time, and text files in one folder per day."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from daymill.sources import folders
 from daymill.streaming.defaults import stream_defaults
 
+#: Batches whose latest time is kept for a batch that runs again.
+KEPT_PROGRESS = 10
 ERROR_BUCKET = "error_bucket"
 ROLL_INTERVAL = "10 minutes"
 SECONDS_LIMIT = 10_000_000_000
@@ -39,6 +44,68 @@ def event_time(
     return good.withWatermark("event_time", f"{delay_seconds} seconds"), dirty
 
 
+def once_within(df: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """Stream without repeats: of records with equal ``keys`` that come within ``delay`` of each other the first.
+
+    The state holds the keys of that time only; a null key is a value like any other.
+    """
+    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def counts_by_time(df: DataFrame, keys: Sequence[str], time: str, width: str, delay: str | None = None) -> DataFrame:
+    """Records of each stretch of ``width`` and key: a stretch is given out once, when the watermark has passed its end.
+
+    Without ``delay`` the watermark is the one that ``df`` has, such as that of :func:`once_within`.
+    """
+    span = F.window(time, width)
+    timed = df.withWatermark(time, delay) if delay else df
+    counted = timed.groupBy(span.alias("span"), *keys).agg(F.count(F.lit(1)).alias("records"))
+    return counted.select(F.col("span.start").alias("start"), F.col("span.end").alias("end"), *keys, "records")
+
+
+def _latest_before(spark: SparkSession, path: str, batch: int) -> dt.datetime | None:
+    """The latest time seen before a batch: what the newest older batch wrote down."""
+    known = [int(b) for b in folders.partition_values(spark, path, "batch") if int(b) < batch]
+    if not known:
+        return None
+    rows = spark.read.schema("latest timestamp").parquet(f"{path}/batch={max(known)}").collect()
+    return rows[0].latest if rows else None
+
+
+def route_late(df: DataFrame, time: str, delay: dt.timedelta, path: str, checkpoint: str, drain: bool = False) -> DataStreamWriter:
+    """Records on time go to ``path``/on_time, those that come too late to ``path``/late, in a folder for each batch.
+
+    Late is what lies more than ``delay`` behind the latest time of the batches before; a record without a time is
+    late.  Each batch writes that latest time down beside its records, so a batch that runs again, after a failure or
+    in another session, is parted the same way and replaces what it had written.  Read with :func:`routed`.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        latest = _latest_before(spark, f"{path}/progress", batch_id)
+        on_time = F.col(time).isNotNull()
+        if latest is not None:
+            on_time = on_time & (F.col(time) >= F.lit(latest - delay))
+        for name, rows in (("on_time", batch.where(on_time)), ("late", batch.where(~on_time))):
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        seen = batch.agg(F.max(time).alias("latest"))
+        known = F.lit(latest).cast("timestamp")
+        seen.select(F.greatest("latest", known).alias("latest")).coalesce(1).write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")
+        # Only the newest few are asked for again.
+        for old in folders.partition_values(spark, f"{path}/progress", "batch"):
+            if int(old) < batch_id - KEPT_PROGRESS:
+                folders.remove(spark, f"{path}/progress/batch={old}")
+
+    return stream_defaults(df.writeStream.foreachBatch(store), checkpoint, drain)
+
+
+def routed(spark: SparkSession, path: str, side: str, schema: T.StructType) -> DataFrame:
+    """What :func:`route_late` stored as ``on_time`` or ``late``."""
+    if not folders.exists(spark, f"{path}/{side}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{side}").select(schema.names)
+
+
 def day_bucket(text: str, field: str) -> Column:
     """Folder of a record: ``yyyyMMdd`` of its own time, or the error bucket.
 

@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import random
@@ -203,3 +204,58 @@ def test_restarts_are_bounded():
     with pytest.raises(RuntimeError):
         run_with_restarts(lambda: started.append(1) or Failing(), 3, 10, waits.append)
     assert len(started) == 4 and waits == [10, 10, 10]
+
+
+TIMED = "id long, ts timestamp"
+
+
+def at(hour, minute=0):
+    return dt.datetime(2024, 1, 1, hour, minute)
+
+
+def timed_stream(spark, folder):
+    return spark.readStream.schema(TIMED).parquet(str(folder))
+
+
+def test_late_records_go_to_the_side(spark, tmp_path, rows):
+    feed, path, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    schema = spark.createDataFrame([], TIMED).schema
+    batches = [
+        [(1, at(10)), (2, at(8)), (3, None)],  # nothing is late before a time was seen, a record without one always is
+        [(4, at(9)), (5, at(8, 59)), (6, at(12))],
+        [(7, at(10, 59)), (8, at(11)), (9, at(11, 30))],
+        [(10, at(10, 59)), (11, at(11))],  # the latest time stays that of the second batch
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, TIMED).coalesce(1).write.mode("append").parquet(str(feed))
+        drain(ev.route_late(timed_stream(spark, feed), "ts", dt.timedelta(hours=1), path, check, drain=True))  # restarted each time
+    assert rows(ev.routed(spark, path, "late", schema), "id") == sorted([(3,), (5,), (7,), (10,)], key=repr)
+    assert rows(ev.routed(spark, path, "on_time", schema), "id") == sorted([(i,) for i in (1, 2, 4, 6, 8, 9, 11)], key=repr)
+    assert ev.routed(spark, str(tmp_path / "none"), "late", schema).count() == 0
+
+
+def test_a_routed_batch_that_runs_again(spark, tmp_path, rows):
+    """The checkpoint of the last batch is lost: it is parted as before and there once."""
+    feed, path, check = tmp_path / "in", str(tmp_path / "out"), tmp_path / "check"
+    schema = spark.createDataFrame([], TIMED).schema
+    for batch in ([(1, at(10))], [(2, at(13)), (3, at(8))]):
+        spark.createDataFrame(batch, TIMED).coalesce(1).write.mode("append").parquet(str(feed))
+        drain(ev.route_late(timed_stream(spark, feed), "ts", dt.timedelta(hours=1), path, str(check), drain=True))
+    os.remove(check / "commits" / "1")
+    if (check / "commits" / ".1.crc").exists():
+        os.remove(check / "commits" / ".1.crc")
+    drain(ev.route_late(timed_stream(spark, feed), "ts", dt.timedelta(hours=1), path, str(check), drain=True))
+    assert rows(ev.routed(spark, path, "late", schema), "id") == [(3,)]
+    assert rows(ev.routed(spark, path, "on_time", schema), "id") == [(1,), (2,)]
+
+
+def test_repeats_are_dropped_and_stretches_counted_once(spark, tmp_path, rows):
+    feed, path, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    batches = [[(1, at(1)), (1, at(1, 5)), (2, at(1, 30))], [(2, at(1, 40)), (3, at(2))], [(4, at(9)), (4, at(9))], [(5, at(20))]]
+    for batch in batches:
+        spark.createDataFrame(batch, TIMED).coalesce(1).write.mode("append").parquet(str(feed))
+        once = ev.once_within(timed_stream(spark, feed), ["id"], "ts", "2 hours")
+        counted = ev.counts_by_time(once, [], "ts", "1 hour")
+        drain(stream_defaults(counted.writeStream.format("parquet").option("path", path), check, drain=True))
+    got = rows(spark.read.schema("start timestamp, end timestamp, records long").parquet(path), "start", "records")
+    assert got == [(at(1), 2), (at(2), 1), (at(9), 1)]
