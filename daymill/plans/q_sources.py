@@ -196,7 +196,7 @@ def rows_from_json_lines(t: Tables):
 
 @query("raw_table_copy", "SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS l_returnflag FROM lineitem")
 def raw_table_copy(t: Tables):
-    """Raw copy of a source table: tab-separated, gzip, ``NULL`` for null."""
+    """Raw copy of a source table: tab-separated, bzip2, ``NULL`` for null."""
     path = scratch_table(t.spark, "raw")
     flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("l_returnflag")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", flag)

@@ -4,21 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
-RAW_OPTIONS = {"sep": "\t", "nullValue": "NULL", "header": "true", "encoding": "UTF-8"}
+#: No character quotes a field: what would end one is written as an escape, so a row is a line and files can be split.
+RAW_OPTIONS = {"sep": "\t", "nullValue": "NULL", "emptyValue": "\\e", "quote": "\0", "escape": "\0", "header": "true", "encoding": "UTF-8"}
+#: Characters of a text and how they are written; the backslash comes first.
+ESCAPES = [("\\", "\\\\"), ("\0", "\\0"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def _escaped(text: Column) -> Column:
+    for plain, written in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    # A text that reads NULL is not null; an empty one, and spaces at the ends, stay.
+    front, back = (F.when(ends, "\\s").otherwise("") for ends in (text.startswith(" "), text.endswith(" ")))
+    return F.when(text == "NULL", "\\NULL").when(text == "", "\\e").otherwise(F.concat(front, text, back))
+
+
+def _plain(text: Column) -> Column:
+    def piece(part: Column) -> Column:  # between written backslashes, so each backslash here begins an escape
+        for mark in ("\\e", "\\s"):
+            part = F.replace(part, F.lit(mark), F.lit(""))
+        part = F.replace(part, F.lit("\\NULL"), F.lit("NULL"))
+        for plain, written in ESCAPES[1:]:
+            part = F.replace(part, F.lit(written), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), piece), "\\")
 
 
 def read_raw_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Tab-separated raw text with a header line and ``NULL`` for null."""
-    return spark.read.schema(schema).options(**RAW_OPTIONS).csv(path)
+    """Tab-separated raw text with a header line, ``NULL`` for null and backslash escapes in texts."""
+    rows = spark.read.schema(schema).options(**RAW_OPTIONS).csv(path)
+    return rows.withColumns({c: _plain(F.col(f"`{c}`")) for c in _texts(rows)})
 
 
 def write_raw_table(df: DataFrame, path: str) -> None:
     """Counterpart of :func:`read_raw_table`; compressed so that readers can split a file."""
-    df.write.mode("overwrite").options(**RAW_OPTIONS).option("compression", "bzip2").csv(path)
+    rows = df.withColumns({c: _escaped(F.col(f"`{c}`")) for c in _texts(df)})
+    rows.write.mode("overwrite").options(**RAW_OPTIONS).option("compression", "bzip2").csv(path)
 
 
 def export_csv(df: DataFrame, path: str, partition_filter: str | None = None) -> None:

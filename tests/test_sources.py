@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -291,3 +292,12 @@ def test_days_in_storage(spark, rows, tmp_path):
     more = source.where("id = 1").unionByName(spark.createDataFrame([(4, "d", 1.0, dt.date(2024, 1, 9))], VERIFIED)).unionByName(source.where("dt IS NULL"))
     assert rows(partitions.verify_days(spark, path, more)) == sorted([("2024-01-03", False, True), ("2024-01-09", True, False)])
     assert partitions.verify_days(spark, str(tmp_path / "none"), source).count() == 3
+
+
+def test_raw_tables_keep_every_text(spark, tmp_path):
+    draw = random.Random(1)
+    texts = [None, "", "NULL", " NULL", "\\NULL", "a\tb", "a\nb\r", "\\n", "\\\\n", "\\e", "\\s x", " lead", "trail ", "  ", '"q"', '"', "\0", "\\0", "\\z", "\0\\", "é😀", "# c"]
+    texts += ["".join(draw.choice("\\ntrezs0 \t\n\"N\0") for _ in range(draw.randrange(1, 7))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, `v.w` string")
+    files.write_raw_table(df, str(tmp_path / "t"))
+    assert {r[0]: r[1] for r in files.read_raw_table(spark, str(tmp_path / "t"), df.schema).collect()} == dict(enumerate(texts))
