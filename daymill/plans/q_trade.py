@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymill.functions.days import window_days
+from daymill.functions.days import as_date, window_days
+from daymill.operators import activity
 from daymill.operators import reports as rp
 from daymill.operators import summaries as sm
 from daymill.operators import trade_facts as tf
@@ -274,7 +278,7 @@ def geo_order_report(t: Tables):
        WHERE a.d > {EASOF} - 7 AND c.d <= {EASOF}""", days="dt")
 def consecutive_order_users(t: Tables):
     bought = t.events.where(F.col("event_type") == "purchase").select("user_id", F.to_date("ts").alias("dt"))
-    return rp.consecutive_order_users(bought, lit.EVENTS_AS_OF)
+    return activity.active_in_a_row(activity.activity_map(bought, "user_id", "dt", lit.EVENTS_AS_OF), lit.EVENTS_AS_OF)
 
 
 def _usku(t: Tables):
@@ -394,6 +398,28 @@ def action_funnel(t: Tables):
     return rp.action_funnel(pages, sm.user_cart_1d(_cart_adds(t)), per_user("signup"), per_user("purchase"), "view", "click")
 
 
+def _login_map(t: Tables) -> DataFrame:
+    """The days each user was active on; three reports read it."""
+    held = activity.activity_map(roles.logins(t).withColumn("user_id", F.col("user_id").cast("bigint")), "user_id", "date_id", lit.EVENTS_AS_OF)
+    users = roles.users(t).select(F.col("id").cast("bigint").alias("user_id"), F.to_date("create_time").alias("made"))
+    return activity.with_register_day(users.where(F.col("made") <= F.lit(lit.EVENTS_AS_OF).cast("date")), held, "user_id", "made", lit.EVENTS_AS_OF)
+
+
+@query("activity_map",
+       f"""SELECT user_id, CAST(SUM(DISTINCT CAST(power(2, {EASOF} - d) AS BIGINT)) AS BIGINT) AS days FROM
+       (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE CAST(ts AS DATE) <= {EASOF}) GROUP BY user_id""")
+def activity_map(t: Tables):
+    """Days of action of each user, rolled on from the map of ten days before a day at a time."""
+    rows = t.events.select("user_id", F.to_date("ts").alias("dt"))
+    last = as_date(lit.EVENTS_AS_OF)
+    day = last - dt.timedelta(days=10)
+    made = activity.activity_map(rows, "user_id", "dt", day)
+    while day < last:
+        day += dt.timedelta(days=1)
+        made = activity.rolled(made, rows.where(F.col("dt") == F.lit(day)), "user_id", day)
+    return made.select("user_id", "days")
+
+
 @query("churn_and_return",
        f"""SELECT {EASOF} AS dt, (SELECT COUNT(*) FROM login_td WHERE login_date_last = {EASOF} - 7) AS user_churn_count,
        (SELECT COUNT(*) FROM login_td a JOIN (SELECT id, COALESCE(last, CAST(create_time AS DATE)) AS last_before FROM users
@@ -401,7 +427,7 @@ def action_funnel(t: Tables):
          WHERE CAST(create_time AS DATE) <= {EASOF} - 1) b ON b.id = a.user_id
         WHERE login_date_last = {EASOF} AND last_before <= {EASOF} - 8) AS user_back_count""", "login_td", "dt")
 def churn_and_return(t: Tables):
-    return rp.churn_and_return(_login_td(t), _login_td(t, "2024-01-29"), lit.EVENTS_AS_OF)
+    return activity.churn_and_return(_login_map(t), lit.EVENTS_AS_OF)
 
 
 @query("retention",
@@ -410,11 +436,11 @@ def churn_and_return(t: Tables):
        CAST({EASOF} - login_date_first AS INTEGER) AS retention_day FROM login_td
        WHERE login_date_first >= {EASOF} - 7 AND login_date_first < {EASOF} GROUP BY login_date_first""", "login_td", "dt create_date")
 def retention(t: Tables):
-    return rp.retention(_login_td(t), lit.EVENTS_AS_OF)
+    return activity.retention(_login_map(t), lit.EVENTS_AS_OF)
 
 
 @query("user_activity",
        f"""SELECT recent_days, COUNT(CASE WHEN login_date_first > {EASOF} - recent_days THEN 1 END) AS new_user_count, COUNT(*) AS active_user_count
        FROM login_td, (VALUES (1), (7), (30)) w(recent_days) WHERE login_date_last > {EASOF} - recent_days GROUP BY recent_days""", "login_td")
 def user_activity(t: Tables):
-    return rp.user_activity(_login_td(t), lit.EVENTS_AS_OF)
+    return activity.user_activity(_login_map(t), lit.EVENTS_AS_OF)
