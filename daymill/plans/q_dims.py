@@ -219,9 +219,9 @@ def complex_dim(t: Tables):
 
 
 @query("region_closure",
-       """WITH RECURSIVE up AS (SELECT id, id AS ancestor, 0 AS distance FROM regions UNION ALL
+       """SELECT * FROM (WITH RECURSIVE up AS (SELECT id, id AS ancestor, 0 AS distance FROM regions UNION ALL
        SELECT up.id, r.parent_id, up.distance + 1 FROM up JOIN regions r ON r.id = up.ancestor JOIN regions p ON p.id = r.parent_id)
-       SELECT up.id, ancestor, CAST(distance AS BIGINT) AS distance, name AS ancestor_name FROM up JOIN regions a ON a.id = ancestor""", "regions")
+       SELECT up.id, ancestor, CAST(distance AS BIGINT) AS distance, name AS ancestor_name FROM up JOIN regions a ON a.id = ancestor)""", "regions")
 def region_closure(t: Tables):
     """Every region with all its ancestors, by name."""
     nodes = roles.regions(t)
