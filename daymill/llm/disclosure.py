@@ -207,9 +207,10 @@ def revealing_terms(docs: DataFrame, text: str = "text", contexts: int = CONTEXT
     if pairs.isEmpty():  # nothing can be revealing
         return told.select("mark", F.lit("").alias("terms"), F.lit("").alias("removed")).limit(0)
     by_entity = weighed.groupBy("entity").agg(F.sum("docs").alias("n_c"))
-    # Documents are counted by the same terms, those outside entities; terms of no pair are dropped before the shuffle.
+    # Documents are counted by the same terms, those outside entities.  Folded before the shuffle: how many of the terms
+    # are in a pair grows faster than the documents, the terms themselves don't.
     whole = with_entities(given, "text", "spans")
-    by_term = whole.select(F.explode(terms).alias("term")).join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    by_term = whole.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     total = given.count()
     revealed = F.log2(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log2(F.lit(float(total)) / F.col("n_c"))
     strong = (
