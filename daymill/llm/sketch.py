@@ -133,7 +133,8 @@ def with_next(docs: DataFrame, key: str, columns: list[str], parts: int | None =
     around = Window.orderBy("part")
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("part", "head", F.coalesce(F.lag("part").over(around), F.last("part").over(whole)).alias("before"))
-    placed = placed.join(heads, "part")
+    # Bounded by the number of ranges; the documents are not shuffled for it.
+    placed = placed.join(F.broadcast(heads), "part")
     is_head = F.col("key").eqNullSafe(F.col("head.key")) & (F.col("tie") == F.col("head.tie"))
     ends = F.when(is_head, F.array(F.struct(F.col("part").alias("to"), F.lit(False).alias("last")), F.struct(F.col("before").alias("to"), F.lit(True).alias("last"))))
     spread = placed.withColumn("place", F.explode(F.coalesce(ends, F.array(F.struct(F.col("part").alias("to"), F.lit(False).alias("last")))))).select(
