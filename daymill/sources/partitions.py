@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymill.functions.days import as_date
+from daymill.session import file_sizes
 from daymill.sources import folders
 
 # --- fixed values: the time column that gives a source table its day ---
@@ -74,14 +75,15 @@ def overwrite_partitions(
     The rebalance hint gathers the rows of a day, merges small days into one
     task and splits a day that holds a large share of the data over several.
     """
-    (
-        df.hint("rebalance", *[F.col(c) for c in partition_columns])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .format(fmt)
-        .save(path)
-    )
+    with file_sizes(df.sparkSession):
+        (
+            df.hint("rebalance", *[F.col(c) for c in partition_columns])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_columns)
+            .format(fmt)
+            .save(path)
+        )
 
 
 def conform_to_table(df: DataFrame, schema: T.StructType) -> DataFrame:

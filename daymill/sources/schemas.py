@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymill.session import file_sizes
 from daymill.sources.partitions import conform_to_table
 
 # --- fixed values: source column type to warehouse type ---
@@ -107,7 +108,8 @@ def write_day_table(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     target = conform_to_table(df, spark.table(table).schema)
     days = [p.name for p in spark.catalog.listColumns(table) if p.isPartition]
-    target.hint("rebalance", *[F.col(d) for d in days]).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with file_sizes(spark):
+        target.hint("rebalance", *[F.col(d) for d in days]).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
 
 
 def table_days(spark: SparkSession, table: str) -> list[str]:

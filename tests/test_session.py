@@ -50,3 +50,25 @@ def test_only_a_local_session_may_use_a_temporary_folder():
         session.shared_dir(Stub("yarn"))
     local = Stub("local[2]")
     assert session.shared_dir(local) == session.shared_dir(local)
+
+
+def test_a_few_gigabytes_are_cut_into_small_partitions(spark, sizes):
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    for gb in (1, 6):
+        session.size_for_input(spark, gb << 30)
+        assert sizes() == (gb * 128, 32 << 20)
+    session.size_for_input(spark, 512 << 30)
+    assert sizes() == (4096, 64 << 20)
+    assert int(spark.conf.get(session.ADVISORY).rstrip("m")) <= 8  # nor are they merged to large ones
+
+
+def test_files_may_be_larger_than_partitions(spark):
+    held = spark.conf.get(session.ADVISORY)
+    with pytest.raises(KeyError), session.file_sizes(spark):
+        assert spark.conf.get(session.ADVISORY) == "64m"
+        raise KeyError
+    assert spark.conf.get(session.ADVISORY) == held
+    spark.conf.set(session.ADVISORY, "3m")  # the user's own
+    with session.file_sizes(spark):
+        assert spark.conf.get(session.ADVISORY) == "3m"
+    spark.conf.set(session.ADVISORY, held)
