@@ -47,9 +47,9 @@ def steps_in_session(
     """Each view with its step number in the session and the page after it.
 
     A session may hold a large share of all views, so it is never ordered in
-    one task.  Views are numbered inside short stretches of time; a small
-    table with one row per session and stretch carries the number of views
-    before it and the first page after it.
+    one task.  Views are numbered inside short stretches of time; a table with
+    one row per session and stretch carries the number of views before it and
+    the first page after it.
     """
     # Keys without nulls: views without a session or time stay together, and no
     # null filter is inferred that would make the two uses below differ.
@@ -86,7 +86,8 @@ def steps_in_session(
             F.lead("__first").over(across).alias("__following"),
         )
     )
-    return numbered.join(stretches, [*key, "__chunk"]).select(
+    # Short sessions have as many stretches as views, which the estimate before the run does not see: never broadcast.
+    return numbered.join(stretches.hint("merge"), [*key, "__chunk"]).select(
         session,
         "page_id",
         (F.col("__before") + F.col("__rn")).alias("step"),

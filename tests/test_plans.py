@@ -35,6 +35,13 @@ def test_path_uses_one_scan(spark):
     assert "ReusedExchange" in final and final.count("FileScan") == 1
 
 
+def test_stretches_of_sessions_are_not_broadcast(spark):
+    """There may be as many as views, whatever the estimate says."""
+    df = entry.queries()["page_path"](spark, FOLDER)
+    df.collect()
+    assert "Broadcast" not in plan_of(df)
+
+
 def test_hot_order_is_split(spark, rows):
     """A third of the lines belongs to one order; the join splits it and keeps every line."""
     n = 60_000
