@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -90,11 +93,20 @@ def per_process(key: Any, make: Callable[[], Any]) -> Any:
     shelf = sys.modules.setdefault("daymill_worker_shelf", types.ModuleType("daymill_worker_shelf"))
     values = shelf.__dict__.setdefault("values", {})
     if key not in values:
-        values.clear()
+        if values:
+            values.clear()
+            give_back()
         values[key] = make()
     return values[key]
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system, not only to this worker; a C library that cannot do so keeps it."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Remembered(dict):
     """Values of ``make`` by argument, in two generations of up to ``most`` / 2.
 

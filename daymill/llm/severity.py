@@ -133,6 +133,7 @@ def fit(
     schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("words", T.IntegerType()), T.StructField("features", T.MapType(T.StringType(), T.IntegerType()))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_process("severity features", dict)  # what another stage left in this worker goes before the counting
         for batch in batches:
             toxics, texts = batch.column(0).to_pylist(), batch.column(1)
             for at in range(0, len(texts), 64):
@@ -205,15 +206,17 @@ def grade(docs: DataFrame, model: Severity, text: str = "text", reject_from: flo
     cut = model.reject_from if reject_from is None else reject_from
     new = ("expected_severity", "p_toxic", "severity", "toxic")
     kept = [c for c in docs.columns if c.lower() not in new]
-    given = fresh(docs, "given_text")
-    source = docs.select(*map(col, kept), col(text).cast("string").alias(given))
+    if text in kept and isinstance(docs.schema[text].dataType, T.StringType):  # the text goes to the workers once
+        source, at = docs.select(*map(col, kept)), kept.index(text)
+    else:
+        source, at = docs.select(*map(col, kept), col(text).cast("string").alias(fresh(docs, "given_text"))), len(kept)
     kinds = (T.DoubleType(), T.DoubleType(), T.IntegerType(), T.BooleanType())
     schema = T.StructType([*[source.schema[c] for c in kept], *[T.StructField(n, k) for n, k in zip(new, kinds)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = per_process(("severity", model.name()), model.lookup)
         for batch in batches:
-            scores = np.array([model.score(t.as_py(), known) for t in batch.column(len(kept))], float)
+            scores = np.array([model.score(t.as_py(), known) for t in batch.column(at)], float)
             above = model.above(scores)
             chance = np.stack([1 - above[:, 0], above[:, 0] - above[:, 1], above[:, 1]], axis=1)
             made = [above.sum(axis=1), above[:, 0], chance.argmax(axis=1).astype(np.int32), above[:, 0] >= cut]
@@ -224,8 +227,9 @@ def grade(docs: DataFrame, model: Severity, text: str = "text", reject_from: flo
 
 def keep_clean(docs: DataFrame, model: Severity, text: str = "text", reject_from: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose text is not rejected, with their columns."""
-    copy = fresh(docs, "graded_text")
     names = {c: fresh(docs, f"kept_{i}") for i, c in enumerate(docs.columns)}  # out of the way of the new columns
-    marked = docs.select(*[col(c).alias(n) for c, n in names.items()], col(text).cast("string").alias(copy))
-    clean = grade(marked, model, copy, reject_from).where(~F.col("toxic"))
+    read = names.get(text, fresh(docs, "graded_text"))
+    copy = [] if text in names else [col(text).cast("string").alias(read)]
+    marked = docs.select(*[col(c).alias(n) for c, n in names.items()], *copy)
+    clean = grade(marked, model, read, reject_from).where(~F.col("toxic"))
     return clean.select(*[F.col(n).alias(c) for c, n in names.items()])

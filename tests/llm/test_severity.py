@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from daymill.llm import queries, severity
+from daymill.llm import common, queries, severity
 
 LABELLED = "/root/testdata/sf0.1"
 SMALL = "/root/testdata/sf0.001"
@@ -91,3 +91,25 @@ def test_a_repeated_key_is_one_labelled_row(spark, frames):
     labels = docs.selectExpr("doc_id", "int(doc_id >= 6) AS toxic")
     one, two = severity.fit(docs, labels), severity.fit(many, labels)
     assert one.weights and one.weights == two.weights
+
+
+def test_a_text_goes_to_the_workers_once(spark, odd, monkeypatch):
+    sent, plain = [], severity.map_arrow
+    monkeypatch.setattr(severity, "map_arrow", lambda df, run, schema: sent.append(df.columns) or plain(df, run, schema))
+    loud = severity.Severity({"mail": 50.0}, (1.0, 2.0))
+    kept, graded = severity.keep_clean(odd, loud), severity.grade(odd.drop("toxic"), loud)
+    assert [len(c) for c in sent] == [len(odd.columns), len(odd.columns) - 1]
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 1
+    assert [r.doc_id for r in graded.where("toxic").collect()] == [7]
+    other = severity.keep_clean(odd, loud, "TEXT")  # a name in other letters, as Spark takes it
+    assert sorted(map(repr, other.collect())) == sorted(map(repr, kept.collect()))
+
+
+def test_a_stage_that_takes_over_a_worker_gives_its_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.delitem(common.sys.modules, "daymill_worker_shelf", raising=False)
+    assert [common.per_process(k, lambda k=k: [k]) for k in "aab"] == [["a"], ["a"], ["b"]]
+    assert len(given) == 1
+    monkeypatch.undo()
+    common.give_back()
